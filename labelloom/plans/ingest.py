@@ -152,7 +152,7 @@ def _(v: Views):
     return v.spark.read.parquet(f"{sink}/part").drop("batch")
 
 
-@query("first_photo_stream", with_views("""select case_id, view, doc_id, epoch_us(final_date) as us from files
+@query("first_photo_stream", with_views("""select case_id, view, doc_id, strftime(final_date, '%Y-%m-%d %H:%M:%S.%f') as taken from files
     qualify row_number() over (partition by case_id, view order by final_date, doc_id) = 1""", "files"))
 def _(v: Views):
     events = _stream(v, "events").select(
@@ -167,10 +167,10 @@ def _(v: Views):
         events, keys, ["final_date", "doc_id"], sink, scratch_path(v.spark, "progress")
     ).awaitTermination()
     first = incremental.read_first_per(v.spark, sink, keys)
-    return first.select("case_id", "view", "doc_id", F.unix_micros("final_date").alias("us"))
+    return first.select("case_id", "view", "doc_id", F.date_format("final_date", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("taken"))
 
 
-@query("running_metrics_stream", """select epoch_us(time_bucket(interval 1 day, ts)) as us, event_type as part,
+@query("running_metrics_stream", """select strftime(time_bucket(interval 1 day, ts), '%Y-%m-%d') as day, event_type as part,
     count(*) filter (where g = 1 and p = 1) as tp, count(*) filter (where g = 0 and p = 0) as tn,
     count(*) filter (where g = 0 and p = 1) as fp, count(*) filter (where g = 1 and p = 0) as fn,
     round(count(*) filter (where g = p) / count(*), 6) as acc
@@ -189,5 +189,5 @@ def _(v: Views):
     ).awaitTermination()
     metrics = incremental.read_running_metrics(v.spark, sink, ["part"])
     return metrics.select(
-        F.unix_micros("window_start").alias("us"), "part", "tp", "tn", "fp", "fn", F.round("acc", 6).alias("acc")
+        F.date_format("window_start", "yyyy-MM-dd").alias("day"), "part", "tp", "tn", "fp", "fn", F.round("acc", 6).alias("acc")
     )

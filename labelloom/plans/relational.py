@@ -240,7 +240,7 @@ texts as (select a, b, b_n, len(both_) as n_both, len(only_a) as n_a, len(only_b
 dp as (
   select a, b, x, y, 0 as i, list_transform(range(length(y) + 1), lambda k: 0) as d from texts
   union all
-  select a, b, x, y, i + 1, list_transform(range(length(y) + 1), lambda j: list_max(list_transform(range(j + 1), k ->
+  select a, b, x, y, i + 1, list_transform(range(length(y) + 1), lambda j: list_max(list_transform(range(j + 1), lambda k:
       case when k > 0 and y[k] = x[i + 1] then d[k] + 1 else d[k + 1] end))) from dp where i < length(x)),
 lcs as (select a, b, d[-1] as l from dp where i = length(x)),
 scored as (select t.a, t.b, t.b_n, case when n_both > 0 and (n_a = 0 or n_b = 0) then 100.0::double else greatest(
@@ -431,11 +431,11 @@ def _(v: Views):
 
 # --- windows, top-k, order ---
 
-@query("first_photo", with_views("""select case_id, view, doc_id, epoch_us(final_date) as us from files
+@query("first_photo", with_views("""select case_id, view, doc_id, strftime(final_date, '%Y-%m-%d %H:%M:%S.%f') as taken from files
     qualify row_number() over (partition by case_id, view order by final_date, doc_id) = 1""", "files"))
 def _(v: Views):
     first = ranking.first_per(v.files, ["case_id", "view"], [F.col("final_date"), F.col("doc_id")])
-    return first.select("case_id", "view", "doc_id", F.unix_micros(F.col("final_date").cast("timestamp")).alias("us"))
+    return first.select("case_id", "view", "doc_id", F.date_format("final_date", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("taken"))
 
 
 @query("top_lines_per_part", with_views("""select part, case_id, line, fval, rank from (select *, row_number() over
@@ -466,11 +466,11 @@ def _(v: Views):
 
 @query("running_mean", with_views("""select case_id, rank, round(running_mean, 6) as running_mean from
     (select case_id, row_number() over (order by case_id) as rank,
-    avg(case_acc) over (order by case_id rows unbounded preceding) as running_mean from
-    (select case_id, avg(cast(gt = pred as double)) as case_acc from decisions group by case_id)) where rank % 50 = 0""", "decisions"))
+    avg(correct) over (order by case_id rows unbounded preceding) as running_mean from
+    (select case_id, sum(cast(gt = pred as integer)) as correct from decisions group by case_id)) where rank % 50 = 0""", "decisions"))
 def _(v: Views):
     accuracy = case_accuracy(ensemble_vote(v.predictions, v.labels, v.parts))
-    means = ranking.running_mean(accuracy, "case_id", "case_acc", every=50)
+    means = ranking.running_mean(accuracy, "case_id", "correct", every=50)
     return means.withColumn("running_mean", F.round("running_mean", 6))
 
 
