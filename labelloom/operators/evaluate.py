@@ -12,6 +12,7 @@ from labelloom.functions import flag_gt, safe_ratio
 from labelloom.operators.ranking import first_per
 
 TIE_RULES = ("mean_conf", "one", "zero")
+BITS_PER_WORD = 62
 
 
 def _tie(mean_conf: Column, tie: str) -> Column:
@@ -42,24 +43,41 @@ def ensemble_vote(
     """(case_id, part, gt, pred) for every part of every case with a label and a prediction.
 
     Views vote by strict threshold and the majority wins; a part without predictions is 0. The
-    votes of a case are folded into one row (at most one entry per part) before they meet the
-    labels, so the predictions are read once and both inputs are shuffled on the case alone.
+    votes of a case are folded into bit masks (one row of a few longs per case) before they meet
+    the labels, so the predictions are read once and both inputs are shuffled on the case alone.
     """
-    wanted = F.col("part").isin(list(parts))
-    voted = count_votes(preds.filter(wanted), tie)
-    folded = voted.groupBy("case_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("part", F.struct("pred", "gt")))).alias("_votes")
-    )
-    joined = labels.filter(wanted).select("case_id", "part", "gt").join(folded, "case_id")
-    vote = F.try_element_at("_votes", F.col("part"))
+    names = list(parts)
+    wanted = F.col("part").isin(names)
+    voted = _with_bit(count_votes(preds.filter(wanted), tie), names)
+    words = range(-(-len(names) // BITS_PER_WORD))
+    masks = {"_seen": F.lit(True), "_pred": F.col("pred") == 1, "_gt": F.col("gt") == 1}
+    folded = voted.groupBy("case_id").agg(*[
+        F.array(*[F.bit_or(F.when((F.col("_word") == w) & is_set, F.col("_mask"))) for w in words]).alias(name)
+        for name, is_set in masks.items()
+    ])
+    given = _with_bit(labels.filter(wanted).select("case_id", "part", "gt"), names)
+    joined = given.join(folded, "case_id")
+
+    def bit(name: str) -> Column:
+        word = F.coalesce(F.get(name, F.col("_word")), F.lit(0).cast("long"))
+        return F.when(word.bitwiseAND(F.col("_mask")) != 0, 1).otherwise(0)
+
     return joined.select(
         "case_id",
         "part",
-        F.coalesce(vote["gt"], F.col("gt")).cast("int").alias("gt"),
-        F.coalesce(vote["pred"], F.lit(0)).alias("pred"),
+        F.when(bit("_seen") == 1, bit("_gt")).otherwise(F.col("gt")).alias("gt"),
+        bit("_pred").alias("pred"),
     )
 
 
+def _with_bit(df: DataFrame, names: list[str]) -> DataFrame:
+    """Word and mask of the part's position in the vocabulary."""
+    position = F.array_position(F.array(*map(F.lit, names)), F.col("part")) - 1
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("_at") % BITS_PER_WORD).cast("int"))
+    placed = df.withColumn("_at", position)
+    return placed.withColumn("_word", F.floor(F.col("_at") / BITS_PER_WORD).cast("int")).withColumn("_mask", mask)
+
+
 def case_accuracy(decisions: DataFrame, lists: bool = False) -> DataFrame:
     """Share of parts decided correctly per case; `lists` adds the sorted correct and wrong parts."""
     right = F.col("pred") == F.col("gt")

@@ -17,6 +17,7 @@ from labelloom.functions import bald_terms, entropy, margin, safe_ratio
 from labelloom.operators.joins import for_parts
 from labelloom.operators.ranking import quantile_value, range_bucketed, running, top_n_per
 from labelloom.operators.sampling import sample_n_per
+from labelloom.session import save_point
 
 
 def confident_thresholds(preds: DataFrame) -> DataFrame:
@@ -187,9 +188,10 @@ def select_clean(
     """Rows with an AUM at or above its `lo` quantile.
 
     Optional further bounds: at most the `hi` quantile, and at least the `ood` quantile of
-    `ood_score`. Rows without an AUM are left out; they still count in the OOD quantile.
+    `ood_score`. Rows without an AUM are left out; they still count in the OOD quantile. The joined
+    table is saved, because each bound reads it again and must see the same scores.
     """
-    attached = df.join(aum_values, key, "left")
+    attached = save_point(df.join(aum_values, key, "left"))
     known = attached.filter(F.col("aum").isNotNull())
     kept = known
     if lo is not None:
@@ -260,7 +262,7 @@ def correction_report(before: DataFrame, after: DataFrame) -> DataFrame:
 
 def worst_half(issues: DataFrame) -> DataFrame:
     """The worse half of the flagged cases by quality, rounded down."""
-    flagged = case_issues(issues).filter("is_issue = 1").select("case_id", "quality")
+    flagged = save_point(case_issues(issues).filter("is_issue = 1").select("case_id", "quality"))
     ordered = running(
         range_bucketed(flagged, "quality"), [], F.col("_range"), [F.col("quality"), F.col("case_id")]
     )

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from labelloom.functions import hash_order
+from labelloom.session import save_point
 
 # `row_number() <= n` is pruned before the shuffle up to this n (Spark's own default threshold).
 PRUNED_TOP_N = 1000
@@ -122,9 +123,10 @@ def shuffled(
 def running_mean(df: DataFrame, order: str, column: str, every: int | None = None) -> DataFrame:
     """Mean of the rows up to and including this one, by a unique numeric `order` column.
 
-    With `every`, only each `every`-th row is reported.
+    With `every`, only each `every`-th row is reported. The two columns are saved first: three
+    passes read them, and all must see the same values.
     """
-    rows = df.select(order, F.col(column).cast("double").alias(column))
+    rows = save_point(df.select(order, F.col(column).cast("double").alias(column)))
     totals = running(range_bucketed(rows, order), [], F.col("_range"), [F.col(order)], value=column)
     result = totals.select(
         order, "rank", (F.col("running_sum") / F.col("rank")).alias("running_mean")
@@ -140,6 +142,7 @@ def exact_quantile(
     A mergeable sketch brackets each quantile; a second pass counts the distinct values inside the
     bracket and summarises the rows on either side, so only a sliver of pre-counted values is ever
     sorted. A bracket that misses its rank (which the sketch's error bound rules out) raises an error.
+    `df` is read twice, so pass a saved table if its values come from a float aggregate.
     """
     data = df.select(F.col(column).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
     slack = 3.0 / accuracy

@@ -113,7 +113,7 @@ def case_rules(cfg: ScopeConfig) -> dict[str, Column]:
     return {
         "claim_type": ~rlike_any(F.col("claim_type"), cfg.claim_types),
         "vehicle_class": differs(F.col("vehicle_class"), cfg.vehicle_class),
-        "circumstances": F.col("circumstances").isin(list(cfg.excluded_circumstances)),
+        "circumstances": F.coalesce(F.col("circumstances").isin(list(cfg.excluded_circumstances)), F.lit(False)),
         "gross_offer": F.coalesce(F.col("gross_offer") <= 0, F.lit(True)),
     }
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelloom.operators import aggregates, evaluate, labels, ranking
+from labelloom.functions import file_key
+from labelloom.operators import aggregates, evaluate, joins, labels, ranking
 from labelloom.plans.registry import query
 from labelloom.plans.sampling import PARTS
 from labelloom.plans.views import Views, with_views
@@ -42,8 +43,6 @@ _MAPPING_SQL = " union all ".join(
     join mapping m on f.view = m.view join labels_long l on l.case_id = f.case_id and l.part = m.part""",
     "files", "labels_long", mapping=_MAPPING_SQL))
 def _(v: Views):
-    from labelloom.functions import file_key
-
     mapping = v.spark.createDataFrame(
         [(view, p) for view, parts in MAPPING.items() for p in parts], "view string, part string"
     )
@@ -242,19 +241,35 @@ _STUDY = """select d.case_id, d.part, coalesce(v.v_pred, -1) as v_pred, d.pred,
     where part <> 'PROMO') v on d.case_id = v.case_id and d.part = v.part"""
 
 
+def _vision(v: Views) -> DataFrame:
+    """Photo-model decisions, which one part lacks."""
+    seen = evaluate.count_votes(v.predictions.filter("part <> 'PROMO'"), tie="zero")
+    return seen.select("case_id", "part", F.col("pred").alias("v_pred"))
+
+
+def _remarks() -> Column:
+    turn = F.col("case_id") % 4
+    return F.when(turn == 0, "error").when(turn == 1, "label error").when(turn == 2, "hard sample")
+
+
+def _long_study(v: Views) -> DataFrame:
+    """The same study straight from the long decisions."""
+    gt, pred = F.col("gt"), F.col("pred")
+    study = joins.lookup_or(_decisions(v), _vision(v), ["case_id", "part"], "v_pred", F.lit(-1))
+    return study.withColumns({
+        "fp": ((gt == 0) & (pred == 1)).cast("int"),
+        "fn": ((gt == 1) & (pred == 0)).cast("int"),
+        "remarks": _remarks(),
+    })
+
+
 def _study(v: Views) -> DataFrame:
     decided = _decisions(v)
 
     def wide(value: str) -> DataFrame:
         return decided.groupBy("case_id").pivot("part", v.parts).agg(F.max(value))
 
-    vision = evaluate.count_votes(v.predictions.filter("part <> 'PROMO'"), tie="zero")
-    study = labels.case_study(
-        wide("pred"), wide("gt"), vision.select("case_id", "part", F.col("pred").alias("v_pred")), v.parts
-    )
-    turn = F.col("case_id") % 4
-    remarks = F.when(turn == 0, "error").when(turn == 1, "label error").when(turn == 2, "hard sample")
-    return study.withColumn("remarks", remarks)
+    return labels.case_study(wide("pred"), wide("gt"), _vision(v), v.parts).withColumn("remarks", _remarks())
 
 
 @query("case_study", with_views("select * from study", "decisions", "votes", study=_STUDY))
@@ -281,7 +296,7 @@ _KINDS = """select part, count(*) filter (where v_pred <> -1 and pred <> gt) / (
     round(same, 6) as label_error_same, round(hard, 6) as hard_sample, round(error - hard - different + same, 6) as unexplained
     from kinds where error + different + same + hard > 0""", "decisions", "votes", study=_STUDY, kinds=_KINDS))
 def _(v: Views):
-    found = evaluate.error_attribution(_study(v))
+    found = evaluate.error_attribution(_long_study(v))
     return _rounded(found, *[c for c in found.columns if c != "part"])
 
 
@@ -289,13 +304,13 @@ def _(v: Views):
     round(count(*) / (select count(distinct case_id) from study), 6) as ratio from study where remarks = 'error' group by part, fp, fn""",
     "decisions", "votes", study=_STUDY))
 def _(v: Views):
-    return _rounded(evaluate.remark_counts(_study(v), "error", ["part", "fp", "fn"]), "ratio")
+    return _rounded(evaluate.remark_counts(_long_study(v), "error", ["part", "fp", "fn"]), "ratio")
 
 
 @query("after_repair", with_views("""select case_id, count(*) as label_error_count, case when count(*) > 2 then 1 else 0 end as after_repair
     from study where remarks = 'label error' and pred <> gt group by case_id""", "decisions", "votes", study=_STUDY))
 def _(v: Views):
-    return evaluate.after_repair_cases(_study(v).filter("pred <> gt"))
+    return evaluate.after_repair_cases(_long_study(v).filter("pred <> gt"))
 
 
 # --- calibration and scores ---

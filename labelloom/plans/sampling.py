@@ -58,7 +58,7 @@ def _(v: Views):
     and part in ('LARGE', 'PROMO', 'SMALL') qualify row_number() over
     (partition by part order by {_md5('case_id', 9)}, case_id) <= 1500)""", "labels_long"))
 def _(v: Views):
-    return sampling.balance_pool(v.labels, ["LARGE", "PROMO", "SMALL"], 1500, 9)
+    return sampling.balance_pool(v.label_grid, ["LARGE", "PROMO", "SMALL"], 1500, 9)
 
 
 @query("stratified_split", f"""select vec_id, label, case when rn <= round_even(0.2::double * n, 0) then 'test' else 'train' end as split

@@ -25,9 +25,12 @@ class Views:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
 
     @cached_property
     def parts(self) -> list[str]:
@@ -94,6 +97,15 @@ class Views:
 
     @property
     def labels(self) -> DataFrame:
+        """`label_grid` spread by case, ready to join.
+
+        The optimiser takes an exploded table to be as small as its input. Behind a shuffle its real
+        size is known before a join strategy is chosen, so it is never broadcast by mistake.
+        """
+        return self.label_grid.repartition("case_id")
+
+    @property
+    def label_grid(self) -> DataFrame:
         """(case_id, part, gt) for every case and vocabulary part."""
         names = F.array(*[F.lit(p) for p in self.parts])
         grid = self.table("orders").select(F.col("o_orderkey").alias("case_id"), F.explode(names).alias("part"))

@@ -42,12 +42,15 @@ def read_tagged_csv(
 ) -> DataFrame:
     """CSV files matching a glob, each row tagged with the groups of `name_regex` found in its path.
 
-    Rows without the `required` column are dropped. The schema names the wanted columns; files may
-    carry others (such as an unnamed index) in any order, because the header decides.
+    Rows without the `required` column are dropped. The schema names the wanted columns; each file's
+    own header decides where they are, so files may order them differently and carry others (such
+    as an unnamed index).
     """
     wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    raw = spark.read.option("header", True).csv(glob)
+    raw = spark.read.option("header", True).option("singleVariantColumn", "_row").csv(glob)
     path = F.url_decode(F.col("_metadata.file_path"))
     found = [F.regexp_extract(path, name_regex, i + 1).alias(t) for i, t in enumerate(tags)]
-    columns = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in wanted.fields]
+    columns = [
+        F.try_variant_get("_row", f"$['{f.name}']", f.dataType.simpleString()).alias(f.name) for f in wanted.fields
+    ]
     return raw.select(*columns, *found).filter(F.col(required).isNotNull())
