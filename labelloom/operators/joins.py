@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from labelloom.session import BROADCAST_ROWS, small_side
+
 
 def vocabulary(df: DataFrame, column: str, max_terms: int = 1000) -> list[str]:
     """The distinct values of a label column, sorted; they become the columns of wide tables.
@@ -21,15 +23,15 @@ def vocabulary(df: DataFrame, column: str, max_terms: int = 1000) -> list[str]:
     return sorted(r[0] for r in rows)
 
 
-def for_parts(df: DataFrame, parts: Sequence[str] | None, rows_per_part: int = 2) -> DataFrame:
-    """Restrict a per-part table to a given vocabulary, which bounds it, and then broadcast it.
+def for_parts(df: DataFrame, parts: Sequence[str] | None) -> DataFrame:
+    """A table with one row per part, ready to join to rows of those parts.
 
-    Without a vocabulary there is no bound, so the table is left to a shuffle join.
+    A given vocabulary bounds it, so it is broadcast; without one its size is checked first.
     """
     if parts is None:
-        return df
+        return small_side(df)
     kept = df.filter(F.col("part").isin(list(parts)))
-    return F.broadcast(kept) if len(parts) * rows_per_part <= 10_000 else kept
+    return F.broadcast(kept) if len(parts) <= BROADCAST_ROWS else kept
 
 
 def work_list(wanted: DataFrame, *done: DataFrame, key: str) -> DataFrame:

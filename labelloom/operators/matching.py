@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelloom.functions.similarity import best_matches
+from labelloom.session import save_point, small_side
 
 TEXTS_PER_BLOCK = 20_000
 TARGETS_PER_BLOCK = 5_000
@@ -63,7 +64,12 @@ def fuzzy_matches(counts: DataFrame, percent_threshold: float, min_similarity: f
 def fuzzy_group(
     df: DataFrame, column: str, percent_threshold: float = 3, min_similarity: float = 60, target: str = "fuzzy_match"
 ) -> DataFrame:
-    """Add the matched major description to every row; a null description stays null."""
+    """Add the matched major description to every row; a null description stays null.
+
+    Counts and mapping hold one row per distinct text and are saved, so the rows are read once to
+    count and once to attach the match.
+    """
     counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("text")).agg(F.count("*").alias("count"))
-    mapping = fuzzy_matches(counts, percent_threshold, min_similarity)
-    return df.join(mapping.select(F.col("text").alias(column), F.col("match").alias(target)), column, "left")
+    mapping = fuzzy_matches(save_point(counts), percent_threshold, min_similarity)
+    renamed = mapping.select(F.col("text").alias(column), F.col("match").alias(target))
+    return df.join(small_side(renamed), column, "left")

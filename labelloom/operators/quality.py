@@ -17,7 +17,7 @@ from labelloom.functions import bald_terms, entropy, margin, safe_ratio
 from labelloom.operators.joins import for_parts
 from labelloom.operators.ranking import quantile_value, range_bucketed, running, top_n_per
 from labelloom.operators.sampling import sample_n_per
-from labelloom.session import save_point
+from labelloom.session import save_point, small_side
 
 
 def confident_thresholds(preds: DataFrame) -> DataFrame:
@@ -44,11 +44,11 @@ def confident_class(p1: Column, t0: Column, t1: Column) -> Column:
 def find_label_issues(preds: DataFrame, parts: Sequence[str] | None = None) -> DataFrame:
     """Every (case, part) with its confident class, issue flag and self-confidence.
 
-    With a vocabulary the thresholds are a table of bounded size and are broadcast; the predictions
-    are then scanned twice and never shuffled.
+    The thresholds are one row per part and are broadcast (without a vocabulary, after a check of
+    their number), so the predictions are read twice and never shuffled on the part.
     """
     scoped = preds if parts is None else preds.filter(F.col("part").isin(list(parts)))
-    joined = scoped.join(for_parts(confident_thresholds(scoped), parts, rows_per_part=1), "part")
+    joined = scoped.join(for_parts(confident_thresholds(scoped), parts), "part")
     guess = confident_class(F.col("conf"), F.col("t0"), F.col("t1"))
     given = F.when(F.col("gt") == 1, F.col("conf")).otherwise(1 - F.col("conf"))
     return joined.select(
@@ -91,7 +91,7 @@ def class_thresholds(df: DataFrame, probs: str, label: str, by: Sequence[str], n
 def _with_thresholds(df: DataFrame, probs: str, label: str, by: Sequence[str], n_classes: int) -> DataFrame:
     thresholds = class_thresholds(df, probs, label, by, n_classes)
     if by:
-        return df.join(thresholds, list(by))
+        return df.join(small_side(thresholds), list(by))
     return df.withColumn("thresholds", thresholds.scalar())
 
 
@@ -279,7 +279,7 @@ def correct_guarded(labels: DataFrame, cases: DataFrame, parts: Sequence[str], m
     marked = joined.withColumn("_listed", F.coalesce("_listed", F.lit(0)))
     left_over = F.sum(F.when((F.col("_listed") == 0) & (F.col("gt") == 1), 1).otherwise(0))
     shares = marked.groupBy("part").agg((safe_ratio(left_over, F.count("*")) >= min_pos).alias("_apply"))
-    joined_back = marked.join(for_parts(shares, parts, rows_per_part=1), "part")
+    joined_back = marked.join(for_parts(shares, parts), "part")
     fixed = F.when((F.col("_listed") == 1) & F.col("_apply"), 0).otherwise(F.col("gt"))
     return joined_back.select(*[fixed.alias("gt") if c == "gt" else F.col(c) for c in labels.columns])
 

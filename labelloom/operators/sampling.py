@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from labelloom.functions import label_key, safe_ratio
 from labelloom.operators.ranking import dedup, keep_top_groups, shuffled
+from labelloom.session import small_side
 
 
 def sample_n(df: DataFrame, id_col: str, n: int, seed: int) -> DataFrame:
@@ -82,7 +83,7 @@ def combination_strata(df: DataFrame, parts: Sequence[str], k: int) -> DataFrame
         for i, p in enumerate(parts)
     ])
     rarest = F.concat(F.lit("rare:"), F.coalesce(F.array_min(F.array_compact(ranked))["part"], F.lit("")))
-    joined = totals.join(combos, "_combo")
+    joined = totals.join(small_side(combos), "_combo")
     stratum = F.when(F.col("_combo_rows") >= k, F.col("_combo")).otherwise(rarest)
     return joined.select(*df.columns, stratum.alias("stratum"))
 
@@ -99,8 +100,8 @@ def label_combos(df: DataFrame, parts: Sequence[str]) -> DataFrame:
 
 def drop_rare_combos(df: DataFrame, parts: Sequence[str], min_rows: int = 10) -> DataFrame:
     """Rows whose label combination is seen more than `min_rows` times."""
-    common = label_combos(df, parts).filter(F.col("rows") > min_rows)
-    return df.withColumn("combo", label_key(parts)).join(common, "combo", "left_semi").drop("combo")
+    common = label_combos(df, parts).filter(F.col("rows") > min_rows).select("combo")
+    return df.withColumn("combo", label_key(parts)).join(small_side(common), "combo", "left_semi").drop("combo")
 
 
 def oversample(df: DataFrame, parts: Sequence[str], min_ratio: float = 0.2, copies: int = 2) -> DataFrame:
@@ -159,8 +160,8 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_class_weights(df: DataFrame, label: str) -> DataFrame:
-    """Rows with the weight of their class; the class table is joined by its measured size."""
-    return df.join(class_weights(df, label).drop("count"), label)
+    """Rows with the weight of their class."""
+    return df.join(small_side(class_weights(df, label).drop("count")), label)
 
 
 def pos_weights(df: DataFrame, parts: Sequence[str]) -> DataFrame:

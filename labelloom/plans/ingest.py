@@ -12,7 +12,7 @@ from labelloom.sources import archives, documents, tables
 from labelloom.streaming import incremental
 
 _LINES_OF_GOOD = """select o.o_orderkey as "CaseID", lower(p_name) as "Description", l_extendedprice as "fVAL",
-    lower(l_returnflag) as "DamageCond" from orders o join lineitem on o_orderkey = l_orderkey join part on l_partkey = p_partkey
+    lower(l_returnflag) as "DamageCond", l_linestatus as "CoType" from orders o join lineitem on o_orderkey = l_orderkey join part on l_partkey = p_partkey
     where o_orderkey % 50 <> 0"""
 
 
@@ -83,16 +83,18 @@ def _(v: Views):
     return archives.ids_from_paths(keys, "path", r"/(\d+)_\d+\.JPG$")
 
 
-@query("latest_artifacts", """select p_brand as model, arg_max(p_size, p_size * 1000000 + p_partkey) as epoch,
+@query("latest_artifacts", """select p_brand as model, split_part(p_brand, '#', 1) as part, arg_max(p_size, p_size * 1000000 + p_partkey) as epoch,
     round(arg_max(p_partkey % 100, p_size * 1000000 + p_partkey) / 100, 2) as acc from part group by p_brand""")
 def _(v: Views):
     step = F.lpad(F.col("p_partkey").cast("string"), 9, "0")
     share = F.format_string("%.2f", (F.col("p_partkey") % 100) / 100)
     path = F.concat(
         F.lit("logs/"), "p_brand", F.lit("/checkpoints/epoch="), F.col("p_size").cast("string"),
-        F.lit("-step="), step, F.lit("-acc="), share, F.lit(".ckpt"),
+        F.lit("-step="), step, F.lit("-e_acc="), share, F.lit(".ckpt"),
     )
-    return archives.parse_artifacts(v.table("part").select(path.alias("path"))).select("model", "epoch", "acc")
+    latest = archives.parse_artifacts(v.table("part").select(path.alias("path")))
+    part, _ = archives.part_and_view(F.concat(F.replace("model", F.lit("#"), F.lit("_")), F.lit("_img_labels")))
+    return latest.select("model", part.alias("part"), "epoch", "acc")
 
 
 def _zipped(v: Views) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from labelloom.operators import sampling
+from labelloom.operators.aggregates import label_balance
 from labelloom.plans.registry import query
 from labelloom.plans.views import Views, with_views
 
@@ -94,6 +95,17 @@ def _(v: Views):
     return folded.select("case_id", "fold")
 
 
+@query("fold_balance", f"""with folds as (select o_orderkey as case_id, cast((row_number() over
+    (order by {_md5('o_orderkey', 2)}, o_orderkey) - 1) % 2 as integer) as fold from orders),
+    parts as (select distinct p_type as part from part)
+    select fold, part, count(*) as rows, sum(gt) as positives, round(sum(gt) / count(*), 4) as ratio from
+    (select fold, part, case when (case_id * 7 + length(part) * 3) % 11 < length(part) - 3 then 1 else 0 end as gt
+     from folds cross join parts) group by all""")
+def _(v: Views):
+    folded = sampling.kfold(v.wide_labels, 2, "case_id", 2)
+    return label_balance(folded, v.parts, ["fold"]).withColumn("ratio", F.round("ratio", 4))
+
+
 @query("label_combos", with_views(f"select {COMBO_SQL} as combo, count(*) as rows from ({WIDE_SQL}) group by 1", "labels_long"))
 def _(v: Views):
     return sampling.label_combos(v.wide_labels, v.parts)

@@ -158,6 +158,7 @@ class Views:
             F.lower("p_name").alias("Description"),
             F.col("l_extendedprice").alias("fVAL"),
             F.lower("l_returnflag").alias("DamageCond"),
+            F.col("l_linestatus").alias("CoType"),
         )
         joined = self.table("lineitem").join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"))
         parts = joined.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_list(line).alias("parts"))

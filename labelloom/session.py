@@ -6,7 +6,9 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+# Rows of a few fixed-width columns that may be sent to every executor.
 BROADCAST_ROWS = 100_000
 
 SETTINGS = {
@@ -56,3 +58,13 @@ def save_point(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives lost executors and cuts the lineage."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def small_side(summary: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A summary table to join back to the rows it came from.
+
+    It is computed once and saved, then counted: up to `max_rows` rows it is broadcast, so the large
+    side is not shuffled on what may be a hot key; beyond that it is left to a shuffle join.
+    """
+    saved = save_point(summary)
+    return F.broadcast(saved) if saved.limit(max_rows + 1).count() <= max_rows else saved

@@ -8,7 +8,7 @@ import zlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -25,26 +25,36 @@ def ids_from_paths(paths: DataFrame, column: str, regex: str) -> DataFrame:
 
 
 def parse_artifacts(df: DataFrame, path: str = "path") -> DataFrame:
-    """Model name, epoch and metrics written into checkpoint paths, latest epoch per model.
+    """Model folder and the epoch and metrics written into checkpoint names, latest file per model.
 
-    A path looks like `.../<model>/.../epoch=4-step=10-acc=0.94-tpr=0.93-tnr=0.95.ckpt`; an absent
-    metric is null. Equal epochs are settled by the path.
+    A path ends like `<model>/checkpoints/epoch=4-e_acc=0.94-e_tp=0.93--e_tn=0.95.ckpt`; what a name
+    does not mention is null. The latest file has the highest epoch, then the last name.
     """
     text = F.col(path)
 
-    def metric(name: str):
-        return F.regexp_extract(text, rf"(?i)(?<![a-z]){name}=([0-9]+(?:\.[0-9]+)?)", 1).try_cast("double").alias(name)
+    def number(name: str):
+        return F.regexp_extract(text, rf"(?<![A-Za-z]){name}=([0-9]+(?:\.[0-9]+)?)", 1).try_cast("double")
 
     parsed = df.select(
         F.regexp_extract(text, r"([^/]+)/checkpoints/[^/]+$", 1).alias("model"),
         text.alias("path"),
-        metric("epoch").cast("int").alias("epoch"),
-        metric("acc"), metric("tpr"), metric("tnr"),
+        number("epoch").cast("int").alias("epoch"),
+        number("acc").alias("acc"),
+        number("tp").alias("tpr"),
+        number("tn").alias("tnr"),
     )
     latest = F.max_by(F.struct("path", "epoch", "acc", "tpr", "tnr"), F.struct("epoch", "path"))
     return parsed.groupBy("model").agg(latest.alias("last")).select("model", "last.*")
 
 
+def part_and_view(name: Column, view_first: bool = False) -> tuple[Column, Column]:
+    """Part and view of a model name: `<part>_<view>_img_labels`, or `<view>_<part>`."""
+    bare = F.regexp_replace(name, "_img_labels$", "")
+    if view_first:
+        return F.regexp_extract(bare, "^[^_]*_(.*)$", 1), F.regexp_extract(bare, "^([^_]*)_", 1)
+    return F.regexp_extract(bare, "^(.*)_[^_]*$", 1), F.regexp_extract(bare, "_([^_]*)$", 1)
+
+
 def extract_members(archives: DataFrame, manifest: DataFrame) -> DataFrame:
     """Named members of per-case zip archives: (case_id, member, content).
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CASE_FIELDS = "CaseID: bigint, Vehicle_Type: string, Claim_Type: string, Model: string, Gross_Offer_Insurer: double"
-PART_FIELDS = "Description: string, fVAL: double, DamageCond: string"
+PART_FIELDS = "Description: string, fVAL: double, DamageCond: string, CoType: string"
 FILE_FIELDS = "iDOCID: bigint, FinalDate: string, StdDocDesc: string"
 
 

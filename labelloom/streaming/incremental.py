@@ -15,17 +15,21 @@ from pyspark.sql.streaming.query import StreamingQuery
 from labelloom.sources.documents import flatten_cases
 
 
-def _save_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch_id}")
+# The column that each ingested table is partitioned by.
+PARTITION_COLUMNS = {"case": "Vehicle_Type", "part": "CoType", "file": "StdDocDesc"}
+
+
+def _save_batch(df: DataFrame, path: str, batch_id: int, by: Sequence[str] = ()) -> None:
+    df.write.mode("overwrite").partitionBy(*by).parquet(f"{path.rstrip('/')}/batch={batch_id}")
 
 
 def ingest_stream(raw: DataFrame, sink: str, checkpoint: str) -> StreamingQuery:
-    """New documents to `<sink>/case`, `/part` and `/file`; every document of a batch is flushed."""
+    """New documents to `<sink>/case`, `/part` and `/file`, partitioned; every document of a batch is flushed."""
     def write(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist()
         try:
             for name, table in flatten_cases(kept)._asdict().items():
-                _save_batch(table, f"{sink}/{name}", batch_id)
+                _save_batch(table, f"{sink}/{name}", batch_id, [PARTITION_COLUMNS[name]])
         finally:
             kept.unpersist()
 

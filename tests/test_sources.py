@@ -49,9 +49,16 @@ def test_list_ids(spark, rows, tmp_path):
 
 
 def test_artifacts_keep_latest(spark):
-    paths = [("x/m1/checkpoints/epoch=2-step=5-acc=0.90-tpr=0.8.ckpt",), ("x/m1/checkpoints/epoch=10-step=9-acc=0.85.ckpt",)]
+    paths = [("x/m1/checkpoints/epoch=2-e_acc=0.90-e_tp=0.8.ckpt",), ("x/m1/checkpoints/epoch=10-e_acc=0.85--e_tn=0.75.ckpt",)]
     row = archives.parse_artifacts(spark.createDataFrame(paths, "path string")).first()
-    assert (row.model, row.epoch, row.acc, row.tpr) == ("m1", 10, 0.85, None)
+    assert (row.model, row.epoch, row.acc, row.tpr, row.tnr) == ("m1", 10, 0.85, None, 0.75)
+
+
+def test_model_names(spark):
+    df = spark.createDataFrame([("bumper_front_Front View_img_labels", "Rear View_tail_lamp_lh")], "a string, b string")
+    part, view = archives.part_and_view(F.col("a"))
+    other_part, other_view = archives.part_and_view(F.col("b"), view_first=True)
+    assert tuple(df.select(part, view, other_part, other_view).first()) == ("bumper_front", "Front View", "tail_lamp_lh", "Rear View")
 
 
 def _zip(**members):
@@ -84,7 +91,7 @@ def test_flatten_skips_bad_documents(spark, rows):
     ], "doc string, files string")
     case, part, file = documents.flatten_cases(raw)
     assert rows(case, "CaseID") == [(1,), (3,)]
-    assert rows(part) == [(1, "x", 1.5, None)]
+    assert rows(part) == [(1, "x", 1.5, None, None)]
     assert rows(file, "CaseID", "iDOCID") == [(1, 9)]
 
 
