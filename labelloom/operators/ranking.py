@@ -16,9 +16,7 @@ from pyspark.sql import Window as W
 from labelloom.functions import hash_order
 from labelloom.session import save_point
 
-# `row_number() <= n` is pruned before the shuffle up to this n (Spark's own default threshold).
-PRUNED_TOP_N = 1000
-SALTS = 64
+SALTS = 256
 RANGE_BUCKETS = 128
 
 
@@ -34,13 +32,11 @@ def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFr
 
 
 def top_n_per(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
-    """First n rows per key for a report-size n, with the rank in `rank`.
+    """First n rows per key, with the rank in `rank`.
 
-    The first pass keeps n rows per key and map-task group, so a hot key reaches the final task as
-    at most `SALTS * n` rows. A larger n goes through `running`.
+    The first pass keeps n rows per key and group of map tasks, so a hot key is sorted in `SALTS`
+    tasks and reaches the last one as at most `SALTS * n` rows.
     """
-    if n > PRUNED_TOP_N:
-        raise ValueError(f"n={n} needs running(): only n <= {PRUNED_TOP_N} is pruned before the shuffle")
     salted = df.withColumn("_salt", F.spark_partition_id() % SALTS)
     within_salt = F.row_number().over(W.partitionBy(*keys, "_salt").orderBy(*order))
     kept = salted.withColumn("_rn", within_salt).filter(F.col("_rn") <= n).drop("_rn", "_salt")

@@ -104,7 +104,7 @@ def _(v: Views):
     return evaluate.ensemble_vote(v.predictions, v.labels, v.parts, tie="one")
 
 
-@query("case_accuracy", with_views("""select case_id, sum(cast(gt = pred as integer)) as correct,
+@query("case_accuracy", with_views("""select case_id, cast(sum(cast(gt = pred as integer)) as bigint) as correct,
     round(avg(cast(gt = pred as double)), 6) as case_acc,
     coalesce(string_agg(case when gt = pred then part end, ',' order by part), '') as correct_parts,
     coalesce(string_agg(case when gt <> pred then part end, ',' order by part), '') as wrong_parts
@@ -126,14 +126,16 @@ CELLS = {
     "by_count": """select *, tp_count / nullif(tp_count + fp_count, 0) as precision, tpr as recall,
         (tp_count + tn_count) / (tp_count + tn_count + fp_count + fn_count) as acc from rates""",
 }
+COUNTS = ("tp_count", "tn_count", "fp_count", "fn_count", "gt_pos", "gt_neg")
 RATIOS = ("tpr", "tnr", "fpr", "fnr", "gt_pos_ratio", "pred_pos_ratio", "precision", "recall", "acc", "f1")
 
 
 def _metric_sql(source: str, weight: str = "1") -> str:
     f1 = "2 * precision * recall / nullif(precision + recall, 0)"
+    counts = ", ".join(f"cast({c} as bigint) as {c}" for c in COUNTS)
     shown = ", ".join(f"round({f1 if r == 'f1' else r}, 6) as {r}" for r in RATIOS)
     return with_views(
-        f"select part, tp_count, tn_count, fp_count, fn_count, gt_pos, gt_neg, {shown} from {source}",
+        f"select part, {counts}, {shown} from {source}",
         "decisions", graded_rows=f"select *, {weight} as w from decisions", **CELLS)
 
 

@@ -125,14 +125,14 @@ def _manifest(v: Views) -> DataFrame:
     return v.table("documents").select(F.col("doc_id").alias("case_id"), names.alias("member"))
 
 
-@query("extract_members", """select doc_id as case_id, 'text.txt' as member, strlen(text) as bytes from documents
-    union all select doc_id, 'source.txt', strlen(source) from documents where doc_id % 5 <> 0""")
+@query("extract_members", """select doc_id as case_id, 'text.txt' as member, cast(strlen(text) as integer) as bytes from documents
+    union all select doc_id, 'source.txt', cast(strlen(source) as integer) from documents where doc_id % 5 <> 0""")
 def _(v: Views):
     extracted = archives.extract_members(_zipped(v), _manifest(v))
     return extracted.select("case_id", "member", F.octet_length("content").alias("bytes"))
 
 
-@query("archive_completeness", "select doc_id as case_id, 2 as wanted, 1 as extracted from documents where doc_id % 5 = 0")
+@query("archive_completeness", "select doc_id as case_id, cast(2 as bigint) as wanted, cast(1 as bigint) as extracted from documents where doc_id % 5 = 0")
 def _(v: Views):
     manifest = _manifest(v)
     return archives.archive_completeness(manifest, archives.extract_members(_zipped(v), manifest))

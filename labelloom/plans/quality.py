@@ -52,14 +52,14 @@ def _(v: Views):
     return flagged.groupBy("part", "confident", "is_issue").agg(F.count("*").alias("n"))
 
 
-@query("ranked_issues", _issue_sql("""select case_id, round(quality, 6) as quality, row_number() over (order by quality, case_id) as rank
+@query("ranked_issues", _issue_sql("""select case_id, round(quality, 6) as quality, cast(row_number() over (order by quality, case_id) as integer) as rank
     from by_case where is_issue = 1 qualify rank <= 1500"""))
 def _(v: Views):
     return _rounded(quality.rank_issues(_issues(v), 1500), "quality")
 
 
 @query("issue_coverage", _issue_sql(
-    "select count(*) as cases, sum(is_issue) as issues, round(sum(is_issue) / count(*), 6) as coverage from by_case"))
+    "select count(*) as cases, cast(sum(is_issue) as bigint) as issues, round(sum(is_issue) / count(*), 6) as coverage from by_case"))
 def _(v: Views):
     return _rounded(quality.issue_coverage(_issues(v)), "coverage")
 
@@ -164,7 +164,7 @@ def _(v: Views):
     return quality.select_clean(rows, _known_aum(v), "sample_id", lo=0.2, hi=0.8, ood=0.1).select("sample_id", "label")
 
 
-@query("selection_report", with_views("""select label, count(*) as rows, sum(keep) as kept, round(sum(keep) / count(*), 6) as share from
+@query("selection_report", with_views("""select label, count(*) as rows, cast(sum(keep) as bigint) as kept, round(sum(keep) / count(*), 6) as share from
     (select label, case when aum >= (select quantile_cont(aum, 0.6) from known) then 1 else 0 end as keep
      from class_probs join known using (sample_id)) group by label""", "class_probs", **AUM_VIEWS, known=_KNOWN))
 def _(v: Views):
@@ -204,8 +204,8 @@ def _(v: Views):
     return quality.correct_labels(v.labels, _suspicious(v), TARGETS)
 
 
-@query("correction_report", _issue_sql("""select part, sum(b.gt) as pos_before, sum(1 - b.gt) as neg_before, sum(a.gt) as pos_after,
-    sum(1 - a.gt) as neg_after from labels_long b join corrected a using (case_id, part) group by part""", **SUSPICIOUS))
+@query("correction_report", _issue_sql("""select part, cast(sum(b.gt) as bigint) as pos_before, cast(sum(1 - b.gt) as bigint) as neg_before,
+    cast(sum(a.gt) as bigint) as pos_after, cast(sum(1 - a.gt) as bigint) as neg_after from labels_long b join corrected a using (case_id, part) group by part""", **SUSPICIOUS))
 def _(v: Views):
     return quality.correction_report(v.labels, quality.correct_labels(v.labels, _suspicious(v), TARGETS))
 

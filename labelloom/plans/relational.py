@@ -102,7 +102,7 @@ def _(v: Views):
     return graded.groupBy("case_id", label_state(known, "x").alias("state")).agg(F.count("*").alias("n"))
 
 
-@query("threshold_flags", with_views("""select case_id, sum(cast(conf > threshold as integer)) as flagged,
+@query("threshold_flags", with_views("""select case_id, cast(sum(cast(conf > threshold as integer)) as bigint) as flagged,
     cast(sum(cast(conf > threshold as integer)) > 2 as integer) as many from predictions group by case_id""", "predictions"))
 def _(v: Views):
     flagged = v.predictions.groupBy("case_id").agg(F.sum(flag_gt(F.col("conf"), F.col("threshold"))).alias("flagged"))
@@ -340,7 +340,7 @@ def _(v: Views):
     return aggregates.count_by(v.part_lines, ["part", "damage_cond"])
 
 
-@query("level_sums", with_views("""select part, sum(n) as count, count(*) as descriptions from
+@query("level_sums", with_views("""select part, cast(sum(n) as bigint) as count, count(*) as descriptions from
     (select part, description, count(*) as n from part_lines group by all) group by part""", "part_lines"))
 def _(v: Views):
     sizes = v.part_lines.groupBy("part", "description").agg(F.count("*").alias("n"))
@@ -421,7 +421,7 @@ def _(v: Views):
     return aggregates.histogram(v.part_lines, "fval", 20, 0.0, 110000.0)
 
 
-@query("label_balance", with_views("""select cast(view as integer) as view, part, count(*) as rows, sum(gt) as positives,
+@query("label_balance", with_views("""select cast(view as integer) as view, part, count(*) as rows, cast(sum(gt) as bigint) as positives,
     round(sum(gt) / count(*), 6) as ratio from (select p.case_id % 4 as view, p.part, p.gt from labels_long p) group by all""",
     "labels_long"))
 def _(v: Views):
@@ -438,8 +438,8 @@ def _(v: Views):
     return first.select("case_id", "view", "doc_id", F.date_format("final_date", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("taken"))
 
 
-@query("top_lines_per_part", with_views("""select part, case_id, line, fval, rank from (select *, row_number() over
-    (partition by part order by fval desc, case_id, line) as rank from part_lines) where rank <= 200""", "part_lines"))
+@query("top_lines_per_part", with_views("""select part, case_id, line, fval, rank from (select *, cast(row_number() over
+    (partition by part order by fval desc, case_id, line) as integer) as rank from part_lines) where rank <= 200""", "part_lines"))
 def _(v: Views):
     order = [F.desc("fval"), F.col("case_id"), F.col("line")]
     return ranking.top_n_per(v.part_lines, ["part"], order, 200).select("part", "case_id", "line", "fval", "rank")

@@ -98,7 +98,7 @@ def _(v: Views):
 @query("fold_balance", f"""with folds as (select o_orderkey as case_id, cast((row_number() over
     (order by {_md5('o_orderkey', 2)}, o_orderkey) - 1) % 2 as integer) as fold from orders),
     parts as (select distinct p_type as part from part)
-    select fold, part, count(*) as rows, sum(gt) as positives, round(sum(gt) / count(*), 4) as ratio from
+    select fold, part, count(*) as rows, cast(sum(gt) as bigint) as positives, round(sum(gt) / count(*), 4) as ratio from
     (select fold, part, case when (case_id * 7 + length(part) * 3) % 11 < length(part) - 3 then 1 else 0 end as gt
      from folds cross join parts) group by all""")
 def _(v: Views):
@@ -190,7 +190,7 @@ def _(v: Views):
     return sampling.id_batches(v.cases, "case_id", 1000, 0)
 
 
-@query("split_overlap", """select o_custkey, 2 as frames from
+@query("split_overlap", """select o_custkey, cast(2 as bigint) as frames from
     (select o_custkey from orders where o_orderstatus = 'F' intersect select o_custkey from orders where o_orderstatus = 'O')""")
 def _(v: Views):
     orders = v.table("orders")

@@ -26,27 +26,41 @@ def document_schema(case_fields: str = CASE_FIELDS, part_fields: str = PART_FIEL
     return f"struct<status: string, data: struct<data: struct<main: struct<{case_fields}>, est_details: {details}>>>"
 
 
-def flatten_cases(
+def parse_documents(
     raw: DataFrame, case_fields: str = CASE_FIELDS, part_fields: str = PART_FIELDS, file_fields: str = FILE_FIELDS
-) -> CaseTables:
-    """Case, part-line and file tables of documents whose status is OK.
+) -> DataFrame:
+    """Nested columns `main`, `parts`, `files` of the documents whose status is OK.
 
     `raw` has `doc` (case JSON) and `files` (JSON array of file objects, may be null). Documents
-    that do not parse have no status and are skipped too. Children carry the case id.
+    that do not parse have no status and are skipped too.
     """
     parsed = raw.select(
         F.from_json("doc", document_schema(case_fields, part_fields)).alias("d"),
         F.from_json("files", f"array<struct<{file_fields}>>").alias("f"),
     ).filter(F.col("d.status") == "OK")
-    main = parsed.select(F.col("d.data.data.main").alias("main"), F.col("d.data.data.est_details.parts").alias("parts"), "f")
+    data = F.col("d.data.data")
+    return parsed.select(
+        data["main"].alias("main"), data["est_details"]["parts"].alias("parts"), F.col("f").alias("files")
+    )
+
+
+def flatten_parsed(parsed: DataFrame) -> CaseTables:
+    """Case, part-line and file tables of parsed documents; children carry the case id."""
     case_id = F.col("main.CaseID").alias("CaseID")
     return CaseTables(
-        case=main.select("main.*"),
-        part=main.select(case_id, F.inline("parts")),
-        file=main.select(case_id, F.inline("f")),
+        case=parsed.select("main.*"),
+        part=parsed.select(case_id, F.inline("parts")),
+        file=parsed.select(case_id, F.inline("files")),
     )
 
 
+def flatten_cases(
+    raw: DataFrame, case_fields: str = CASE_FIELDS, part_fields: str = PART_FIELDS, file_fields: str = FILE_FIELDS
+) -> CaseTables:
+    """Both steps; to write all three tables, keep the parsed rows in between."""
+    return flatten_parsed(parse_documents(raw, case_fields, part_fields, file_fields))
+
+
 def explode_view_parts(df: DataFrame, column: str) -> DataFrame:
     """JSON map of view -> parts to distinct (view, part) rows."""
     parsed = df.select(F.explode(F.from_json(column, "map<string, array<string>>")).alias("view", "parts"))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from labelloom.sources.documents import flatten_cases
+from labelloom.sources.documents import flatten_parsed, parse_documents
 
 
 # The column that each ingested table is partitioned by.
@@ -26,9 +26,9 @@ def _save_batch(df: DataFrame, path: str, batch_id: int, by: Sequence[str] = ())
 def ingest_stream(raw: DataFrame, sink: str, checkpoint: str) -> StreamingQuery:
     """New documents to `<sink>/case`, `/part` and `/file`, partitioned; every document of a batch is flushed."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.persist()
+        kept = parse_documents(batch).persist()
         try:
-            for name, table in flatten_cases(kept)._asdict().items():
+            for name, table in flatten_parsed(kept)._asdict().items():
                 _save_batch(table, f"{sink}/{name}", batch_id, [PARTITION_COLUMNS[name]])
         finally:
             kept.unpersist()
