@@ -27,23 +27,42 @@ def _dominated(points: np.ndarray, rivals: np.ndarray) -> np.ndarray:
     return hit
 
 
+def _front(points: np.ndarray) -> np.ndarray:
+    """Positions of the points no other one dominates, found from the largest sum downwards."""
+    order = np.argsort(-points.sum(axis=1), kind="stable")
+    kept = np.empty(0, dtype=np.int64)
+    for start in range(0, len(order), 256):
+        block = order[start:start + 256]
+        block = block[~_dominated(points[block], points[kept])]
+        block = block[~_dominated(points[block], points[block])]
+        kept = np.concatenate([kept, block])
+    return np.sort(kept)
+
+
 def pareto_front(df: DataFrame, id_col: str, columns: Sequence[str]) -> DataFrame:
     """Rows no other row dominates.
 
-    Every partition first drops the rows dominated inside its batches. The surviving candidates are
-    saved, cut into bounded chunks, and each chunk meets each other chunk in its own task, which
-    reports the ids that lose. No task holds all candidates, however long the front is.
+    Rows dominated inside their own batch are dropped first, and again after mixing the batches for
+    as long as that at least halves the candidates. The rest is cut into bounded chunks, and each
+    chunk meets each other chunk in its own task, which reports the ids that lose. No task holds all
+    candidates, however long the front is.
     """
     names = list(columns)
     rows = df.select(id_col, *[F.col(c).cast("double").alias(c) for c in names]).na.drop()
 
     def local_front(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            values = batch[names].to_numpy()
-            yield batch[~_dominated(values, values)]
+            yield batch.iloc[_front(batch[names].to_numpy())]
 
     candidates = save_point(rows.mapInPandas(local_front, rows.schema))
-    chunks = max(1, -(-candidates.count() // CANDIDATES_PER_CHUNK))
+    size = candidates.count()
+    while size > CANDIDATES_PER_CHUNK:
+        mixed = candidates.repartition(-(-size // CANDIDATES_PER_CHUNK))
+        candidates = save_point(mixed.mapInPandas(local_front, rows.schema))
+        before, size = size, candidates.count()
+        if size > before / 2:
+            break
+    chunks = max(1, -(-size // CANDIDATES_PER_CHUNK))
     chunk = F.pmod(F.xxhash64(id_col), F.lit(chunks)).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))
     points = candidates.withColumn("_mine", chunk).withColumn("_theirs", every)

@@ -135,12 +135,17 @@ def class_health(df: DataFrame, probs: str, label: str, n_classes: int, by: Sequ
     column_side = sides.groupBy(*by, F.col("guess").alias("class")).agg(
         F.sum("mass").alias("true_rows"), F.sum("off").alias("off_true")
     )
+
+    def whole(mass: str) -> Column:
+        # Half to even, after dropping float noise that could hide a half.
+        return F.bround(F.round(mass, 6), 0).cast("long")
+
     noise = safe_ratio(F.col("off_given"), F.col("given_rows"))
     return row_side.join(column_side, [*by, "class"]).select(
         *by,
         "class",
-        F.round("off_given", 0).cast("long").alias("label_issues"),
-        F.round("off_true", 0).cast("long").alias("inverse_issues"),
+        whole("off_given").alias("label_issues"),
+        whole("off_true").alias("inverse_issues"),
         noise.alias("label_noise"),
         safe_ratio(F.col("off_true"), F.col("true_rows")).alias("inverse_noise"),
         (1 - noise).alias("quality"),

@@ -79,8 +79,8 @@ HEALTH_VIEWS = {
         from joint group by all""",
     "column_side": """select dataset_index, guess as class, sum(mass) as true_rows, sum(case when given <> guess then mass else 0 end) as off_true
         from joint group by all""",
-    "health": """select dataset_index, class, cast(round(round(off_given, 6), 0) as bigint) as label_issues,
-        cast(round(round(off_true, 6), 0) as bigint) as inverse_issues,
+    "health": """select dataset_index, class, cast(round_even(round(off_given, 6), 0) as bigint) as label_issues,
+        cast(round_even(round(off_true, 6), 0) as bigint) as inverse_issues,
         round(off_given / given_rows, 6) as label_noise, round(off_true / true_rows, 6) as inverse_noise,
         round(1 - off_given / given_rows, 6) as quality from row_side join column_side using (dataset_index, class)""",
 }

@@ -504,6 +504,14 @@ def _(v: Views):
     )
 
 
+@query("parsed_dates", """select cast(year(o_orderdate) as integer) as year, cast(month(o_orderdate) as integer) as month, count(*) as n
+    from orders group by all""")
+def _(v: Views):
+    text = v.table("orders").select(F.date_format("o_orderdate", "dd/MM/yyyy HH:mm").alias("written"))
+    parsed = F.to_timestamp("written", "dd/MM/yyyy HH:mm")
+    return text.groupBy(F.year(parsed).alias("year"), F.month(parsed).alias("month")).agg(F.count("*").alias("n"))
+
+
 @query("json_path", """select cast(json_extract_string(props, '$.k') as integer) as k, count(*) as n, round(sum(value), 2) as total
     from events group by 1""")
 def _(v: Views):

@@ -57,6 +57,16 @@ def test_folds_partition_each_stratum(skewed):
     assert all(len(s) == 3 and max(s) - min(s) <= 1 for s in sizes.values())
 
 
+def test_multilabel_folds_are_balanced(spark):
+    parts = [f"p{i}" for i in range(5)]
+    columns = [(F.pmod(F.xxhash64("id", F.lit(i)), F.lit(100)) < 3 + 12 * i).cast("int").alias(p) for i, p in enumerate(parts)]
+    df = spark.range(6000).select("id", *columns)
+    folded = sampling.kfold_multilabel(df, parts, 2, "id", 1)
+    shares = {r.fold: r for r in folded.groupBy("fold").agg(*[F.avg(p).alias(p) for p in parts], F.count("*").alias("n")).collect()}
+    assert abs(shares[0].n - shares[1].n) <= 40  # at most one row per stratum
+    assert max(abs(shares[0][p] - shares[1][p]) for p in parts) < 0.01
+
+
 def test_capped_sample_and_split(skewed):
     kept = Counter(r.g for r in sampling.sample_n_per(skewed, ["g"], "id", 2500, 1).collect())
     assert all(kept[g] == min(2500, len(ids)) for g, ids in _groups(skewed).items())
