@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelloom.functions import safe_ratio
+from labelloom.operators.joins import ids_of
 
 
 def count_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -29,8 +30,8 @@ def view_counts(files: DataFrame) -> DataFrame:
 
 def coverage(ids: DataFrame, available: DataFrame, key: str) -> DataFrame:
     """How many of the distinct ids are available: counts and ratio in one row."""
-    wanted = ids.select(key).distinct()
-    have = available.select(key).distinct().withColumn("_have", F.lit(1))
+    wanted = ids_of(ids, key)
+    have = ids_of(available, key).withColumn("_have", F.lit(1))
     flagged = wanted.join(have, key, "left")
     total, found = F.count("*"), F.count("_have")
     return flagged.agg(

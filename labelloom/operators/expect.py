@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from labelloom.operators.joins import common_ids
+
 
 def _report(check: str, failed: DataFrame) -> DataFrame:
     return failed.agg(F.count("*").alias("failed_rows")).select(F.lit(check).alias("check"), "failed_rows")
@@ -20,7 +22,7 @@ def expect_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def expect_disjoint(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     """No id is in both tables; counts the shared ids."""
-    return _report(f"disjoint_{key}", a.select(key).intersect(b.select(key)))
+    return _report(f"disjoint_{key}", common_ids(a, b, key))
 
 
 def expect_that(df: DataFrame, name: str, predicate: Column) -> DataFrame:

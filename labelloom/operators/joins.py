@@ -23,6 +23,14 @@ def vocabulary(df: DataFrame, column: str, max_terms: int = 1000) -> list[str]:
     return sorted(r[0] for r in rows)
 
 
+def ids_of(df: DataFrame, key: str) -> DataFrame:
+    """Distinct ids of a table, for the far side of a semi or anti join.
+
+    Repeats collapse before the shuffle, so an id that holds much of the table arrives once per task.
+    """
+    return df.select(key).where(F.col(key).isNotNull()).distinct()
+
+
 def for_parts(df: DataFrame, parts: Sequence[str] | None) -> DataFrame:
     """A table with one row per part, ready to join to rows of those parts.
 
@@ -36,7 +44,7 @@ def for_parts(df: DataFrame, parts: Sequence[str] | None) -> DataFrame:
 
 def work_list(wanted: DataFrame, *done: DataFrame, key: str) -> DataFrame:
     """Ids still to process: wanted minus every finished set."""
-    return reduce(lambda left, right: left.join(right.select(key), key, "left_anti"), done, wanted.select(key).distinct())
+    return reduce(lambda left, right: left.join(ids_of(right, key), key, "left_anti"), done, ids_of(wanted, key))
 
 
 def assemble_wide(
@@ -49,7 +57,10 @@ def assemble_wide(
 
 
 def prefer(base: DataFrame, better: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Take `columns` from `better` where it has the key, else from `base`; `replaced` says which."""
+    """Take `columns` from `better` where it has the key, else from `base`; `replaced` says which.
+
+    Keys are unique in `better`.
+    """
     renamed = better.select(*keys, *[F.col(c).alias(f"_b_{c}") for c in columns], F.lit(1).alias("_hit"))
     joined = base.join(renamed, list(keys), "left")
     chosen = [
@@ -78,9 +89,9 @@ def union_all(*frames: DataFrame) -> DataFrame:
 
 def common_ids(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     """Ids in both tables."""
-    return a.select(key).intersect(b.select(key))
+    return ids_of(a, key).join(ids_of(b, key), key, "left_semi")
 
 
 def without_ids(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     """Distinct ids of the first table that the second lacks."""
-    return a.select(key).subtract(b.select(key))
+    return ids_of(a, key).join(ids_of(b, key), key, "left_anti")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from labelloom.functions import bald_terms, entropy, margin, safe_ratio
-from labelloom.operators.joins import for_parts
+from labelloom.operators.joins import for_parts, ids_of
 from labelloom.operators.ranking import quantile_value, range_bucketed, running, top_n_per
 from labelloom.operators.sampling import sample_n_per
 from labelloom.session import save_point, small_side
@@ -294,7 +294,7 @@ def noisy_cases(top_issues: Sequence[DataFrame], protect: DataFrame) -> DataFram
     united = top_issues[0].select("case_id")
     for other in top_issues[1:]:
         united = united.unionByName(other.select("case_id"))
-    return united.distinct().join(protect.select("case_id"), "case_id", "left_anti")
+    return united.distinct().join(ids_of(protect, "case_id"), "case_id", "left_anti")
 
 
 def bald(draws: DataFrame, sample: str, probs: str, n_classes: int) -> DataFrame:

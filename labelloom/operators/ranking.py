@@ -17,7 +17,7 @@ from labelloom.functions import hash_order
 from labelloom.session import save_point
 
 SALTS = 256
-RANGE_BUCKETS = 128
+RANGE_STEP = 16
 
 
 def first_per(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -56,16 +56,26 @@ def hash_bucket(digest: str | Column, digits: int = 3) -> Column:
     return F.substring(column, 1, digits)
 
 
-def range_bucketed(df: DataFrame, column: str, buckets: int = RANGE_BUCKETS) -> DataFrame:
+def range_bucketed(df: DataFrame, column: str) -> DataFrame:
     """Add `_range`, an order-preserving bucket of a numeric column, about equally filled.
 
     The cut points are approximate quantiles read once through a scalar subquery; they only balance
-    the buckets, so results do not depend on how good they are.
+    the buckets, so results do not depend on how good they are. A row looks up its bucket in two
+    steps of `RANGE_STEP` comparisons.
     """
+    buckets = RANGE_STEP * RANGE_STEP
     shares = [i / buckets for i in range(1, buckets)]
-    cuts = df.select(F.percentile_approx(column, shares, 10_000)).scalar()
-    below = F.size(F.filter("_cuts", lambda cut: cut < F.col(column)))
-    return df.withColumn("_cuts", cuts).withColumn("_range", below).drop("_cuts")
+    cuts = df.select(F.percentile_approx(column, shares, 10_000).alias("fine"))
+    every = F.array(*[F.get("fine", F.lit(RANGE_STEP * i - 1)) for i in range(1, RANGE_STEP)])
+    both = cuts.select(F.struct("fine", every.alias("coarse")).alias("cuts")).scalar()
+
+    def below(values: Column) -> Column:
+        return F.size(F.filter(values, lambda cut: cut < F.col(column)))
+
+    coarse = df.withColumn("_cuts", both).withColumn("_coarse", below(F.col("_cuts.coarse")))
+    start = F.col("_coarse") * RANGE_STEP
+    fine = below(F.slice(F.col("_cuts.fine"), start + 1, RANGE_STEP - 1))
+    return coarse.withColumn("_range", start + fine).drop("_cuts", "_coarse")
 
 
 def running(

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelloom.functions import label_key, safe_ratio
+from labelloom.operators.joins import ids_of
 from labelloom.operators.ranking import dedup, keep_top_groups, shuffled
 from labelloom.session import small_side
 
@@ -122,7 +123,7 @@ def oversample(df: DataFrame, parts: Sequence[str], min_ratio: float = 0.2, copi
 
 def holdout(df: DataFrame, ids: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """(rest, held out) by a fixed list of ids."""
-    listed = ids.select(key)
+    listed = ids_of(ids, key)
     return df.join(listed, key, "left_anti"), df.join(listed, key, "left_semi")
 
 
@@ -138,7 +139,7 @@ def split_eval_train(
 ) -> tuple[DataFrame, DataFrame]:
     """(train, eval): random eval rows, and train rows of other cases, capped per group and in total."""
     evaluation = sample_n(df, id_col, eval_rows, seed)
-    others = df.join(evaluation.select(case_col), case_col, "left_anti")
+    others = df.join(ids_of(evaluation, case_col), case_col, "left_anti")
     train = sample_n(sample_n_per(others, [group], id_col, per_group, seed), id_col, train_rows, seed)
     return train, dedup(evaluation, [id_col], [F.col(case_col)])
 
@@ -184,6 +185,6 @@ def id_batches(df: DataFrame, id_col: str, size: int, seed: int) -> DataFrame:
 
 def all_disjoint(frames: Sequence[DataFrame], key: str) -> DataFrame:
     """Ids that occur in more than one of the frames; empty when the splits are disjoint."""
-    tagged = [f.select(key).distinct() for f in frames]
+    tagged = [ids_of(f, key) for f in frames]
     together = reduce(DataFrame.unionByName, tagged)
     return together.groupBy(key).agg(F.count("*").alias("frames")).filter("frames > 1")

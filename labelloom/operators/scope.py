@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from labelloom.functions import differs, not_in, not_rlike_any, rlike_any
 from labelloom.operators.aggregates import complete_views
+from labelloom.operators.joins import ids_of
 from labelloom.operators.ranking import dedup
 
 # Damage conditions that do not count as damage.
@@ -124,7 +125,7 @@ def scope_cases(cases: DataFrame, parts: DataFrame, files: DataFrame, cfg: Scope
     for removed in case_rules(cfg).values():
         kept = kept.filter(~removed)
     complete = complete_views(files, cfg.required_views)
-    with_parts = scope_parts(parts, cfg).select("case_id")
+    with_parts = ids_of(scope_parts(parts, cfg), "case_id")
     scoped = kept.join(complete, "case_id", "left_semi").join(with_parts, "case_id", "left_semi")
     return dedup(scoped, ["case_id"], [F.col(c) for c in sorted(set(cases.columns) - {"case_id"})])
 
@@ -132,7 +133,7 @@ def scope_cases(cases: DataFrame, parts: DataFrame, files: DataFrame, cfg: Scope
 def scope_funnel(cases: DataFrame, parts: DataFrame, files: DataFrame, cfg: ScopeConfig) -> DataFrame:
     """Case funnel: the column rules plus missing views and missing part lines."""
     complete = complete_views(files, cfg.required_views).withColumn("_views", F.lit(True))
-    with_parts = scope_parts(parts, cfg).select("case_id").distinct().withColumn("_parts", F.lit(True))
+    with_parts = ids_of(scope_parts(parts, cfg), "case_id").withColumn("_parts", F.lit(True))
     flagged = cases.join(complete, "case_id", "left").join(with_parts, "case_id", "left")
     return filter_funnel(flagged, {
         **case_rules(cfg),

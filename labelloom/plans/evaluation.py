@@ -47,7 +47,7 @@ def _(v: Views):
         [(view, p) for view, parts in MAPPING.items() for p in parts], "view string, part string"
     )
     files = v.files.withColumn("filename", file_key(F.col("case_id"), F.col("doc_id")))
-    return labels.view_labels(v.labels, mapping, files, [F.col("final_date"), F.col("doc_id")])
+    return labels.view_labels(v.labels_by_part, mapping, files, [F.col("final_date"), F.col("doc_id")])
 
 
 @query("explode_predictions", with_views("""select cast(case_id as varchar) || '.JPG' as file, part, conf > 0.5 as pred, conf, gt

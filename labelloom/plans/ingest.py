@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from labelloom.operators.ranking import dedup
 from labelloom.plans.registry import query
 from labelloom.plans.views import Views, with_views
 from labelloom.session import scratch_path
@@ -19,7 +20,7 @@ _LINES_OF_GOOD = """select o.o_orderkey as "CaseID", lower(p_name) as "Descripti
 @query("flatten_case_rows", """select o_orderkey as "CaseID", o_orderpriority as "Vehicle_Type", o_orderstatus as "Claim_Type", 'm' as "Model",
     o_totalprice as "Gross_Offer_Insurer" from orders where o_orderkey % 50 <> 0""")
 def _(v: Views):
-    return documents.flatten_cases(v.raw_json).case
+    return dedup(documents.flatten_cases(v.raw_json).case, ["CaseID"], [F.col("Gross_Offer_Insurer")])
 
 
 @query("flatten_part_rows", _LINES_OF_GOOD)
@@ -30,7 +31,7 @@ def _(v: Views):
 @query("flatten_file_rows", """select o_orderkey as "CaseID", o_orderkey as "iDOCID", strftime(o_orderdate, '%Y-%m-%d') as "FinalDate",
     o_orderstatus as "StdDocDesc" from orders where o_orderkey % 50 <> 0""")
 def _(v: Views):
-    return documents.flatten_cases(v.raw_json).file
+    return dedup(documents.flatten_cases(v.raw_json).file, ["CaseID", "iDOCID"], [F.col("FinalDate")])
 
 
 @query("view_part_map", with_views("select distinct damage_cond as view, part from part_lines", "part_lines"))

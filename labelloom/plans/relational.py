@@ -8,10 +8,11 @@ from labelloom.functions import (
     case_from_path, clip, file_key, flag_gt, label_key, label_state, positive_labels,
     safe_ratio, sigmoid, strip_position,
 )
-from labelloom.operators import aggregates, expect, joins, labels, matching, ranking, scope
+from labelloom.operators import aggregates, expect, joins, labels, matching, ranking, scope, taxonomy
 from labelloom.operators.evaluate import case_accuracy, ensemble_vote, part_metrics
 from labelloom.operators.frontier import pareto_front
 from labelloom.plans.registry import query
+from labelloom.session import small_side
 from labelloom.plans.views import Views, given_label, with_views
 
 CFG = scope.ScopeConfig(
@@ -159,9 +160,9 @@ def _(v: Views):
     join taxonomy t on p.description = t.lvl_1""", "part_lines",
     taxonomy="select lower(p_name) as lvl_1, arg_min(p_type, p_partkey) as lvl_3 from part group by 1"))
 def _(v: Views):
-    taxonomy = v.table("part").groupBy(F.lower("p_name").alias("lvl_1")).agg(F.min_by("p_type", "p_partkey").alias("lvl_3"))
+    levels = v.table("part").groupBy(F.lower("p_name").alias("lvl_1")).agg(F.min_by("p_type", "p_partkey").alias("lvl_3"))
     lines = v.part_lines.select("case_id", "line", "description")
-    return lines.join(taxonomy, F.col("description") == F.col("lvl_1")).select("case_id", "line", "lvl_3")
+    return lines.join(small_side(levels), F.col("description") == F.col("lvl_1")).select("case_id", "line", "lvl_3")
 
 
 @query("attach_photos", with_views("""select c.case_id, f.photos from cases c
@@ -189,7 +190,7 @@ def _(v: Views):
 
 @query("cases_with_photos", with_views("select case_id, model from cases where case_id in (select case_id from files)", "cases", "files"))
 def _(v: Views):
-    return v.cases.join(v.files.select("case_id"), "case_id", "left_semi").select("case_id", "model")
+    return v.cases.join(joins.ids_of(v.files, "case_id"), "case_id", "left_semi").select("case_id", "model")
 
 
 @query("work_list", with_views("""select case_id from cases where case_id not in (select case_id from files)
@@ -225,10 +226,11 @@ def _(v: Views):
     return joins.prefer(seen, unseen, keys, ["conf"])
 
 
-_LCS_SQL = """
-with recursive counts as (select lower(p_name) as text, count(*) as n from part group by 1),
+_COUNTS_SQL = """with recursive counts as (select lower(p_name) as text, count(*) as n from part group by 1),
 majors as (select text, n from counts where n > (select count(*) from counts) * 0.55),
-minors as (select text, n from counts where not n > (select count(*) from counts) * 0.55),
+minors as (select text, n from counts where not n > (select count(*) from counts) * 0.55)"""
+
+_LCS_SQL = _COUNTS_SQL + """,
 pairs as (select a.text as a, b.text as b, b.n as b_n,
     list_sort(list_distinct(string_split(a.text, ' '))) as ta, list_sort(list_distinct(string_split(b.text, ' '))) as tb
     from minors a cross join majors b),
@@ -268,12 +270,41 @@ def _(v: Views):
     return matching.fuzzy_group(parts, "description", 55, 60)
 
 
+_LINE_COUNTS_SQL = """with recursive part_lines as (select l_orderkey as case_id, l_linenumber as line, lower(p_name) as description,
+    lower(l_returnflag) as damage_cond from lineitem join part on l_partkey = p_partkey),
+counts as (select description as text, count(*) as n from part_lines group by 1),
+majors as (select text, n from counts where n > (select count(*) from counts) * 14.5),
+minors as (select text, n from counts where not n > (select count(*) from counts) * 14.5)"""
+
+
+@query("part_labels", _LCS_SQL.replace(_COUNTS_SQL, _LINE_COUNTS_SQL) + """, taxonomy as (select lower(p_name) as lvl_1,
+    arg_min(p_brand, p_partkey) as lvl_2, arg_min(p_type, p_partkey) as lvl_3 from part group by 1)
+    select case_id, line, match as lvl_1_desc, case when description = 'red ring' then 'WHEEL' else lvl_2 end as lvl_2_desc,
+    case when description = 'red ring' then 'WHEEL' else lvl_3 end as lvl_3_desc
+    from part_lines join mapping on description = text join taxonomy on match = lvl_1
+    where damage_cond <> 'r' and not regexp_matches(description, 'small b|large .i') and not contains(description, 'anvil')""")
+def _(v: Views):
+    levels = v.table("part").groupBy(F.lower("p_name").alias("lvl_1_desc")).agg(
+        F.min_by("p_brand", "p_partkey").alias("lvl_2_desc"), F.min_by("p_type", "p_partkey").alias("lvl_3_desc")
+    )
+    rules = v.spark.createDataFrame(
+        [("red ring", "WHEEL", "WHEEL")], "description string, lvl_2_desc string, lvl_3_desc string"
+    )
+    cases = v.table("orders").select(F.col("o_orderkey").alias("case_id"))
+    lines = v.part_lines.select("case_id", "line", "description", "damage_cond")
+    labelled = taxonomy.part_labels(
+        lines, cases, levels, rules, 1450, 60,
+        condition_terms=["r"], description_terms=["small b", "large .i"], component_terms=["anvil"],
+    )
+    return labelled.select("case_id", "line", "lvl_1_desc", "lvl_2_desc", "lvl_3_desc")
+
+
 @query("sentinel_lookup", with_views("""select c.case_id, c.part, coalesce(v.conf, -1) as conf from labels_long c
     left join (select * from case_predictions where part in ('LARGE', 'PROMO')) v on c.case_id = v.case_id and c.part = v.part""",
     "labels_long", "case_predictions"))
 def _(v: Views):
     seen = v.case_predictions.filter(F.col("part").isin("LARGE", "PROMO"))
-    return joins.lookup_or(v.labels.select("case_id", "part"), seen, ["case_id", "part"], "conf", F.lit(-1.0))
+    return joins.lookup_or(v.labels_by_part.select("case_id", "part"), seen, ["case_id", "part"], "conf", F.lit(-1.0))
 
 
 @query("photo_coverage", with_views("""select count(f.case_id) as available, count(*) - count(f.case_id) as not_available,

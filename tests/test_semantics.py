@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from labelloom import functions as fn
-from labelloom.operators import aggregates, evaluate, expect, joins, labels, quality, sampling, scope
+from labelloom.operators import aggregates, evaluate, expect, joins, labels, quality, sampling, scope, taxonomy
 
 
 def test_negative_filters_keep_nulls(spark, rows):
@@ -184,6 +184,21 @@ def test_multilabel_and_views(spark, rows):
         (1, "front", "early", "a", 1), (1, "front", "early", "c", 0), (2, "rear", "r", "b", 0)]
 
 
+def test_part_labels(spark, rows):
+    lines = spark.createDataFrame(
+        [(1, "front bumper", "broken")] * 9 + [(1, "bumper front lh", None), (1, "wheel hub rear lh", "x"), (1, "grille bracket", "x"),
+         (1, "front bumper", "bracket bent"), (2, "front bumper", "x"), (1, "zzz", "x"), (1, "pan assyx, oil", "x")],
+        "case_id int, description string, damage_cond string")
+    levels = spark.createDataFrame(
+        [("front bumper", " bumper ", "bumper_front "), ("none", "other", "other")], "lvl_1_desc string, lvl_2_desc string, lvl_3_desc string")
+    cases = spark.createDataFrame([(1,)], "case_id int")
+    got = taxonomy.part_labels(lines, cases, levels, percent_threshold=100).groupBy("description", "lvl_2_desc", "lvl_3_desc").count()
+    assert rows(got) == [("bumper front lh", "bumper", "bumper_front", 1), ("front bumper", "bumper", "bumper_front", 9),
+                         ("wheel hub rear lh", "wheel", "wheel", 1), ("zzz", "other", "other", 1)]
+    flags = spark.createDataFrame([("a ", 1, 0), ("b", 1, 1), ("b", 1, 0)], "lvl_3_desc string, front int, rear int")
+    assert rows(taxonomy.part_vocabulary_map(flags, ["front", "rear"])) == [("front", "a"), ("front", "b"), ("rear", "b")]
+
+
 def test_assemble_wide_needs_every_part(spark, rows):
     df = spark.createDataFrame([(1, "a", 1), (1, "b", 0), (2, "a", 1)], "case_id int, part string, pred int")
     assert rows(joins.assemble_wide(df, ["case_id"], "part", "pred", ["a", "b"])) == [(1, 1, 0)]

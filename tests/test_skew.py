@@ -104,6 +104,15 @@ def test_quantiles_of_few_rows(spark, n):
         assert got[p] == pytest.approx(np.quantile(values, p), abs=1e-12)
 
 
+def test_range_buckets_follow_the_order_and_are_even(spark):
+    df = spark.range(20_000).select((F.pmod(F.xxhash64("id"), F.lit(1_000_003)) - 500_000).cast("double").alias("x"))
+    bucketed = ranking.range_bucketed(df, "x")
+    sizes = bucketed.groupBy("_range").agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+    found = sizes.orderBy("_range").collect()
+    assert [r._range for r in found] == list(range(256)) and max(r.n for r in found) < 160
+    assert all(a.hi < b.lo for a, b in zip(found, found[1:]))
+
+
 def test_running_mean(spark):
     df = spark.range(5000).select((F.col("id") * 3).alias("k"), (F.col("id") % 11).alias("x"))
     got = {r.k: (r["rank"], r.running_mean) for r in ranking.running_mean(df, "k", "x").collect()}
