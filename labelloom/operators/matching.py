@@ -32,6 +32,7 @@ def fuzzy_matches(counts: DataFrame, percent_threshold: float, min_similarity: f
     into bounded blocks, every block of texts meets every block of majors in some task, and a task
     keeps one candidate per text.
     """
+    counts = save_point(counts)  # read several times below; one row per distinct text
     distinct = counts.agg(F.count("*").alias("n")).scalar()
     is_major = F.col("count") > distinct * F.lit(percent_threshold / 100)
     majors, minors = counts.filter(is_major), counts.filter(~is_major)
@@ -66,10 +67,10 @@ def fuzzy_group(
 ) -> DataFrame:
     """Add the matched major description to every row; a null description stays null.
 
-    Counts and mapping hold one row per distinct text and are saved, so the rows are read once to
-    count and once to attach the match.
+    The mapping holds one row per distinct text, so the rows are read once to count and once to
+    attach the match.
     """
     counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("text")).agg(F.count("*").alias("count"))
-    mapping = fuzzy_matches(save_point(counts), percent_threshold, min_similarity)
+    mapping = fuzzy_matches(counts, percent_threshold, min_similarity)
     renamed = mapping.select(F.col("text").alias(column), F.col("match").alias(target))
     return df.join(small_side(renamed), column, "left")
