@@ -505,7 +505,7 @@ def _(v: Views):
     return means.withColumn("running_mean", F.round("running_mean", 6))
 
 
-@query("pareto_front", """with t as (select s_suppkey, s_acctbal as balance, -cast(s_nationkey as double) as nation,
+@query("pareto_front", """with t as (select s_suppkey, s_acctbal as balance, cast(-s_nationkey as double) as nation,
     cast(s_suppkey % 7 as double) as slot from supplier)
     select s_suppkey, balance, nation, slot from t a where not exists (select 1 from t b where b.balance >= a.balance
     and b.nation >= a.nation and b.slot >= a.slot and (b.balance > a.balance or b.nation > a.nation or b.slot > a.slot))""")
