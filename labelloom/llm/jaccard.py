@@ -4,16 +4,22 @@ Rows of the matrix are distinct shingle sets, columns are 5-word shingles. Two s
 share at least 75 % of their union. The product is never formed whole:
 
 * Equal sets are one row, by a fingerprint of the whole set, so copies are never paired.
-* Columns are ordered rare first by a fixed-size sketch of column counts. Of each row only the
-  leading entries stay: n - ceil(0.75 n) + l(n) of n, with l(n) = 1 + n // 20. Rows that link share
-  at least 0.75 of the larger, hence at least min(l(n), l(m)) leading entries. What many documents
-  share (a licence line, a quoted passage) stands last in every row and so meets nobody.
-* Rows that agree on a pair of minimum hashes are compared with one row of their bucket first. What
+* Columns are ordered rare first by a fixed-size sketch of column counts, and of each row of n only
+  the leading n - ceil(0.75 n) + l entries stay. Rows of n and m that link share at least
+  s = ceil(3 (n + m) / 7) entries, so at least l of them are among the leading n - s + l of the one
+  and m - s + l of the other, l = 1 + min(n, m) // 50. Products of entries further back are discarded,
+  as are those of rows whose sizes alone exclude 0.75, and pairs whose counts add up to less than l.
+  What many documents share (a licence line, a quoted passage) stands last in every row and meets
+  nobody, and so do most copies that are edited too much to link.
+* Rows that agree on a pair of minimum hashes are compared with two rows of their bucket first. What
   links is united, and the product then runs between groups only, so a large group of near copies
-  costs one comparison per member instead of all its pairs.
-* Columns are cut into blocks. A task multiplies one block, skips pairs whose sizes alone exclude
-  0.75, and emits partial overlap counts per pair; sums below the bound are discarded, and what is
-  left is compared exactly on the whole sets. No limit on a column's or a row's partners.
+  costs two comparisons per member instead of all its pairs.
+* Each row's largest bucket of DENSE_LEAST to DENSE_MOST rows is multiplied whole, in tiles of TILE by
+  TILE rows, and emits a spanning set of its links only; its pairs are settled thereby. Rows of
+  larger buckets are left to the column blocks like all others.
+* Columns are cut into blocks. A task multiplies one block and emits partial overlap counts per pair;
+  their sums name each row's best partner, which is compared first. All that is then left between
+  groups is compared exactly on the whole sets, without a limit on partners.
 """
 
 from __future__ import annotations
@@ -38,6 +44,8 @@ SKETCH_PARTS = 64
 # Minimum hashes are taken in BANDS pairs; two sets at 0.75 agree on some pair with 99.97 %.
 BANDS = 10
 
+DENSE_LEAST, DENSE_MOST, TILE = 32, 8192, 512
+
 PROFILE = "doc_id long, n_shingles long, node long, bands array<long>, part int, counts binary"
 
 
@@ -118,8 +126,13 @@ def least_shared(n):
 
 
 def spare(n):
-    """l(n): how many leading entries linked sets must have in common, besides what proves one."""
-    return 1 + n // 20
+    """l: how many leading entries linked sets have in common, the smaller of which has n."""
+    return 1 + n // 50
+
+
+def shared_by(n, m):
+    """What sets of n and m share at least if they link."""
+    return (PERCENT * (n + m) + 99 + PERCENT) // (100 + PERCENT)
 
 
 def _leading(batches: Iterator[pa.RecordBatch], rank: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -142,79 +155,83 @@ def _leading(batches: Iterator[pa.RecordBatch], rank: np.ndarray) -> Iterator[pa
 
 def _packets(batches: Iterator[pa.RecordBatch], blocks: int) -> Iterator[pa.RecordBatch]:
     """Entries of many rows dealt into column blocks: per block the rows present and their columns."""
-    names = ["block", "nodes", "comps", "sizes", "counts", "columns"]
+    names = ["block", "nodes", "comps", "bins", "sizes", "counts", "columns", "places"]
     for batch in batches:
         if not batch.num_rows:
             continue
-        node, comp, n = (batch.column(i).to_numpy() for i in range(3))
-        entries = [np.frombuffer(e.as_py(), dtype=np.uint64) for e in batch.column(3)]
-        row = np.repeat(np.arange(len(entries)), [len(e) for e in entries])
+        node, comp, bin_, n = (batch.column(i).to_numpy() for i in range(4))
+        entries = [np.frombuffer(e.as_py(), dtype=np.uint64) for e in batch.column(4)]
+        lengths = np.array([len(e) for e in entries])
+        row = np.repeat(np.arange(len(entries)), lengths)
+        place = np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
         flat = np.concatenate(entries)
         block = (flat >> np.uint64(40)) % np.uint64(blocks)
         order = np.argsort(block, kind="stable")
-        row, flat, block = row[order], flat[order], block[order]
+        row, flat, block, place = row[order], flat[order], block[order], place[order].astype(np.int32)
         out: list[list] = [[] for _ in names]
         present, cuts = np.unique(block, return_index=True)
         for b, lo, hi in zip(present.tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(block)], strict=True):
             here, counts = np.unique(row[lo:hi], return_counts=True)
             for column, value in zip(out[1:], (
-                node[here], comp[here], n[here].astype(np.int32), counts.astype(np.int32),
-                (flat[lo:hi] & np.uint64(0xFFFFFFFF)).astype(np.uint32)), strict=True):
+                node[here], comp[here], bin_[here], n[here].astype(np.int32), counts.astype(np.int32),
+                (flat[lo:hi] & np.uint64(0xFFFFFFFF)).astype(np.uint32), place[lo:hi]), strict=True):
                 column.append(value.tobytes())
             out[0].append(b)
         yield pa.record_batch([pa.array(out[0], pa.int32()), *(pa.array(c, pa.binary()) for c in out[1:])], names=names)
 
 
 def _multiply(rows: pd.DataFrame) -> pd.DataFrame:
-    """Overlap counts within one column block, of pairs from different groups whose sizes allow a link."""
+    """Overlap counts within one column block, of pairs from different groups that may link."""
     def flat(name, kind):
         return np.concatenate([np.frombuffer(x, dtype=kind) for x in rows[name]])
 
-    nodes, comps, sizes = flat("nodes", np.int64), flat("comps", np.int64), flat("sizes", np.int32)
+    nodes, comps, sizes = flat("nodes", np.int64), flat("comps", np.int64), flat("sizes", np.int32).astype(np.int64)
     row = np.repeat(np.arange(len(nodes)), flat("counts", np.int32))
-    column = flat("columns", np.uint32)
+    column, place, bins = flat("columns", np.uint32), flat("places", np.int32), flat("bins", np.int64)
     order = np.lexsort((sizes[row], column))
-    row, column = row[order], column[order]
+    row, column, place = row[order], column[order], place[order]
     starts = np.flatnonzero(np.r_[True, column[1:] != column[:-1]])
     lengths = np.diff(np.r_[starts, len(column)])
     group = comps[row]
     mixed = np.minimum.reduceat(group, starts) != np.maximum.reduceat(group, starts)
     keep = np.repeat(mixed, lengths)
-    row, column, group, size = row[keep], column[keep], group[keep], sizes[row[keep]].astype(np.int64)
-    ends = np.repeat(np.cumsum(lengths[mixed]), lengths[mixed])
-    found: dict[str, list] = {"key": [], "count": []}
-    held, at, step = 0, np.arange(len(row)), 1
-
-    def fold():
-        keys, where = np.unique(np.concatenate(found["key"]), return_inverse=True)
-        sums = np.bincount(where, weights=np.concatenate(found["count"]), minlength=len(keys))
-        found["key"], found["count"] = [keys], [sums]
-        return len(keys)
-
+    row, place, group = row[keep], place[keep], group[keep]
+    bin_, size, ends = bins[row], sizes[row], np.repeat(np.cumsum(lengths[mixed]), lengths[mixed])
+    keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    found: list[np.ndarray] = []
+    held, step = 0, 1
+
+    def fold(keys, counts):
+        own, where = np.unique(np.concatenate([keys, *found]), return_inverse=True)
+        weights = np.concatenate([counts, np.ones(len(where) - len(counts), np.int64)])
+        return own, np.bincount(where, weights=weights, minlength=len(own)).astype(np.int64)
+
+    # Sizes rise within a column. The smaller of a pair must have the entry among its first seventh or so.
+    at = np.flatnonzero(place < size - shared_by(size, size) + spare(size))
     while len(at):
-        # Partners stand `step` places on in the same column; sizes rise, so a pair too far apart ends a run.
         at = at[at + step < ends[at]]
         at = at[100 * size[at] >= PERCENT * size[at + step]]
-        pair = at[group[at] != group[at + step]]
+        n, m = size[at], size[at + step]
+        s = shared_by(n, m) - spare(n)
+        pair = at[(place[at] < n - s) & (place[at + step] < m - s) & (group[at] != group[at + step])]
+        pair = pair[(bin_[pair] == 0) | (bin_[pair] != bin_[pair + step])]
         if len(pair):
             a, b = row[pair], row[pair + step]
-            low, high = np.minimum(a, b), np.maximum(a, b)
-            found["key"].append(low.astype(np.int64) * len(nodes) + high)
-            found["count"].append(np.ones(len(pair)))
+            found.append(np.minimum(a, b).astype(np.int64) * len(nodes) + np.maximum(a, b))
             held += len(pair)
             if held > 4_000_000:
-                held = fold()
+                keys, counts = fold(keys, counts)
+                found, held = [], len(keys)
         step += 1
-    if not found["key"]:
-        return pd.DataFrame({k: np.zeros(0, np.int64) for k in ("a", "b", "ca", "cb", "least", "shared")})
-    fold()
-    a, b = np.divmod(found["key"][0], len(nodes))
+    keys, counts = fold(keys, counts)
+    a, b = np.divmod(keys, max(1, len(nodes)))
     flip = nodes[a] > nodes[b]
     a, b = np.where(flip, b, a), np.where(flip, a, b)
-    return pd.DataFrame({
-        "a": nodes[a], "b": nodes[b], "ca": comps[a], "cb": comps[b],
-        "least": np.minimum(spare(sizes[a].astype(np.int64)), spare(sizes[b].astype(np.int64))),
-        "shared": found["count"][0].astype(np.int64)})
+    return pd.DataFrame({"a": nodes[a], "b": nodes[b], "least": spare(np.minimum(sizes[a], sizes[b])), "shared": counts})
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
 
 
 def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,13 +258,54 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(a[good]), pa.array(b[good])], names=["a", "b"])
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes that link, by their whole sets, which are made anew from the texts."""
-    used = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+def _tile(rows: pd.DataFrame) -> pd.DataFrame:
+    """Links that span what links within a tile, by the product of its rows over all their columns."""
+    nodes = rows["node"].to_numpy()
+    left = np.flatnonzero(rows["part"].to_numpy() == rows["low"].to_numpy())
+    right = np.flatnonzero(rows["part"].to_numpy() == rows["high"].to_numpy())
+    sets = [np.frombuffer(e, dtype=np.uint64) for e in rows["entries"]]
+    sizes = np.array([len(x) for x in sets])
+    _, column = np.unique(np.concatenate(sets), return_inverse=True)
+    row = np.repeat(np.arange(len(sets)), sizes)
+    df = np.bincount(column)
+    rank = np.cumsum(df > 1) - 1
+    keep = df[column] > 1
+    row, column = row[keep], rank[column[keep]]
+    shared = np.zeros((len(left), len(right)), dtype=np.float32)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    width_, last = 4096, int(column[-1]) + 1 if len(column) else 0
+    for lo in range(0, last, width_):
+        a, b = np.searchsorted(column, [lo, lo + width_])
+        dense = np.zeros((len(sets), min(width_, last - lo)), dtype=np.float32)
+        dense[row[a:b], column[a:b] - lo] = 1
+        shared += dense[left] @ dense[right].T
+    union = sizes[left][:, None] + sizes[right][None, :] - shared
+    a, b = np.nonzero(100 * shared >= PERCENT * union)
+    a, b = left[a], right[b]
+    root = np.arange(len(nodes))
+    while len(a):
+        low = np.minimum(root[a], root[b])
+        before = root.copy()
+        np.minimum.at(root, a, low)
+        np.minimum.at(root, b, low)
+        root = root[root]
+        if (root == before).all():
+            break
+    more = np.flatnonzero(root != np.arange(len(nodes)))
+    return pd.DataFrame({"a": nodes[more], "b": nodes[root[more]]})
+
+
+def _sets(nodes: DataFrame, used: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, entries) of the used nodes, made anew from the texts."""
     owners = nodes.join(used, "node").select(F.col("doc_id").alias("owner")).distinct()
     sets = (docs.join(owners, docs["doc_id"].eqNullSafe(owners["owner"]), "left_semi").select("text")
             .mapInArrow(_whole_sets, "node long, entries binary"))
-    sets = land(sets.join(used, "node", "left_semi").dropDuplicates(["node"]), "sets")
+    return land(sets.join(used, "node", "left_semi").dropDuplicates(["node"]), "sets")
+
+
+def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes that link, by their whole sets."""
     first = sets.select(F.col("node").alias("a"), F.col("entries").alias("x"))
     second = sets.select(F.col("node").alias("b"), F.col("entries").alias("y"))
     both = pairs.select("a", "b").join(first, "a").join(second, "b").select("a", "b", "x", "y")
@@ -277,29 +335,40 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     star = (banded.join(heads, ["band", "key"]).select("node", F.explode(F.array("low", "high")).alias("head"))
             .filter("node != head")
             .select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct())
-    links = _linked(land(star, "star"), docs, nodes)
+    star = land(star, "star")
+    sized = banded.groupBy("band", "key").count().filter(F.col("count").between(DENSE_LEAST, DENSE_MOST))
+    dense = land(
+        banded.join(sized, ["band", "key"]).groupBy("node")
+        .agg(F.max(F.struct("count", "band", "key")).alias("b"))
+        .select("node", F.xxhash64("b.band", "b.key").alias("bin"), F.ceil(F.col("b.count") / TILE).cast("int").alias("parts"))
+        .withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int")), "dense")
+    sets = _sets(nodes, _ends(star).union(dense.select("node")).distinct(), docs)
+    tiles = (dense.join(sets, "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+             .select("node", "entries", "bin", "part", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high")))
+    spans = land(tiles.groupBy("bin", "low", "high").applyInPandas(_tile, "a long, b long"), "spans")
+    links = _linked(star, sets).union(spans)
     groups = components(links)
 
-    known = (nodes.join(groups, "node", "left")
-             .select(F.col("doc_id").alias("owner"), "node", F.coalesce("comp", "node").alias("comp")))
+    known = (nodes.join(groups, "node", "left").join(dense.select("node", "bin"), "node", "left")
+             .select(F.col("doc_id").alias("owner"), "node", F.coalesce("comp", "node").alias("comp"),
+                     F.coalesce("bin", F.lit(0)).alias("bin")))
     leading = docs.mapInArrow(partial(_leading, rank=_rank_table(profile)), "doc_id long, node long, n long, entries binary")
     matrix = (leading.filter("n > 0").join(known, "node").filter("doc_id <=> owner")
-              .select("node", "comp", "n", "entries"))
+              .select("node", "comp", "bin", "n", "entries"))
     packed = matrix.mapInArrow(
         partial(_packets, blocks=2 * width(docs)),
-        "block int, nodes binary, comps binary, sizes binary, counts binary, columns binary")
+        "block int, nodes binary, comps binary, bins binary, sizes binary, counts binary, columns binary, places binary")
     product = packed.groupBy("block").applyInPandas(
-        _multiply, "a long, b long, ca long, cb long, least long, shared long")
+        _multiply, "a long, b long, least long, shared long")
     pairs = land(
-        product.groupBy("a", "b").agg(F.first("ca").alias("ca"), F.first("cb").alias("cb"),
-                                      F.first("least").alias("least"), F.sum("shared").alias("shared"))
-        .filter("shared >= least"), "pairs")
-    # The best partner in each other group first: once it links, the rest of that group need not be compared.
-    one = pairs.select(F.col("a").alias("node"), F.col("cb").alias("group"), "a", "b", "shared")
-    two = pairs.select(F.col("b").alias("node"), F.col("ca").alias("group"), "a", "b", "shared")
-    best = (one.union(two).groupBy("node", "group")
-            .agg(F.max_by(F.struct("a", "b"), F.struct("shared", "a", "b")).alias("p")).select("p.*").distinct())
-    links = links.union(_linked(land(best, "best"), docs, nodes))
+        product.groupBy("a", "b").agg(F.first("least").alias("least"), F.sum("shared").alias("shared"))
+        .filter("shared >= least").select("a", "b", "shared"), "pairs")
+    # Each row's best partner first: once it links, the others of its group need not be compared.
+    best = (pairs.union(pairs.select("b", "a", "shared")).groupBy("a")
+            .agg(F.max_by("b", F.struct("shared", "b")).alias("b"))
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    best = land(best, "best")
+    links = links.union(_linked(best, _sets(nodes, _ends(best), docs)))
     groups = components(links)
     left = (pairs.join(best, ["a", "b"], "left_anti")
             .join(groups.select(F.col("node").alias("a"), F.col("comp").alias("ga")), "a", "left")
@@ -307,7 +376,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .filter("ga is null or gb is null or ga != gb").select("a", "b"))
     left = land(left, "left")
     if left.limit(1).count():
-        links = links.union(_linked(left, docs, nodes))
+        links = links.union(_linked(left, _sets(nodes, _ends(left), docs)))
         groups = components(links)
 
     named = nodes.join(groups, "node", "left").select("node", "doc_id", F.coalesce("comp", "node").alias("comp"))

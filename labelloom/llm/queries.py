@@ -28,3 +28,85 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from labelloom.llm.jaccard import jaccard_classes
 
     return jaccard_classes(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op5_exact_dedup", """
+with d as (select doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                           'abcdefghijklmnopqrstuvwxyz')) as text_sha256 from documents)
+select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size, doc_id = max(doc_id) over w as kept,
+       text_sha256
+from d window w as (partition by text_sha256)""")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from labelloom.llm.exact import exact_groups
+
+    return exact_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op6_quality_classifier")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from labelloom.llm.quality import quality_scores
+
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op8_sharding")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from labelloom.llm.shards import shard_rows
+
+    return shard_rows(table(spark, sf_dir, "documents"))
+
+
+@query("op9_benchmark_decontamination")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from labelloom.llm.leaks import leaks
+
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op2_target_mixture")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from labelloom.llm.mixture import mixture
+
+    return mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op4_line_dedup", """
+with l as (
+    select doc_id, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as pos,
+           unnest(string_split(coalesce(text, ''), chr(10))) as line
+    from documents),
+k as (select *, translate(regexp_replace(line, '^[ \\t\\n\\x0B\\f\\r]+|[ \\t\\n\\x0B\\f\\r]+$', '', 'g'),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from l),
+r as (select key, max(doc_id) as last_id from k where length(key) >= 40 group by key having count(distinct doc_id) >= 5),
+m as (select k.*, r.key is not null and k.doc_id <> r.last_id as gone from k left join r using (key))
+select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where not gone), '')) as kept_sha256
+from m group by doc_id""")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from labelloom.llm.lines import dedup_lines
+
+    kept = dedup_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op7_language_model")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from labelloom.llm.language import language_scores
+
+    return language_scores(table(spark, sf_dir, "documents"))
+
+
+@query("op1_html_extraction")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from labelloom.llm.html import extract
+
+    return extract(table(spark, sf_dir, "pages"))
+
+
+@query("op10_warc_index")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from labelloom.llm.warc import archive_round_trip
+
+    return archive_round_trip(table(spark, sf_dir, "pages"))
