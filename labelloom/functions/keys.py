@@ -38,5 +38,5 @@ def strip_position(text: Column) -> Column:
 
 
 def label_key(parts: Sequence[str]) -> Column:
-    """The 0/1 labels of a wide row as one string of digits."""
-    return F.concat_ws("", *[F.col(p).cast("int").cast("string") for p in parts])
+    """The 0/1 labels of a wide row as one string of digits, `?` for a label that is missing."""
+    return F.concat(*[F.coalesce(F.col(p).cast("int").cast("string"), F.lit("?")) for p in parts])

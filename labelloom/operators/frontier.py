@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from labelloom.session import save_point
 
 CANDIDATES_PER_CHUNK = 20_000
+# Stands for a null objective, which is worse than any number.
+WORST = -1e300
 
 
 def _dominated(points: np.ndarray, rivals: np.ndarray) -> np.ndarray:
@@ -40,7 +42,7 @@ def _front(points: np.ndarray) -> np.ndarray:
 
 
 def pareto_front(df: DataFrame, id_col: str, columns: Sequence[str]) -> DataFrame:
-    """Rows no other row dominates.
+    """Rows no other row dominates; ids are unique, and a null objective is worse than any number.
 
     Rows dominated inside their own batch are dropped first, and again after mixing the batches for
     as long as that at least halves the candidates. The rest is cut into bounded chunks, and each
@@ -48,11 +50,14 @@ def pareto_front(df: DataFrame, id_col: str, columns: Sequence[str]) -> DataFram
     candidates, however long the front is.
     """
     names = list(columns)
-    rows = df.select(id_col, *[F.col(c).cast("double").alias(c) for c in names]).na.drop()
+    rows = df.select(id_col, *[F.col(c).cast("double").alias(c) for c in names])
+
+    def values(rows: pd.DataFrame) -> np.ndarray:
+        return rows[names].fillna(WORST).to_numpy(dtype=np.float64)
 
     def local_front(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield batch.iloc[_front(batch[names].to_numpy())]
+            yield batch.iloc[_front(values(batch))]
 
     candidates = save_point(rows.mapInPandas(local_front, rows.schema))
     size = candidates.count()
@@ -69,7 +74,7 @@ def pareto_front(df: DataFrame, id_col: str, columns: Sequence[str]) -> DataFram
     rivals = candidates.withColumn("_theirs", chunk).withColumn("_mine", every)
 
     def losers(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
-        return mine.loc[_dominated(mine[names].to_numpy(), theirs[names].to_numpy()), [id_col]]
+        return mine.loc[_dominated(values(mine), values(theirs)), [id_col]]
 
     keys = ["_mine", "_theirs"]
     beaten = points.groupBy(*keys).cogroup(rivals.groupBy(*keys)).applyInPandas(

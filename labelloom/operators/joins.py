@@ -50,8 +50,11 @@ def work_list(wanted: DataFrame, *done: DataFrame, key: str) -> DataFrame:
 def assemble_wide(
     df: DataFrame, keys: Sequence[str], part: str, value: str, parts: Sequence[str], prefix: str = ""
 ) -> DataFrame:
-    """One column per part; keys lacking any part are dropped. One shuffle instead of a join per part."""
-    wide = df.groupBy(*keys).pivot(part, list(parts)).agg(F.first(value, ignorenulls=True))
+    """One column per part; keys lacking any part are dropped. One shuffle instead of a join per part.
+
+    Of several values for one cell the smallest counts.
+    """
+    wide = df.groupBy(*keys).pivot(part, list(parts)).agg(F.min(value))
     named = wide.select(*keys, *[F.col(f"`{p}`").alias(f"{prefix}{p}") for p in parts])
     return named.na.drop(subset=[f"{prefix}{p}" for p in parts])
 

@@ -274,18 +274,21 @@ def worst_half(issues: DataFrame) -> DataFrame:
     return ordered.filter(F.col("rank") <= F.floor(F.col("group_size") / 2)).select("case_id")
 
 
-def correct_guarded(labels: DataFrame, cases: DataFrame, parts: Sequence[str], min_pos: float = 0.1) -> DataFrame:
+def correct_guarded(
+    labels: DataFrame, cases: DataFrame, parts: Sequence[str] | None = None, min_pos: float = 0.1
+) -> DataFrame:
     """Like `correct_labels`, but a part keeps its labels if too few positives would remain.
 
-    The share is positives outside the listed cases over all rows of the part.
+    The share is positives outside the listed cases over all rows of the part. Labels of parts that
+    are not named come back as they are; without names every part is a target.
     """
     listed = cases.select("case_id").distinct().withColumn("_listed", F.lit(1))
-    joined = labels.filter(F.col("part").isin(list(parts))).join(listed, "case_id", "left")
+    joined = labels.join(listed, "case_id", "left")
     marked = joined.withColumn("_listed", F.coalesce("_listed", F.lit(0)))
     left_over = F.sum(F.when((F.col("_listed") == 0) & (F.col("gt") == 1), 1).otherwise(0))
     shares = marked.groupBy("part").agg((safe_ratio(left_over, F.count("*")) >= min_pos).alias("_apply"))
-    joined_back = marked.join(for_parts(shares, parts), "part")
-    fixed = F.when((F.col("_listed") == 1) & F.col("_apply"), 0).otherwise(F.col("gt"))
+    joined_back = marked.join(for_parts(shares, parts), "part", "left")
+    fixed = F.when((F.col("_listed") == 1) & F.coalesce("_apply", F.lit(False)), 0).otherwise(F.col("gt"))
     return joined_back.select(*[fixed.alias("gt") if c == "gt" else F.col(c) for c in labels.columns])
 
 

@@ -88,28 +88,30 @@ def running(
 ) -> DataFrame:
     """Add `rank` (from 1) and `group_size` per key, and `running_sum` when `value` is given.
 
-    `bucket` must be non-decreasing along `order`. Rows with a null key are left out, as a group-by
-    that skips nulls does. With `upto`, buckets that start beyond that rank are dropped before the sort.
+    `bucket` must be non-decreasing along `order`, null first. Every row comes back: null keys are a
+    group of their own, and null ids or buckets come first. With `upto`, buckets that start beyond that rank are dropped before the sort.
     """
     columns = df.columns
-    located = df.withColumn("_bucket", bucket)
+    # Keys and bucket as one struct: structs with nulls inside are equal, so null keys join like others
+    # and the window below finds its rows where the join has put them.
+    place = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], bucket.alias("bucket"))
+    located = df.withColumn("_place", place)
     totals = [F.count("*").alias("_n")]
     if value is not None:
         totals.append(F.sum(value).alias("_sum"))
-    sizes = located.groupBy(*keys, "_bucket").agg(*totals)
-    group = W.partitionBy(*(keys or [F.lit(0)]))
-    before = group.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    sizes = located.groupBy("_place").agg(*totals)
+    group = W.partitionBy(*([F.col(f"_place.k{i}") for i in range(len(keys))] or [F.lit(0)]))
+    before = group.orderBy("_place.bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select(
-        *keys,
-        "_bucket",
+        "_place",
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
         F.sum("_n").over(group).alias("group_size"),
         *([F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_sum_before")] if value else []),
     )
-    joined = located.join(offsets, [*keys, "_bucket"])
+    joined = located.join(offsets, "_place")
     if upto is not None:
         joined = joined.filter(F.col("_before") < upto)
-    local = W.partitionBy(*keys, "_bucket").orderBy(*order)
+    local = W.partitionBy("_place").orderBy(*order)
     added = [(F.row_number().over(local) + F.col("_before")).alias("rank"), "group_size"]
     if value is not None:
         so_far = local.rowsBetween(W.unboundedPreceding, W.currentRow)

@@ -161,8 +161,9 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_class_weights(df: DataFrame, label: str) -> DataFrame:
-    """Rows with the weight of their class."""
-    return df.join(small_side(class_weights(df, label).drop("count")), label)
+    """Rows with the weight of their class; a null label is a class too."""
+    weights = small_side(class_weights(df, label).select(F.col(label).alias("_class"), "weight"))
+    return df.join(weights, F.col(label).eqNullSafe(F.col("_class"))).drop("_class")
 
 
 def pos_weights(df: DataFrame, parts: Sequence[str]) -> DataFrame:

@@ -90,21 +90,29 @@ class ScopeConfig:
 
 
 def scope_parts(parts: DataFrame, cfg: ScopeConfig) -> DataFrame:
-    """Costed, damaged, described part lines; unknown damage and description are kept."""
-    return parts.filter(
+    """Costed, damaged, described part lines; unknown damage and description are kept.
+
+    Damage and description are lower-cased first, as the lists are, and come back so.
+    """
+    return lower_texts(parts).filter(
         (F.col("fval") > cfg.min_cost)
         & not_in(F.col("damage_cond"), cfg.undamaged)
         & differs(F.col("description"), "-")
     )
 
 
+def lower_texts(parts: DataFrame) -> DataFrame:
+    """Part lines with damage condition and description in lower case."""
+    return parts.withColumns({c: F.lower(c) for c in ("damage_cond", "description")})
+
+
 def part_funnel(parts: DataFrame, cfg: ScopeConfig, legacy_lt: bool = False) -> DataFrame:
     """Funnel of `scope_parts`. `legacy_lt` counts only costs below the bound, not those equal to it."""
     cost = F.col("fval")
     return filter_funnel(parts, {
         "low_cost": cost < cfg.min_cost if legacy_lt else cost <= cfg.min_cost,
         "no_cost": cost.isNull(),
-        "condition": F.col("damage_cond").isin(list(cfg.undamaged)),
+        "condition": F.lower("damage_cond").isin(list(cfg.undamaged)),
         "dash": F.col("description") == "-",
     })
 

@@ -9,14 +9,9 @@ from pyspark.sql import functions as F
 
 from labelloom.operators.joins import ids_of
 from labelloom.operators.matching import fuzzy_group
-from labelloom.operators.scope import apply_remap, remove_blacklisted
+from labelloom.operators.scope import apply_remap, lower_texts, remove_blacklisted
 from labelloom.session import small_side
 
-# Photo views.
-VIEWS = (
-    "Front View Left", "Front View Right", "Rear View Left", "Rear View Right", "Front View", "Rear View",
-)
-
 # Terms in the damage condition that rule a line out.
 CONDITION_TERMS = ("housing", "holder", "bracket")
 
@@ -74,9 +69,10 @@ def part_labels(
 ) -> DataFrame:
     """Lines of the given cases with `lvl_1_desc`, `lvl_2_desc` and `lvl_3_desc`.
 
-    The description is matched to a frequent one, looked up in the taxonomy (lines without an entry
+    Descriptions and damage conditions are lower-cased first, as the term lists are. The description is matched to a frequent one, looked up in the taxonomy (lines without an entry
     are dropped), relabelled by exact rules, and filtered by the term lists.
     """
+    lines = lower_texts(lines)
     scoped = lines.join(ids_of(cases, "case_id"), "case_id", "left_semi")
     matched = fuzzy_group(scoped, "description", percent_threshold, min_similarity, "lvl_1_desc")
     levels = taxonomy.select("lvl_1_desc", *[F.trim(c).alias(c) for c in ("lvl_2_desc", "lvl_3_desc")])

@@ -27,6 +27,11 @@ def _issue_sql(sql: str, **more: str) -> str:
     return with_views(sql, "case_predictions", "labels_long", **ISSUE_VIEWS, **more)
 
 
+def _materialized(sql: str, **more: str) -> str:
+    """The same with every view computed once, for statements that use some of them several times."""
+    return _issue_sql(sql, **more).replace(" as (", " as materialized (")
+
+
 def _rounded(df, *names: str, digits: int = 6):
     return df.withColumns({n: F.round(n, digits) for n in names})
 
@@ -227,7 +232,7 @@ def _(v: Views):
     return quality.worst_half(_issues(v))
 
 
-@query("correct_guarded", _issue_sql("""select case_id, part, case when listed and apply then 0 else gt end as gt from
+@query("correct_guarded", _materialized("""select case_id, part, case when listed and apply then 0 else gt end as gt from
     (select *, case_id in (select case_id from half) as listed from labels_long) join
     (select part, sum(case when case_id not in (select case_id from half) then gt else 0 end) / count(*) >= 0.2 as apply
      from labels_long group by part) using (part)""", **HALF))
@@ -281,14 +286,22 @@ def _(v: Views):
     return quality.first_batch(rows.join(values, "sample_id"), 10).select("view", "gt", "sample_id")
 
 
-@query("out_of_fold_predictions")
+@query("out_of_fold_predictions", """with r as (select doc_id, quality, toxic,
+    cast((row_number() over (order by md5(cast(doc_id as varchar) || '-5'), doc_id) - 1) % 2 as integer) as fold
+    from labels join documents using (doc_id))
+    select doc_id, 'quality' as part, quality as gt, fold, true as conf_valid from r
+    union all select doc_id, 'toxic', toxic, fold, true from r""")
 def _(v: Views):
     rows = v.two_label.withColumn("n_chars", F.col("n_chars").cast("double"))
     scored = out_of_fold(rows, ["quality", "toxic"], ["lang"], ["n_chars"], "doc_id", 2, 5, max_iter=3, max_depth=2)
-    return scored.withColumn("conf", F.round("conf", 6))
+    return scored.select("doc_id", "part", "gt", "fold", F.col("conf").between(0, 1).alias("conf_valid"))
 
 
-@query("part_models")
+@query("part_models", """with r as (select doc_id, quality, toxic, count(*) over (partition by quality) as n,
+    row_number() over (partition by quality order by md5(cast(doc_id as varchar) || '-1'), doc_id) as place
+    from labels join documents using (doc_id)), test as (select * from r where place <= round_even(0.2 * n, 0))
+    select doc_id, 'quality' as part, quality as gt, true as conf_valid from test
+    union all select doc_id, 'toxic', toxic, true from test""")
 def _(v: Views):
     from labelloom.operators.models import fit_parts, predict_parts
     from labelloom.operators.sampling import split_stratified
@@ -296,4 +309,5 @@ def _(v: Views):
     split = split_stratified(v.two_label.withColumn("n_chars", F.col("n_chars").cast("double")), "quality", "doc_id", 0.2, 1)
     train, test = split.filter("split = 'train'"), split.filter("split = 'test'")
     features, models = fit_parts(train, ["quality", "toxic"], ["lang"], ["n_chars"], 5, max_iter=3, max_depth=2)
-    return predict_parts(test, features, models, "doc_id").withColumn("conf", F.round("conf", 6))
+    scored = predict_parts(test, features, models, "doc_id")
+    return scored.select("doc_id", "part", "gt", F.col("conf").between(0, 1).alias("conf_valid"))

@@ -8,8 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows of a few fixed-width columns that may be sent to every executor.
+# Rows of a few fixed-width columns that may be sent to every executor, and bytes of any rows.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 << 20
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -63,8 +64,11 @@ def save_point(df: DataFrame) -> DataFrame:
 def small_side(summary: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """A summary table to join back to the rows it came from.
 
-    It is computed once and saved, then counted: up to `max_rows` rows it is broadcast, so the large
-    side is not shuffled on what may be a hot key; beyond that it is left to a shuffle join.
+    It is computed once and saved, then counted and measured: up to `max_rows` rows and
+    `BROADCAST_BYTES` bytes of values it is broadcast, so the large side is not shuffled on what may be
+    a hot key; beyond that it is left to a shuffle join.
     """
     saved = save_point(summary)
-    return F.broadcast(saved) if saved.limit(max_rows + 1).count() <= max_rows else saved
+    width = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in saved.columns])))
+    rows, size = saved.limit(max_rows + 1).agg(F.count("*"), F.sum(width)).first()
+    return F.broadcast(saved) if rows <= max_rows and (size or 0) <= BROADCAST_BYTES else saved

@@ -68,14 +68,20 @@ def read_first_per(spark: SparkSession, sink: str, keys: Sequence[str]) -> DataF
 
 
 def running_metrics(
-    stream: DataFrame, time: str, window: str, lateness: str, by: Sequence[str], sink: str, checkpoint: str
+    stream: DataFrame, time: str, window: str, lateness: str | None, by: Sequence[str], sink: str, checkpoint: str
 ) -> StreamingQuery:
-    """Confusion counts per tumbling window and group as predictions (`gt`, `pred`) arrive."""
+    """Confusion counts per tumbling window and group as predictions (`gt`, `pred`) arrive.
+
+    With a `lateness` the state of older windows is dropped and rows that come later than that are not
+    counted; Spark reports how many in the query's progress (`numRowsDroppedByWatermark`). Without one
+    no row is too late, at the price of a state of one row per window and group. A replay of finite
+    input, whose files need not be in order of time, takes None.
+    """
     def cell(given: int, said: int) -> Column:
         return F.count_if((F.col("gt") == given) & (F.col("pred") == said))
 
     counted = (
-        stream.withWatermark(time, lateness)
+        (stream if lateness is None else stream.withWatermark(time, lateness))
         .groupBy(F.window(time, window).alias("w"), *by)
         .agg(cell(1, 1).alias("tp"), cell(0, 0).alias("tn"), cell(0, 1).alias("fp"), cell(1, 0).alias("fn"))
         .select(F.col("w.start").alias("window_start"), *by, "tp", "tn", "fp", "fn")
