@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from labelloom.llm import tokens
 from labelloom.llm.graph import components
-from labelloom.llm.store import land, width
+from labelloom.llm.store import land, light, width
 
 # Links: 100 * shared >= PERCENT * union.
 PERCENT = 75
@@ -298,7 +298,8 @@ def _tile(rows: pd.DataFrame) -> pd.DataFrame:
 
 def _sets(nodes: DataFrame, used: DataFrame, docs: DataFrame) -> DataFrame:
     """(node, entries) of the used nodes, made anew from the texts."""
-    owners = nodes.join(used, "node").select(F.col("doc_id").alias("owner")).distinct()
+    used = light(land(used, "used"))
+    owners = light(land(nodes.join(used, "node").select(F.col("doc_id").alias("owner")).distinct(), "owners"))
     sets = (docs.join(owners, docs["doc_id"].eqNullSafe(owners["owner"]), "left_semi").select("text")
             .mapInArrow(_whole_sets, "node long, entries binary"))
     return land(sets.join(used, "node", "left_semi").dropDuplicates(["node"]), "sets")
@@ -395,9 +396,13 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """
     named = docs.filter(F.col(id_col).isNotNull())
     classes = jaccard_classes(named, id_col, text_col)
-    lost = classes.filter("doc_id != component_id").select(F.col("doc_id").alias("_lost")).distinct()
-    kept = named.join(lost, named[id_col] == lost["_lost"], "left_anti").dropDuplicates([id_col])
-    return kept.unionByName(docs.filter(F.col(id_col).isNull()))
+    classes = land(classes.select("doc_id", "component_id"), "classes")
+    lost = light(land(classes.filter("doc_id != component_id").select(F.col("doc_id").alias("_lost")).distinct(), "lost"))
+    twice = light(land(classes.groupBy(F.col("doc_id").alias("_twice")).count().filter("count > 1").select("_twice"), "twice"))
+    kept = named.join(lost, named[id_col].cast("long") == lost["_lost"], "left_anti")
+    same = kept[id_col].cast("long") == twice["_twice"]
+    return (kept.join(twice, same, "left_anti").unionByName(kept.join(twice, same, "left_semi").dropDuplicates([id_col]))
+            .unionByName(docs.filter(F.col(id_col).isNull())))
 
 
 def class_sizes(classes: DataFrame) -> DataFrame:

@@ -49,6 +49,8 @@ def _split(h: np.ndarray, blocks: int):
     order = np.argsort(block.astype(np.uint16) if blocks <= 65535 else block, kind="stable")
     ordered = block[order]
     present, cuts = np.unique(ordered, return_index=True)
+    if not len(h):
+        return order, []
     return order, list(zip(present.tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(h)], strict=True))
 
 

@@ -20,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelloom.llm.store import SPACES, land
+from labelloom.llm.store import SPACES, land, light
 
 SHARE = 0.75
 SHINGLE = 5
@@ -99,8 +99,8 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     asked = (places.join(probe(wanted), F.col("run") == F.col("h"))
              .select("doc_id", "most", "band", "m", F.explode(starts).alias("window")).distinct())
     owners = land(asked, "windows")
-    held = land(documents.join(owners.select(F.col("doc_id").alias("_own")).distinct(),
-                               F.col("doc_id").eqNullSafe(F.col("_own")), "left_semi"), "holders")
+    own = light(land(owners.select(F.col("doc_id").alias("_own")).distinct(), "owners"))
+    held = land(documents.join(own, F.col("doc_id").eqNullSafe(F.col("_own")), "left_semi"), "holders")
     runs = land(with_runs(held, "text", {"doc_id": "_doc"}), "runs")
     per_document = owners.groupBy("doc_id").agg(F.collect_list(F.struct("most", "band", "m", "window")).alias("asked"))
     # A window agrees when none of its shingles is smaller under the band's function.
@@ -126,5 +126,5 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
 
 def drop_leaking(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Documents in which no item was found; all columns stay. A row without an id goes with any such row."""
-    found = leaks(docs, items, id_col, text_col).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(found, F.col(id_col).cast("long").eqNullSafe(F.col("_leak")), "left_anti")
+    found = light(land(leaks(docs, items, id_col, text_col).select(F.col("doc_id").alias("_leak")).distinct(), "leaks"))
+    return docs.join(found, docs[id_col].cast("long").eqNullSafe(found["_leak"]), "left_anti")

@@ -30,7 +30,7 @@ BINS = 12
 # Rates stay within [0, MAX_RATE], so that no domain that is almost absent is repeated without end.
 MAX_RATE = 4.0
 ITERATIONS = 40
-STEP = 0.7
+STEP = 1.4
 
 
 def words(text: str) -> Column:
@@ -59,8 +59,9 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> dict[st
     domain = F.when(F.col("t") == 1, 1).when(F.col("q") == 0, 2).otherwise(0).alias("domain")
     known = docs.select(F.col("doc_id").cast("long").alias("_id")).filter("_id is not null").distinct()
     chosen = given.join(known, "_id", "left_semi").orderBy(F.xxhash64("_id"), "_id").limit(rows).select("_id", domain)
-    own = docs.select(F.col("doc_id").cast("long").alias("_id"), words("text").alias("words")).join(F.broadcast(chosen), "_id")
-    own = own.select("domain", "words", variety().alias("bin"))
+    # Joined before the words are split, so only the chosen texts are.
+    own = docs.select(F.col("doc_id").cast("long").alias("_id"), "text").join(F.broadcast(chosen), "_id")
+    own = own.select("domain", words("text").alias("words")).select("domain", "words", variety().alias("bin"))
     tokens = own.select("domain", F.explode_outer("words").alias("w")).filter("w is not null").groupBy("domain", bucket(F.col("w")).alias("key")).count()
     bins = own.groupBy("domain", F.col("bin").alias("key")).count()
     counts = tokens.withColumn("kind", F.lit("word")).unionByName(bins.withColumn("kind", F.lit("bin")))

@@ -119,6 +119,8 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             w, c = np.frombuffer(words, np.int32), np.frombuffer(chars, np.int32)
             weights = np.concatenate([_weights(np.frombuffer(wc, np.int32)), _weights(np.frombuffer(cc, np.int32))])
             rows.append((label, np.concatenate([w, c + (1 << BITS)]), weights))
+    if not rows:
+        return
     rows.sort(key=lambda r: (len(r[1]), r[0], r[1].tobytes()))  # an order that does not depend on how rows arrive
     folded, bias = train(rows)
     yield pa.record_batch([pa.array([folded.astype(np.float32).tobytes()]), pa.array([bias], pa.float64())],

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from labelloom.session import scratch_path
 
 LOWER = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+# Rows of a few numbers (at most some 30 MB in memory) that are sent to every executor.
+KEY_ROWS = 500_000
 SPACES = "[\\x20\\x09-\\x0D]+"
 
 
@@ -27,6 +29,14 @@ def with_row_id(landed: DataFrame) -> DataFrame:
         "*", F.col("_metadata.file_name").alias("row_file"), F.col("_metadata.row_index").alias("row_index"))
 
 
+def light(keys: DataFrame) -> DataFrame:
+    """A landed table of a few fixed-width key columns, broadcast if it is counted to be at most KEY_ROWS.
+
+    So a large table that keeps or loses few rows is not shuffled for them; beyond that bound it is.
+    """
+    return F.broadcast(keys) if keys.limit(KEY_ROWS + 1).count() <= KEY_ROWS else keys
+
+
 def width(df: DataFrame) -> int:
     """Shuffle partitions of the session, to which numbers of blocks are tied."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
