@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -179,6 +180,21 @@ def hamming(decisions: DataFrame, variant: str) -> DataFrame:
     return hamming_cases(decisions, variant).agg(F.lit(variant).alias("variant"), F.avg("score").alias("score"))
 
 
+def hamming_summary(decisions: DataFrame) -> DataFrame:
+    """(variant, score) of all three Hamming scores and of exact match (`exact`), from one pass per case."""
+    sets = decisions.groupBy("case_id").agg(
+        F.sum("gt").alias("_given"), F.sum("pred").alias("_said"), F.sum(F.col("gt") * F.col("pred")).alias("_both"),
+        F.avg((F.col("gt") == F.col("pred")).cast("double")).alias("_right"))
+    empty = (F.col("_given") == 0) & (F.col("_said") == 0)
+    shared = safe_ratio(F.col("_both"), F.col("_given"))
+    scores = sets.agg(
+        F.avg(F.when(empty, 1.0).otherwise(shared)).alias("a"),
+        F.avg(F.when(empty, 1.0).otherwise(F.coalesce(shared, F.lit(0.0)))).alias("b"),
+        F.avg("_right").alias("c"), F.avg((F.col("_right") == 1).cast("double")).alias("exact"))
+    return scores.select(F.explode(F.array(*[
+        F.struct(F.lit(n).alias("variant"), F.col(n).alias("score")) for n in ("a", "b", "c", "exact")])).alias("s")).select("s.*")
+
+
 def exact_match(decisions: DataFrame) -> DataFrame:
     """Share of cases with every part right."""
     cases = decisions.groupBy("case_id").agg(F.min((F.col("gt") == F.col("pred")).cast("double")).alias("_all"))
@@ -254,13 +270,29 @@ def global_rates(decisions: DataFrame, parts: Sequence[str] | None = None) -> Da
     )
 
 
+def _with_case_count(study: DataFrame, by: Sequence[str], counts: dict[str, Column], rows: Column) -> DataFrame:
+    """Counts per group over the rows of interest, with `_cases`, the number of cases of the whole study.
+
+    One pass over the study: a case keeps its rows of interest, each as a struct, and adds one row that
+    stands for itself, so cases are counted by the same grouping.
+    """
+    kept = F.struct(*by, *[c.alias(n) for n, c in counts.items()])
+    cases = study.groupBy("case_id").agg(F.collect_list(F.when(rows, kept)).alias("rows"))
+    itself = F.array(F.get("rows", F.lit(-1)))
+    every = cases.select("case_id", F.explode(F.concat("rows", itself)).alias("r"))
+    is_case = F.col("r").isNull() & F.col("case_id").isNotNull()
+    grouped = every.groupBy(F.col("r").isNull().alias("_self"), *[F.col(f"r.{c}").alias(c) for c in by]).agg(
+        F.count_if(is_case).alias("_own"), *[F.count_if(F.col(f"r.{n}")).alias(n) for n in counts])
+    total = grouped.withColumn("_cases", F.sum("_own").over(W.partitionBy(F.lit(0))))  # one row per group
+    return total.filter(~F.col("_self")).drop("_self", "_own")
+
+
 def error_attribution(study: DataFrame) -> DataFrame:
     """Per part, what explains its errors, as shares of the number of cases.
 
     `study` has case_id, part, v_pred, pred, gt and a reviewer's `remarks`. Only parts with a photo
     model (v_pred <> -1) that have an error or a remark of interest are reported.
     """
-    cases = study.agg(F.count_distinct("case_id").alias("n")).scalar()
     wrong, seen = F.col("pred") != F.col("gt"), F.col("v_pred") != -1
     relabel, hard = F.col("remarks") == "label error", F.col("remarks") == "hard sample"
     kinds = {
@@ -269,19 +301,17 @@ def error_attribution(study: DataFrame) -> DataFrame:
         "label_error_same": seen & relabel & ~wrong,
         "hard_sample": seen & hard & wrong,
     }
-    counts = study.groupBy("part").agg(*[F.count_if(k).alias(n) for n, k in kinds.items()])
-    shown = counts.filter(" or ".join(f"{n} > 0" for n in kinds)).withColumn("_cases", cases)
-    shares = shown.select("part", *[safe_ratio(F.col(n), F.col("_cases")).alias(n) for n in kinds])
+    counts = _with_case_count(study, ["part"], kinds, reduce(lambda a, b: a | b, (F.coalesce(k, F.lit(False)) for k in kinds.values())))
+    shares = counts.select("part", *[safe_ratio(F.col(n), F.col("_cases")).alias(n) for n in kinds])
     unexplained = F.col("error") - F.col("hard_sample") - F.col("label_error_different") + F.col("label_error_same")
     return shares.withColumn("unexplained", unexplained)
 
 
 def remark_counts(study: DataFrame, remark: str, by: Sequence[str]) -> DataFrame:
     """Rows with one remark per group, with their ratio to the number of cases."""
-    cases = study.agg(F.count_distinct("case_id").alias("n")).scalar()
-    counted = study.filter(F.col("remarks") == remark).groupBy(*by).agg(F.count("*").alias("count"))
-    with_total = counted.withColumn("_cases", cases)
-    return with_total.select(*by, "count", safe_ratio(F.col("count"), F.col("_cases")).alias("ratio"))
+    said = F.col("remarks") == remark
+    counted = _with_case_count(study, by, {"count": said}, said)
+    return counted.select(*by, "count", safe_ratio(F.col("count"), F.col("_cases")).alias("ratio"))
 
 
 def after_repair_cases(study: DataFrame, more_than: int = 2) -> DataFrame:

@@ -195,11 +195,7 @@ _SETS = "select case_id, sum(gt) as g, sum(pred) as s, sum(gt * pred) as b, avg(
     union all select 'c', round(avg(c), 6) from sets
     union all select 'exact', round(avg(case when c = 1 then 1.0::double else 0 end), 6) from sets""", "decisions", sets=_SETS))
 def _(v: Views):
-    decided = _decisions(v)
-    exact = evaluate.exact_match(decided).select(F.lit("exact").alias("variant"), F.col("exact_match").alias("score"))
-    scores = exact
-    for variant in ("a", "b", "c"):
-        scores = scores.unionByName(evaluate.hamming(decided, variant))
+    scores = evaluate.hamming_summary(_decisions(v))
     return _rounded(scores, "score")
 
 
