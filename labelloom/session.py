@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -38,13 +40,14 @@ def local_session(cpus: int | str = "*", memory: str = "8g", partitions: int = 8
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it in `spark.checkpoint.dir`.
 
-    Only a local master may fall back to a temporary folder of this machine.
+    Only a local master may fall back to a temporary folder of this machine, which goes with the process.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="labelloom-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
     return folder
