@@ -10,11 +10,9 @@ from pyspark.sql import functions as F
 from labelloom.functions import softmax
 from labelloom.operators.joins import vocabulary
 from labelloom.operators.labels import multilabel
-from labelloom.session import small_side
 
 CLASSES = 10
 EPOCHS = 6
-DOCUMENT_LINES = 50
 
 
 def given_label(case_id: Column, part: Column) -> Column:
@@ -160,11 +158,7 @@ class Views:
 
     @property
     def raw_json(self) -> DataFrame:
-        """Case documents and file listings as text, one per order.
-
-        An order with very many lines is cut into several documents of about `DOCUMENT_LINES` lines
-        each, so that no document grows with the table.
-        """
+        """Case documents and file listings as text, one per order; a document holds its order's lines."""
         line = F.struct(
             F.lower("p_name").alias("Description"),
             F.col("l_extendedprice").alias("fVAL"),
@@ -173,11 +167,7 @@ class Views:
         )
         lines = self.table("lineitem")
         joined = lines.join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"))
-        long_orders = lines.groupBy("l_orderkey").agg(F.count("*").alias("n")).filter(F.col("n") > DOCUMENT_LINES)
-        cuts = small_side(long_orders.select("l_orderkey", F.ceil(F.col("n") / DOCUMENT_LINES).alias("cuts")))
-        cut = F.pmod(F.xxhash64("l_partkey", "l_suppkey", "l_linenumber"), F.coalesce("cuts", F.lit(1)))
-        placed = joined.join(cuts, "l_orderkey", "left").withColumn("cut", cut)
-        parts = placed.groupBy(F.col("l_orderkey").alias("o_orderkey"), "cut").agg(F.collect_list(line).alias("parts"))
+        parts = joined.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_list(line).alias("parts"))
         docs = self.table("orders").join(parts, "o_orderkey", "left")
         main = F.struct(
             F.col("o_orderkey").alias("CaseID"),
