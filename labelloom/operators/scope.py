@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from labelloom.functions import differs, not_in, not_rlike_any, rlike_any
 from labelloom.operators.aggregates import complete_views
 from labelloom.operators.joins import ids_of
-from labelloom.operators.ranking import dedup
+from labelloom.operators.ranking import dedup, first_per
+from labelloom.session import save_point
+from labelloom.sources.tables import write_table
 
 # Damage conditions that do not count as damage.
 UNDAMAGED_CONDITIONS = (
@@ -138,6 +140,33 @@ def scope_cases(cases: DataFrame, parts: DataFrame, files: DataFrame, cfg: Scope
     return dedup(scoped, ["case_id"], [F.col(c) for c in sorted(set(cases.columns) - {"case_id"})])
 
 
+def scoped_tables(
+    cases: DataFrame, parts: DataFrame, files: DataFrame, cfg: ScopeConfig
+) -> dict[str, DataFrame]:
+    """Scoped cases, their scoped part lines, and their earliest photo of every required view.
+
+    The scoped cases are saved once, since both other tables are cut by them.
+    """
+    kept = save_point(scope_cases(cases, parts, files, cfg))
+    ids = kept.select("case_id")
+    photos = files.filter(F.col("view").isin(list(cfg.required_views))).join(ids, "case_id", "left_semi")
+    return {
+        "case": kept,
+        "part": scope_parts(parts, cfg).join(ids, "case_id", "left_semi"),
+        "file": first_per(photos, ["case_id", "view"], [F.col("final_date"), F.col("doc_id")]),
+    }
+
+
+# How each scoped table is partitioned on disk.
+SCOPED_BY = {"case": "vehicle_type", "part": "co_type", "file": "view"}
+
+
+def write_scoped(tables: dict[str, DataFrame], folder: str) -> None:
+    """The three scoped tables below a folder, partitioned."""
+    for name, table in tables.items():
+        write_table(table, f"{folder}/{name}", [SCOPED_BY[name]])
+
+
 def scope_funnel(cases: DataFrame, parts: DataFrame, files: DataFrame, cfg: ScopeConfig) -> DataFrame:
     """Case funnel: the column rules plus missing views and missing part lines."""
     complete = complete_views(files, cfg.required_views).withColumn("_views", F.lit(True))

@@ -19,7 +19,14 @@ _LINES_OF_GOOD = """select o.o_orderkey as "CaseID", lower(p_name) as "Descripti
 @query("flatten_case_rows", """select o_orderkey as "CaseID", o_orderpriority as "Vehicle_Type", o_orderstatus as "Claim_Type", 'm' as "Model",
     o_totalprice as "Gross_Offer_Insurer" from orders where o_orderkey % 50 <> 0""")
 def _(v: Views):
-    return documents.flatten_cases(v.raw_json).case
+    case = documents.flatten_cases(v.raw_json).case
+    return case.select("CaseID", "Vehicle_Type", "Claim_Type", "Model", "Gross_Offer_Insurer")
+
+
+@query("document_report", """select case when o_orderkey % 50 = 0 then 'rejected' else 'ok' end as outcome, count(*) as documents
+    from orders group by 1""")
+def _(v: Views):
+    return documents.document_report(v.raw_json)
 
 
 @query("flatten_part_rows", _LINES_OF_GOOD)

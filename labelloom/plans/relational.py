@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelloom.functions import (
@@ -12,8 +13,9 @@ from labelloom.operators import aggregates, expect, joins, labels, matching, ran
 from labelloom.operators.evaluate import case_accuracy, ensemble_vote, part_metrics
 from labelloom.operators.frontier import pareto_front
 from labelloom.plans.registry import query
-from labelloom.session import small_side
+from labelloom.session import scratch_path, small_side
 from labelloom.plans.views import Views, given_label, with_views
+from labelloom.sources import documents
 
 CFG = scope.ScopeConfig(
     min_cost=20000.0,
@@ -148,6 +150,34 @@ def _(v: Views):
     return scope.scope_cases(v.cases, v.part_lines, v.files, CFG).select("case_id", "vehicle_type", "gross_offer")
 
 
+def _raw_cases(v: Views) -> DataFrame:
+    """The case, part-line and photo views as raw documents and file listings."""
+    line = F.struct(F.initcap("description").alias("Description"), F.col("fval").alias("fVAL"),
+                    F.upper("damage_cond").alias("DamageCond"), F.lit("a").alias("CoType"))
+    parts = v.part_lines.groupBy("case_id").agg(F.collect_list(line).alias("parts"))
+    photo = F.struct(F.col("doc_id").alias("iDOCID"), F.col("final_date").cast("string").alias("FinalDate"),
+                     F.col("view").alias("StdDocDesc"))
+    photos = v.files.groupBy("case_id").agg(F.to_json(F.collect_list(photo)).alias("files"))
+    main = F.struct(
+        F.col("case_id").alias("CaseID"), F.col("vehicle_class").alias("Vehicle_Class"), F.col("vehicle_type").alias("Vehicle_Type"),
+        F.col("gross_offer").alias("Gross_Offer_Insurer"), F.col("circumstances").alias("Circumstances_of_Accident"),
+        F.col("claim_type").alias("Claim_Type"), F.col("model").alias("Model"))
+    data = F.struct(F.struct(main.alias("main"), F.struct("parts").alias("est_details")).alias("data"))
+    joined = v.cases.join(parts, "case_id", "left").join(photos, "case_id", "left")
+    return joined.select(F.to_json(F.struct(F.lit("OK").alias("status"), data.alias("data"))).alias("doc"), "files")
+
+
+@query("raw_to_scope", with_views(
+    f"select case_id, vehicle_type, gross_offer from cases where not ({' or '.join(_CASE_RULES.values())})",
+    "cases", "part_lines", "files", complete=FILE_SCOPE, scoped=PART_SCOPE))
+def _(v: Views):
+    landing, folder = scratch_path(v.spark, "raw"), scratch_path(v.spark, "scoped")
+    _raw_cases(v).write.parquet(landing)
+    named = documents.scope_names(documents.flatten_cases(v.spark.read.parquet(landing)))
+    scope.write_scoped(scope.scoped_tables(*named, CFG), folder)
+    return v.spark.read.parquet(f"{folder}/case").select("case_id", "vehicle_type", "gross_offer")
+
+
 # --- joins and sets ---
 
 @query("case_lines_join", with_views("""select c.case_id, c.model, p.line, p.part from cases c

@@ -60,7 +60,8 @@ def extract_members(archives: DataFrame, manifest: DataFrame) -> DataFrame:
 
     `archives` is (case_id, content) and `manifest` is (case_id, member). The wanted names travel
     with the archive as one array, so an archive is opened once. Absent members and unreadable
-    archives yield nothing; `archive_completeness` reports them.
+    archives or members (damaged, encrypted, packed in an unknown way) yield nothing and take no other
+    member with them; `archive_completeness` reports them. Members are passed on one by one.
     """
     wanted = manifest.groupBy("case_id").agg(F.collect_set("member").alias("members"))
     jobs = archives.select("case_id", "content").join(wanted, "case_id")
@@ -68,18 +69,30 @@ def extract_members(archives: DataFrame, manifest: DataFrame) -> DataFrame:
     def unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for case_id, content, members in zip(batch["case_id"], batch["content"], batch["members"]):
-                found = []
-                try:
-                    with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                        inside = set(archive.namelist())
-                        found = [(case_id, m, archive.read(m)) for m in members if m in inside]
-                except (zipfile.BadZipFile, zlib.error, EOFError):
-                    found = []
-                yield pd.DataFrame(found, columns=["case_id", "member", "content"])
+                for name, data in _members(content, set(members)):
+                    yield pd.DataFrame({"case_id": [case_id], "member": [name], "content": [data]})
 
     return jobs.mapInPandas(unzip, "case_id long, member string, content binary")
 
 
+_UNREADABLE = (zipfile.BadZipFile, zlib.error, EOFError, RuntimeError, NotImplementedError, OSError)
+
+
+def _members(content: bytes, wanted: set[str]) -> Iterator[tuple[str, bytes]]:
+    """Readable wanted members of one archive."""
+    try:
+        archive = zipfile.ZipFile(io.BytesIO(content))
+    except _UNREADABLE:
+        return
+    with archive:
+        for name in sorted(wanted & set(archive.namelist())):
+            try:
+                data = archive.read(name)
+            except _UNREADABLE:
+                continue
+            yield name, data
+
+
 def archive_completeness(manifest: DataFrame, extracted: DataFrame) -> DataFrame:
     """Wanted and extracted members per case, for cases where they differ."""
     got = extracted.select("case_id", "member").withColumn("_got", F.lit(1))

@@ -7,7 +7,13 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CASE_FIELDS = "CaseID: bigint, Vehicle_Type: string, Claim_Type: string, Model: string, Gross_Offer_Insurer: double"
+# Field names of the raw documents.
+CASE_FIELDS = (
+    "CaseID: bigint, Vehicle_Class: int, Vehicle_Type: string, Gross_Offer_Insurer: double, "
+    "Circumstances_of_Accident: string, Claim_Type: string, Model: string, Assembly_Type: string, "
+    "Vehicle_Still_Driveable: string, NCB_Stat: string, Sum_Insured: double, Repairer: string, "
+    "Repairer_Apprv_Count: string, Collision_With: string, Handling_Insurer: string"
+)
 PART_FIELDS = "Description: string, fVAL: double, DamageCond: string, CoType: string"
 FILE_FIELDS = "iDOCID: bigint, FinalDate: string, StdDocDesc: string"
 
@@ -61,6 +67,28 @@ def flatten_cases(
     return flatten_parsed(parse_documents(raw, case_fields, part_fields, file_fields))
 
 
+def document_report(raw: DataFrame) -> DataFrame:
+    """(outcome, documents): how many documents are `ok`, `rejected` by their status or `unreadable`."""
+    status = F.from_json("doc", document_schema())["status"]
+    outcome = F.when(status == "OK", "ok").when(status.isNotNull(), "rejected").otherwise("unreadable")
+    return raw.groupBy(outcome.alias("outcome")).agg(F.count("*").alias("documents"))
+
+
+def scope_names(tables: CaseTables) -> CaseTables:
+    """The three tables with the names and types that scoping takes; texts of part lines in lower case."""
+    renamed = {
+        "CaseID": "case_id", "Gross_Offer_Insurer": "gross_offer", "Circumstances_of_Accident": "circumstances",
+    }
+    case = tables.case.select(*[F.col(c).alias(renamed.get(c, c.lower())) for c in tables.case.columns])
+    part = tables.part.select(
+        F.col("CaseID").alias("case_id"), F.lower("Description").alias("description"), F.col("fVAL").alias("fval"),
+        F.lower("DamageCond").alias("damage_cond"), F.col("CoType").alias("co_type"))
+    file = tables.file.select(
+        F.col("CaseID").alias("case_id"), F.col("iDOCID").alias("doc_id"),
+        F.try_to_timestamp("FinalDate").alias("final_date"), F.col("StdDocDesc").alias("view"))
+    return CaseTables(case, part, file)
+
+
 def explode_view_parts(df: DataFrame, column: str) -> DataFrame:
     """JSON map of view -> parts to distinct (view, part) rows."""
     parsed = df.select(F.explode(F.from_json(column, "map<string, array<string>>")).alias("view", "parts"))

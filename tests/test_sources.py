@@ -152,3 +152,24 @@ def test_shared_folder_must_be_named_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(ValueError):
         session.shared_folder(Session())
+
+
+def test_damaged_member_spares_the_others(spark, rows):
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_STORED) as archive:
+        archive.writestr("good.jpg", b"good bytes")
+        archive.writestr("bad.jpg", b"bad bytes")
+    raw = bytearray(packed.getvalue())
+    at = raw.index(b"bad bytes")
+    raw[at] ^= 0xFF
+    given = spark.createDataFrame([(1, bytearray(raw)), (2, bytearray(b"no zip"))], "case_id long, content binary")
+    manifest = spark.createDataFrame([(1, "good.jpg"), (1, "bad.jpg"), (1, "absent.jpg"), (2, "x")], "case_id long, member string")
+    got = archives.extract_members(given, manifest)
+    assert [(r["case_id"], r["member"], bytes(r["content"])) for r in got.collect()] == [(1, "good.jpg", b"good bytes")]
+    assert rows(archives.archive_completeness(manifest, got)) == [(1, 3, 1), (2, 1, 0)]
+
+
+def test_document_report(spark, rows):
+    raw = spark.createDataFrame([(_doc(1), None), (_doc(2, status="ERR"), None), ("{broken", None), (None, None)],
+                                "doc string, files string")
+    assert rows(documents.document_report(raw)) == [("ok", 1), ("rejected", 1), ("unreadable", 2)]
