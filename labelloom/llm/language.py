@@ -2,13 +2,13 @@
 
 Tokens are the words of a text, A-Z lower-cased, and one end mark. Counting gives every training
 token's count; only counts of tokens above a fixed share of all tokens (at most HOT of them) reach
-the driver. The commonest of these, the end mark and one mark for all other words are the classes of
-the neural model: the score of a class after two classes is the product of its vector with the sum of
+the driver. The commonest of these, the end mark and KINDS marks for all other words, by their last two bytes,
+are the classes of the neural model: the score of a class after two classes is the product of its vector with the sum of
 the two context vectors, one table per position, plus a bias. Tasks train on all training texts of
 their part with noise words shared by a minibatch, and their parameters are averaged, weighted by
 tokens. Since contexts are pairs of classes, the logarithm of every context's normaliser is tabulated
 by batched matrix products, so every token probability is exactly normalised; a word that is not a
-class shares its mark's probability by its count plus one, and one share is left to all unseen words.
+class shares its mark's probability by its count plus one, and one share is left to its unseen words.
 
 Counts of the words that are not common are never gathered: their hashes are dealt to blocks, counted
 there together with the texts that ask for them, and only sums per text come back.
@@ -34,11 +34,13 @@ FOLDS, HELD = 7, 2
 # Words with at least 1/HOT of all training tokens are looked up where the texts are read.
 HOT = 20_000
 CLASSES = 1024
-OTHER, END = 0, 1
+# Classes below KINDS are marks of other words, then comes the end mark, then the common words.
+KINDS = 251
+END = KINDS
 DIM = 16
 NOISE = 64
-BATCH = 8192
-RATE = 0.1
+BATCH = 2048
+RATE = 0.2
 PIECES, SPREAD = 16, 64
 UNIT_BYTES = 4 << 20
 
@@ -54,55 +56,69 @@ def _split(h: np.ndarray, blocks: int):
     return order, list(zip(present.tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(h)], strict=True))
 
 
+def _words(raw: np.ndarray, starts: np.ndarray, powers: tokens.Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes and kinds of all words, and the number of words before each row."""
+    begin, end, before = tokens.word_spans(raw, starts)
+    return tokens.span_hashes(raw, begin, end, powers), tokens.word_ends(raw, begin, end, KINDS), before
+
+
 def _count(batches: Iterator[pa.RecordBatch], blocks: int) -> Iterator[pa.RecordBatch]:
     """Counts of the words of training texts, by unit and block."""
     powers = tokens.Powers()
     for batch in batches:
         for _, raw, starts in tokens.chunks(batch.column(0), UNIT_BYTES):
-            words, _ = tokens.word_hashes(raw, starts, powers)
-            words, counts = np.unique(words, return_counts=True)
+            words, kinds, _ = _words(raw, starts, powers)
+            words, first, counts = np.unique(words, return_index=True, return_counts=True)
             order, runs = _split(words, blocks)
-            words, counts = words[order], counts[order].astype(np.uint32)
+            words, counts, kinds = words[order], counts[order].astype(np.uint32), kinds[first][order].astype(np.uint8)
             yield pa.record_batch([
                 pa.array([b for b, _, _ in runs], pa.int32()),
                 pa.array([words[lo:hi].tobytes() for _, lo, hi in runs], pa.binary()),
-                pa.array([counts[lo:hi].tobytes() for _, lo, hi in runs], pa.binary())], names=["block", "words", "counts"])
+                pa.array([counts[lo:hi].tobytes() for _, lo, hi in runs], pa.binary()),
+                pa.array([kinds[lo:hi].tobytes() for _, lo, hi in runs], pa.binary())], names=["block", "words", "counts", "kinds"])
 
 
 def _total(rows: pd.DataFrame) -> pd.DataFrame:
     """Tokens and distinct words of a block, and its most frequent words."""
     flat = np.concatenate([np.frombuffer(x, np.uint64) for x in rows["words"]])
     times = np.concatenate([np.frombuffer(x, np.uint32) for x in rows["counts"]])
-    words, where = np.unique(flat, return_inverse=True)
+    kinds = np.concatenate([np.frombuffer(x, np.uint8) for x in rows["kinds"]])
+    words, first, where = np.unique(flat, return_index=True, return_inverse=True)
     counts = np.bincount(where, weights=times, minlength=len(words)).astype(np.int64)
+    kinds = kinds[first]
     top = np.lexsort((words, -counts))[:HOT]
-    return pd.DataFrame({"block": rows["block"].iloc[:1], "n": [int(counts.sum())], "v": [len(words)],
-                         "words": [words[top].tobytes()], "counts": [counts[top].tobytes()]})
+    return pd.DataFrame({
+        "block": rows["block"].iloc[:1], "n": [np.bincount(kinds, weights=counts, minlength=KINDS).astype(np.int64).tolist()],
+        "v": [np.bincount(kinds, minlength=KINDS).tolist()],
+        "words": [words[top].tobytes()], "counts": [counts[top].tobytes()], "kinds": [kinds[top].tobytes()]})
 
 
 def _above(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for words, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            words, counts = np.frombuffer(words, np.int64), np.frombuffer(counts, np.int64)
+        for words, counts, kinds in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            words, counts, kinds = np.frombuffer(words, np.int64), np.frombuffer(counts, np.int64), np.frombuffer(kinds, np.uint8)
             keep = counts >= least
-            yield pa.record_batch([pa.array(words[keep]), pa.array(counts[keep])], names=["word", "n"])
+            yield pa.record_batch([pa.array(words[keep]), pa.array(counts[keep]), pa.array(kinds[keep].astype(np.int32))],
+                                  names=["word", "n", "kind"])
 
 
 class Vocabulary:
     """Totals of the training tokens, the common words with their counts, and the classes."""
 
-    def __init__(self, words: np.ndarray, counts: np.ndarray, n: int, v: int, texts: int):
+    def __init__(self, words: np.ndarray, counts: np.ndarray, kinds: np.ndarray, n: np.ndarray, v: np.ndarray, texts: int):
+        """Common words with counts and kinds; tokens and distinct words by kind; training texts."""
         order = np.argsort(words)
-        self.words, self.counts = words[order], counts[order]
-        self.n, self.v, self.ends = n, v, texts
-        rank = np.lexsort((self.words, -self.counts))[:CLASSES - 2]
-        self.classes = np.zeros(len(self.words), dtype=np.int64)
-        self.classes[rank] = np.arange(2, 2 + len(rank))
-        sizes = np.zeros(2 + len(rank))
-        sizes[2:] = self.counts[rank]
-        sizes[END] = texts
-        self.other_n, self.other_v = n - int(sizes.sum()), v - len(rank) - (texts > 0)
-        sizes[OTHER] = self.other_n
+        self.words, self.counts, kinds = words[order], counts[order], kinds[order]
+        self.n, self.v, self.ends = int(n.sum()) + texts, int(v.sum()) + (texts > 0), texts
+        rank = np.lexsort((self.words, -self.counts))[:CLASSES - KINDS - 1]
+        self.classes = kinds.astype(np.int64)
+        self.classes[rank] = np.arange(KINDS + 1, KINDS + 1 + len(rank))
+        own = kinds[rank]
+        other_n = n - np.bincount(own, weights=self.counts[rank], minlength=KINDS)
+        other_v = v - np.bincount(own, minlength=KINDS)
+        sizes = np.concatenate([other_n, [texts], self.counts[rank]])
+        # What a word that is no class pays within its mark.
+        self.share = np.log10(other_n + other_v + 1)
         self.noise = (sizes + 1) / (sizes + 1).sum()
 
     @classmethod
@@ -123,14 +139,17 @@ class Vocabulary:
 def count(docs: DataFrame) -> Vocabulary:
     """Vocabulary of the texts (held, text) that are not held out."""
     training = docs.filter("not held").select("text")
-    packed = training.mapInArrow(partial(_count, blocks=2 * width(docs)), "block int, words binary, counts binary")
-    blocks = land(packed.groupBy("block").applyInPandas(_total, "block int, n long, v long, words binary, counts binary"), "words")
+    packed = training.mapInArrow(partial(_count, blocks=2 * width(docs)), "block int, words binary, counts binary, kinds binary")
+    blocks = land(packed.groupBy("block").applyInPandas(_total, "block int, n array<long>, v array<long>, words binary, counts binary, kinds binary"), "words")
     texts = training.count()
-    sums = blocks.agg(F.sum("n"), F.sum("v")).first()
-    n, v = (sums[0] or 0) + texts, (sums[1] or 0) + (texts > 0)
-    common = (blocks.select("words", "counts").mapInArrow(partial(_above, least=max(1, -(-n // HOT))), "word long, n long")).collect()
-    return Vocabulary(np.array([r[0] for r in common], dtype=np.int64).view(np.uint64),
-                      np.array([r[1] for r in common], dtype=np.int64), n, v, texts)
+    sums = blocks.select(F.posexplode(F.arrays_zip("n", "v")).alias("kind", "c")).groupBy("kind").agg(
+        F.sum("c.n"), F.sum("c.v")).orderBy("kind").collect()
+    n, v = (np.array([r[i] for r in sums] or [0] * KINDS, dtype=np.int64) for i in (1, 2))
+    least = max(1, -(-(int(n.sum()) + texts) // HOT))
+    common = blocks.select("words", "counts", "kinds").mapInArrow(
+        partial(_above, least=least), "word long, n long, kind int").collect()
+    words, counts, kinds = (np.array([r[i] for r in common], dtype=np.int64) for i in range(3))
+    return Vocabulary(words.view(np.uint64), counts, kinds, n, v, texts)
 
 
 def _sequence(classes: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -196,9 +215,9 @@ def _train(batches: Iterator[pa.RecordBatch], vocabulary) -> Iterator[pa.RecordB
     model = Model(v.noise)
     for batch in batches:
         for _, raw, starts in tokens.chunks(batch.column(0), UNIT_BYTES):
-            words, before = tokens.word_hashes(raw, starts, powers)
+            words, kinds, before = _words(raw, starts, powers)
             at = v.find(words)
-            classes = np.where(at >= 0, v.classes[at], OTHER) if len(v.words) else np.zeros(len(words), np.int64)
+            classes = np.where(at >= 0, v.classes[at], kinds) if len(v.words) else kinds
             seq, one, two, _ = _sequence(classes, before)
             model.learn(seq, one, two)
             seen += len(seq)
@@ -264,19 +283,18 @@ def _ask(batches: Iterator[pa.RecordBatch], shared, blocks: int) -> Iterator[pa.
         ids, held = batch.column(0), batch.column(1).to_numpy(zero_copy_only=False)
         for start, raw, starts in tokens.chunks(batch.column(2), UNIT_BYTES):
             n = len(starts) - 1
-            words, before = tokens.word_hashes(raw, starts, powers)
+            words, kinds, before = _words(raw, starts, powers)
             doc = np.repeat(np.arange(n), np.diff(before))
             at = v.find(words)
             common = at >= 0
-            classes = np.where(common, v.classes[at], OTHER) if len(v.words) else np.zeros(len(words), np.int64)
+            classes = np.where(common, v.classes[at], kinds) if len(v.words) else kinds
             seq, one, two, row = _sequence(classes, before)
             chance = (pair_one[one, seq] + pair_two[two, seq] - z[one, two]) / math.log(10)
             model = np.bincount(row, weights=chance, minlength=n)
             log_c = np.where(common, logs[at], 0.0) if len(v.words) else np.zeros(len(words))
             base = np.bincount(doc, weights=log_c, minlength=n) + math.log10(v.ends + 1)
-            others = classes == OTHER
-            model += np.bincount(doc[others], weights=log_c[others], minlength=n)
-            model -= np.bincount(doc[others], minlength=n) * math.log10(v.other_n + v.other_v + 1)
+            others = classes < KINDS
+            model += np.bincount(doc[others], weights=log_c[others] - v.share[classes[others]], minlength=n)
             lengths = np.diff(before) + 1
             base -= lengths * math.log10(v.n + v.v + 1)
             known = np.bincount(doc[common], minlength=n) + (v.ends > 0)

@@ -87,10 +87,22 @@ def word_spans(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndar
 def word_hashes(raw: np.ndarray, starts: np.ndarray, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words in order, and the number of words before each row (one more than rows)."""
     begin, end, before = word_spans(raw, starts)
+    return span_hashes(raw, begin, end, powers), before
+
+
+def span_hashes(raw: np.ndarray, begin: np.ndarray, end: np.ndarray, powers: Powers) -> np.ndarray:
+    """Hashes of words given by where they begin and end."""
     up, down = powers.to(len(raw) + 1)
     sums = np.zeros(len(raw) + 1, dtype=np.uint64)
     np.cumsum(_LOW[raw] * up[:len(raw)], out=sums[1:])
-    return mix((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64)), before
+    return mix((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64))
+
+
+def word_ends(raw: np.ndarray, begin: np.ndarray, end: np.ndarray, kinds: int) -> np.ndarray:
+    """A number below `kinds` for each word, by its last two bytes."""
+    last = _LOW[raw[end - 1]]
+    other = np.where(end - begin > 1, _LOW[raw[np.maximum(end - 2, 0)]], 0) if len(end) else last
+    return ((last * 31 + other) % kinds).astype(np.int64)
 
 
 def shingle_sets(raw: np.ndarray, starts: np.ndarray, powers: Powers) -> list[np.ndarray]:
