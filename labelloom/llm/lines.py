@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelloom.llm.store import land
+from labelloom.llm.store import land, width
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -163,10 +163,10 @@ def _filters(counts: DataFrame, min_docs: int) -> DataFrame:
 
 
 def build(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS) -> LineIndex:
-    """Index of (doc_id, text); shards follow the number of distinct keys."""
+    """Index of (doc_id, text); shards follow the number of distinct keys, at least one per shuffle partition."""
     references = land(references_of(docs, min_chars), "references")
     n_keys = references.agg(F.approx_count_distinct("key")).first()[0]
-    shards = 1 << max(0, int(np.ceil(np.log2(max(1, n_keys) / SHARD_KEYS))))
+    shards = 1 << int(np.ceil(np.log2(max(1, n_keys / SHARD_KEYS, width(docs)))))
     counts = land(_counts(references, shards), "counts")
     return LineIndex(references, counts, land(_filters(counts, min_docs), "filters"), shards, min_docs, min_chars)
 
