@@ -173,4 +173,6 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     packed = packed.select("row", "text", draw.alias("draw"))
     copies = F.floor(rate_after(steps) + F.col("draw")).cast("int")
     return (posteriors(packed, model, ["row", "draw"])
-            .select("row", F.explode(F.array_repeat(F.lit(0), copies)).alias("copy")).select("row.*"))
+            # Outer: an inner generator adds a filter that would work the posteriors out once more.
+            .select("row", F.explode_outer(F.array_repeat(F.lit(0), copies)).alias("copy"))
+            .filter("copy is not null").select("row.*"))
