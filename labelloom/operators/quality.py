@@ -266,12 +266,23 @@ def correction_report(before: DataFrame, after: DataFrame) -> DataFrame:
 
 
 def worst_half(issues: DataFrame) -> DataFrame:
-    """The worse half of the flagged cases by quality, rounded down."""
+    """The worse half of the flagged cases by quality, rounded down; equal qualities by case id.
+
+    Only the distinct qualities are put in order, with their numbers of cases, however many cases share
+    one. Ids are ordered inside the one quality that the cut falls into.
+    """
     flagged = save_point(case_issues(issues).filter("is_issue = 1").select("case_id", "quality"))
-    ordered = running(
-        range_bucketed(flagged, "quality"), [], F.col("_range"), [F.col("quality"), F.col("case_id")]
-    )
-    return ordered.filter(F.col("rank") <= F.floor(F.col("group_size") / 2)).select("case_id")
+    half = flagged.agg(F.floor(F.count("*") / 2).alias("n")).scalar()
+    sizes = save_point(flagged.groupBy("quality").agg(F.count("*").alias("n")))
+    ordered = running(range_bucketed(sizes, "quality"), [], F.col("_range"), [F.col("quality")], value="n")
+    placed = save_point(ordered.select("quality", (F.col("running_sum") - F.col("n")).alias("before"), F.col("running_sum").alias("upto")))
+    whole = placed.filter(F.col("upto") <= half).agg(F.max("quality").alias("q")).scalar()
+    cut = placed.filter((F.col("before") < half) & (F.col("upto") > half))
+    tied = flagged.filter(F.col("quality") == cut.agg(F.max("quality").alias("q")).scalar())
+    ranked = running(range_bucketed(tied, "case_id"), [], F.col("_range"), [F.col("case_id")])
+    room = half - cut.agg(F.max("before").alias("b")).scalar()
+    return (flagged.filter(F.col("quality") <= whole).select("case_id")
+            .unionByName(ranked.filter(F.col("rank") <= room).select("case_id")))
 
 
 def correct_guarded(
