@@ -23,7 +23,7 @@ from labelloom.llm.store import SPACES, land, text_of
 DOMAINS = ("clean", "toxic", "junk")
 TARGETS = {"clean": 0.95, "toxic": 0.05, "junk": 0.0}
 # Word buckets of the classifier, and the labelled documents it learns from (smallest hash of the id).
-BUCKETS = 1 << 15
+BUCKETS = 1 << 12
 TRAIN_ROWS = 10_000
 # Shares of distinct words are cut into so many equal bins, a second feature.
 BINS = 12
@@ -65,7 +65,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> dict[st
     tokens = own.select("domain", F.explode_outer("words").alias("w")).filter("w is not null").groupBy("domain", bucket(F.col("w")).alias("key")).count()
     bins = own.groupBy("domain", F.col("bin").alias("key")).count()
     counts = tokens.withColumn("kind", F.lit("word")).unionByName(bins.withColumn("kind", F.lit("bin")))
-    table = {(r["kind"], r["domain"], r["key"]): r["count"] for r in counts.collect()}
+    table = {(r.kind, r.domain, r.key): r.count_ for r in counts.withColumnRenamed("count", "count_").toPandas().itertuples()}
     seen = {(kind, d): sum(n for (k, e, _), n in table.items() if k == kind and e == d)
             for kind in ("word", "bin") for d in range(len(DOMAINS))}
 
