@@ -1,15 +1,20 @@
 """Main text of web pages by line-block distribution.
 
 Markup is stripped to lines, one per block element. Elements that are never an article's text
-(scripts, menus, forms, adverts and the like, by name, role or class) leave empty lines. The length of
+(scripts, menus, forms, adverts and the like, by name, role or class) end a line. The length of
 a line is its text outside links. Lengths are summed over sliding windows of BLOCK lines; a text
-surges where the sum rises from nothing and dives where it falls back to nothing, and lines between
-surge and dive are kept if the region reaches SURGE, or is the longest there is.
+surges where the sum rises from nothing and dives where it falls back to nothing. A region between
+surge and dive is accepted if it reaches SURGE, or is the longest there is; the text is all regions from
+the one before the first accepted to the one after the last, so that short titles and endings stay.
+
+The windows decide where no article or main element holds text outside links. Elsewhere the tag rules
+do: the text is all lines in these elements, links included, but for the unwanted elements.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from html import unescape
 
@@ -38,11 +43,14 @@ _NOISE = re.compile(
 _COMMENT = re.compile(r"(?:^|[\s_-])comments?(?=$|[\s_-])", re.I)
 _DROPPED = {"nav", "footer", "aside", "form", "dialog", "menu", "fieldset", "label", "input", "option", "datalist"}
 _MAIN = {"article", "main"}
+_MAIN_TAG = re.compile(r"<(article|main)(?![a-zA-Z0-9:-])((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>", re.I)
 _KEPT = {"html", "body", "article", "main"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 _INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins",
            "kbd", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt",
            "u", "var", "wbr", "br", "center"}
+# What stands in an article and is not it, even with articles of its own.
+_BESIDE = {"nav", "footer", "aside"}
 _OPEN_ENDED = {"p", "li", "dt", "dd", "td", "th", "tr"}
 
 
@@ -75,9 +83,23 @@ def _skip(page: str, tag: re.Match, name: str) -> int:
     return tag.end()
 
 
+def _holds_text(tag: re.Match, name: str, end: int, mains: list[int], depth: int) -> bool:
+    """Whether the unwanted element up to `end` holds an article or main that is not beside the text.
+
+    `mains` are the places of all such start tags, and `depth` of them are open. Comments are beside it,
+    if the page has others elsewhere.
+    """
+    held = bisect_left(mains, end) - bisect_left(mains, tag.end())
+    if not held or (depth and name in _BESIDE):
+        return False
+    hints = " ".join(a or b or c for a, b, c in _HINTS.findall(tag[3]))
+    return held + depth == len(mains) or not _COMMENT.search(hints)
+
+
 def lines_of(page: str) -> tuple[list[str], list[int], list[bool]]:
     """Lines, their lengths outside links, and whether each stands in an article or main element."""
     page = _HEAD.sub(" ", _RAW.sub(" ", page))
+    mains = [t.start() for t in _MAIN_TAG.finditer(page) if not _unwanted(t[1].lower(), t[2], False)]
     lines, sizes, within = [], [], []
     text: list[str] = []
     linked = links = main = 0
@@ -106,14 +128,9 @@ def lines_of(page: str) -> tuple[list[str], list[int], list[bool]]:
         at = tag.end()
         if not closing and _unwanted(name, tag[3], main > 0):
             end = _skip(page, tag, name)
-            if end > at or name in _DROPPED:
+            if (end > at or name in _DROPPED) and not _holds_text(tag, name, end, mains, main):
                 if name not in _INLINE:
                     end_line()
-                    # Empty lines let the windows fall to nothing between what stands before and after.
-                    if not main:
-                        lines.extend([""] * BLOCK)
-                        sizes.extend([0] * BLOCK)
-                        within.extend([False] * BLOCK)
                 else:
                     text.append(" ")
                 at = end
@@ -149,22 +166,21 @@ def regions(sizes: list[int]) -> list[tuple[int, int, int]]:
 def main_text(page: str | None) -> str:
     """Text of the article of a page, its blocks joined by one space; empty for null, empty and text-free pages.
 
-    Where a page marks its article or main element, only lines in it have a length.
+    Where an article or main element holds text outside links, the text is all that such elements hold.
     """
     if not page:
         return ""
     lines, sizes, within = lines_of(page)
+    marked = [line for line, w in zip(lines, within, strict=True) if w and line]
     if any(w and s for w, s in zip(within, sizes, strict=True)):
-        sizes = [s if w else 0 for s, w in zip(sizes, within, strict=True)]
-        own = [line if w else "" for line, w in zip(lines, within, strict=True)]
-        # In a marked article the surge and dive are its first and last line with text.
-        found = regions(sizes)
-        return " ".join(line for line in own[found[0][0]:found[-1][1]] if line)
+        return " ".join(marked)
     found = regions(sizes)
     if not found:
-        return ""
+        return " ".join(marked)
     least = min(SURGE, max(peak for _, _, peak in found))
-    return " ".join(line for first, last, peak in found if peak >= least for line in lines[first:last] if line)
+    accepted = [i for i, (_, _, peak) in enumerate(found) if peak >= least]
+    kept = found[max(0, accepted[0] - 1):accepted[-1] + 2]
+    return " ".join(line for first, last, _ in kept for line in lines[first:last] if line)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -81,3 +81,26 @@ def test_loser_tree():
 def test_url_keys():
     assert warc.url_key("http://www.Example.org:8080/A?b=C") == "org,example)/a?b=c"
     assert warc.url_key(None) == ")/" and warc.url_key("http://[bad") == ")http://[bad"
+
+
+def test_unmarked_article_keeps_short_parts():
+    body = "Words of the middle paragraph. " * 10
+    page = (f"<div><h1>Title</h1><div class=share>tell others</div><p>{body}</p><div class=ad>buy</div><p>Short end.</p></div>")
+    assert html.main_text(page) == f"Title {body.strip()} Short end."
+    links = "<ul>" + "<li><a href=x>somewhere</a>" * 4 + "</ul>"
+    page = f"<div><p>{body}</p>{links}<p>Short middle.</p>{links}<p>{body}</p></div>"
+    assert html.main_text(page).count("middle") == 21 and "Short middle." in html.main_text(page)
+
+
+def test_wrapper_of_an_article_is_not_skipped():
+    side = "<div class=related><p>Something else to read, in a sentence of some length.</p></div>"
+    for start, end in (("<div class='layout with-sidebar'>", "</div>"), ("<form>", "</form>"), ("<main><div id=has-comments>", "</div></main>")):
+        assert html.main_text(f"<body>{start}{side}<article><p>Its text.</p></article>{end}</body>") == "Its text."
+    page = "<article><p>Its text.</p><aside><article>A card.</article></aside></article><div class=comments><article>I disagree.</article></div>"
+    assert html.main_text(page) == "Its text."
+
+
+def test_links_of_a_marked_article_stay():
+    page = "<article><h1><a href=x>Title</a></h1><p>Its text.</p><p><a href=y>Its source</a></p></article>"
+    assert html.main_text(page) == "Title Its text. Its source"
+    assert html.main_text("<main><a href=x>Only a link</a></main>") == "Only a link"
