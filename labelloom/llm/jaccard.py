@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from labelloom.llm import tokens
 from labelloom.llm.graph import components
-from labelloom.llm.store import land, light, width
+from labelloom.llm.store import ROW, land, light, numbered, width
 
 # Links: 100 * shared >= PERCENT * union.
 PERCENT = 75
@@ -391,18 +391,18 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Documents with one row of each class kept, the one with the smallest id; all columns stay.
 
-    Rows without words link with nothing and stay, and so do rows without an id, which no decision
-    can name; they take no part in the join. Of rows that repeat a kept id one stays.
+    Each row goes by its own text: rows that repeat an id with different texts are different documents.
+    Rows without words link with nothing and stay. Rows without an id are compared like all others, but
+    lose only to each other: of those in a class one stays, besides the smallest id.
     """
-    named = docs.filter(F.col(id_col).isNotNull())
-    classes = jaccard_classes(named, id_col, text_col)
-    classes = land(classes.select("doc_id", "component_id"), "classes")
-    lost = light(land(classes.filter("doc_id != component_id").select(F.col("doc_id").alias("_lost")).distinct(), "lost"))
-    twice = light(land(classes.groupBy(F.col("doc_id").alias("_twice")).count().filter("count > 1").select("_twice"), "twice"))
-    kept = named.join(lost, named[id_col].cast("long") == lost["_lost"], "left_anti")
-    same = kept[id_col].cast("long") == twice["_twice"]
-    return (kept.join(twice, same, "left_anti").unionByName(kept.join(twice, same, "left_semi").dropDuplicates([id_col]))
-            .unionByName(docs.filter(F.col(id_col).isNull())))
+    rows = numbered(docs)
+    classes = jaccard_classes(rows, ROW, text_col).select(F.col("doc_id").alias(ROW), "component_id")
+    ids = rows.select(ROW, F.col(id_col).cast("long").alias("id"))
+    classes = land(classes.join(ids, ROW), "classes")
+    first = (classes.groupBy("component_id", F.col("id").isNull()).agg(F.min(F.struct("id", ROW)).alias("first"))
+             .select(F.col(f"first.{ROW}").alias(ROW)))
+    lost = light(land(classes.join(first, ROW, "left_anti").select(ROW), "lost"))
+    return rows.join(lost, ROW, "left_anti").select(*(f"`{c}`" for c in docs.columns))
 
 
 def class_sizes(classes: DataFrame) -> DataFrame:

@@ -10,6 +10,8 @@ from labelloom.session import scratch_path
 LOWER = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 # Rows of a few numbers (at most some 30 MB in memory) that are sent to every executor.
 KEY_ROWS = 500_000
+# Column of a row's own number.
+ROW = "_row"
 SPACES = "[\\x20\\x09-\\x0D]+"
 
 
@@ -29,6 +31,11 @@ def with_row_id(landed: DataFrame) -> DataFrame:
         "*", F.col("_metadata.file_name").alias("row_file"), F.col("_metadata.row_index").alias("row_index"))
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """All columns, landed, and ROW: a number of each row, which is read and never made again."""
+    return land(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+
+
 def light(keys: DataFrame) -> DataFrame:
     """A landed table of a few fixed-width key columns, broadcast if it is counted to be at most KEY_ROWS.
 

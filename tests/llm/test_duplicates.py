@@ -115,6 +115,15 @@ def test_drop_near_duplicates(spark, rows):
     assert set(got) - {None} == want and got[None] == 2 and all(n == 1 for i, n in got.items() if i is not None)
 
 
+def test_near_duplicates_go_by_row(spark):
+    one, two, three = (" ".join(f"{k}{i}" for i in range(40)) for k in "abc")
+    rows = [(1, one), (2, one + " more"), (2, two), (2, ""), (2, None), (3, three), (3, three), (None, two + " x"), (None, two), (None, "alone")]
+    kept = jaccard.drop_near_duplicates(table(spark, rows))
+    got = Counter((r["doc_id"], (r["text"] or "")[:2]) for r in kept.collect())
+    assert got == Counter([(1, "a0"), (2, "b0"), (2, ""), (2, ""), (3, "c0"), (None, "b0"), (None, "al")])
+    assert jaccard.drop_near_duplicates(empty(spark)).count() == 0
+
+
 def test_exact_groups(spark, rows):
     got = exact.exact_groups(table(spark, rows), share=20).collect()  # the larger groups count as heavy
     assert len(got) == len(rows)
@@ -253,3 +262,11 @@ def test_leaks(spark):
     assert kept.columns == table(spark, rows).columns
     assert Counter(r["doc_id"] for r in kept.collect()) == Counter(i for i, _ in rows if i not in {a for a, _ in want})
     assert leaks.leaks(empty(spark), given).count() == 0 and leaks.leaks(table(spark, rows), given.limit(0)).count() == 0
+
+
+def test_leaks_go_by_row(spark):
+    text, clean = (" ".join(f"{k}{i}" for i in range(40)) for k in "ab")
+    given = spark.createDataFrame([(1, text)], "item_id long, text string")
+    rows = [(None, text), (None, clean), (None, None), (7, "x " + text), (7, clean), (7, clean), (8, text)]
+    kept = leaks.drop_leaking(table(spark, rows), given)
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter([(None, clean), (None, None), (7, clean), (7, clean)])
