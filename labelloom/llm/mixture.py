@@ -3,18 +3,20 @@
 A naive Bayes classifier, learned from the labelled table, gives every document posteriors over three
 domains: `clean` (quality 1, not toxic), `toxic`, `junk` (quality 0). Nonnegative rates r are then
 fitted so that the expected tokens of each domain, the sum over documents of r * tokens * posterior,
-meet the targets: projected gradient descent on the least-squares distance, each domain's residual
-weighted by the inverse of its natural total and each document's coordinate scaled by its tokens.
+meet the targets: least squares, each domain's residual weighted by the inverse of its natural total.
 
-The gradient of a document depends on the others only through one residual per domain, so an
-iteration is one pass over a narrow table and one sum, and a rate is a function of the document's own
-posteriors and the list of residuals. Nothing but these few numbers passes the driver.
+Of the rates that fit, those nearest to 1 (squares weighted by tokens) are wanted. They are
+max(0, 1 - posteriors * slope) with one number per domain in `slope`, the multipliers of the domains'
+residuals, which Newton's method finds on the convex dual. An iteration is one pass over a narrow table
+and a few sums. Nothing but these few numbers passes the driver.
 """
 
 from __future__ import annotations
 
 import math
+import warnings
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,10 +29,12 @@ BUCKETS = 1 << 12
 TRAIN_ROWS = 10_000
 # Shares of distinct words are cut into so many equal bins, a second feature.
 BINS = 12
-# Rates stay within [0, MAX_RATE], so that no domain that is almost absent is repeated without end.
-MAX_RATE = 4.0
-ITERATIONS = 40
-STEP = 1.4
+# Rates have no upper bound.
+MAX_RATE = math.inf
+# Targets count as met when no domain misses its total by more than this share of all tokens.
+TOLERANCE = 1e-4
+# Weight of the distance to rate 1 against the residuals; it falls from the first to the second until the targets are met.
+DISTANCE = (1e-1, 1e-8)
 
 
 def words(text: str) -> Column:
@@ -109,40 +113,75 @@ def posteriors(docs: DataFrame, model: dict[str, list], keep: list[str]) -> Data
 
 
 def rate_after(residuals: list[list[float]]) -> Column:
-    """Rate of a document after the steps that the residuals stand for, from 1, projected after each."""
+    """Rate of a document after steps against the slopes of the domains, from 1, kept nonnegative after each."""
     if not residuals:
         return F.lit(1.0)
     steps = F.array(*(F.array(*(F.lit(float(x)) for x in step)) for step in residuals))
 
     def move(rate, step):
         slope = F.aggregate(F.zip_with("p", step, lambda p, e: p * e), F.lit(0.0), lambda a, b: a + b)
-        return F.greatest(F.lit(0.0), F.least(F.lit(MAX_RATE), rate - slope))
+        return F.greatest(F.lit(0.0), rate - slope)
 
     return F.aggregate(steps, F.lit(1.0), move)
 
 
-def domain_totals(rated: DataFrame, rate: Column) -> list[float]:
-    """Expected tokens of each domain at these rates."""
-    sums = [F.sum(rate * F.col("tokens") * F.element_at("p", d + 1)) for d in range(len(DOMAINS))]
-    return [x or 0.0 for x in rated.agg(*sums).first()]
+def sums_at(rated: DataFrame, slope: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """Expected tokens of each domain at the rates of a slope, their derivatives, and tokens times squared rates."""
+    rate = rate_after([[float(x) for x in slope]])
+    part = [F.element_at("p", d + 1) for d in range(len(DOMAINS))]
+    n = range(len(DOMAINS))
+    row = rated.select("p", F.col("tokens").cast("double").alias("t"), rate.alias("r")).agg(
+        *(F.sum(F.col("r") * F.col("t") * part[d]) for d in n),
+        *(F.sum(F.when(F.col("r") > 0, F.col("t") * part[d] * part[e]).otherwise(0.0)) for d in n for e in n),
+        F.sum(F.col("t") * F.col("r") * F.col("r"))).first()
+    values = np.array([x or 0.0 for x in row])
+    return values[:len(n)], values[len(n):-1].reshape(len(n), len(n)), float(values[-1])
 
 
-def fit_rates(rated: DataFrame, targets: dict[str, float]) -> list[list[float]]:
-    """Steps that bring the expected totals to the targets' shares of all tokens of the table."""
-    natural = domain_totals(rated, F.lit(1.0))
-    whole = sum(natural)
+def fit(rated: DataFrame, targets: dict[str, float]) -> tuple[list[list[float]], dict[str, float]]:
+    """Steps that bring the expected totals to the targets' shares of all tokens, and what each domain misses.
+
+    The second is what a domain has above (or below, if negative) its target, as a share of all tokens. Where
+    it exceeds TOLERANCE, the least-squares gradient vanishes and no rates come nearer.
+    """
+    none = np.zeros(len(DOMAINS))
+    natural, curve, size = sums_at(rated, none)
+    whole = float(natural.sum())
     if not whole:
-        return []
-    scale = sum(targets[d] for d in DOMAINS)
-    goal = [whole * targets[d] / scale for d in DOMAINS]
-    steps: list[list[float]] = []
-    for _ in range(ITERATIONS):
-        now = domain_totals(rated, rate_after(steps)) if steps else natural
-        error = [(x - g) / max(n, whole * 1e-6) for x, g, n in zip(now, goal, natural, strict=True)]
-        if max(abs(x - g) for x, g in zip(now, goal, strict=True)) < 1e-4 * whole:
-            break
-        steps.append([STEP * e for e in error])
-    return steps
+        return [], dict.fromkeys(DOMAINS, 0.0)
+    goal = whole * np.array([targets[d] for d in DOMAINS]) / sum(targets[d] for d in DOMAINS)
+    weight = np.maximum(natural, whole * 1e-6)
+    slope, total, distance = none, natural, DISTANCE[0]
+
+    def met():
+        return np.abs(total - goal).max() <= TOLERANCE * whole
+
+    while not met():
+        down = goal - total + distance * weight * slope
+        height = size / 2 + goal @ slope + distance * (weight * slope) @ slope / 2
+        move = -np.linalg.solve(curve + distance * np.diag(weight), down)
+        length = 1.0
+        # Below the precision of the sums nothing falls any more.
+        while -length * (down @ move) > 1e-12 * (size + abs(height)):
+            to = slope + length * move
+            found = sums_at(rated, to)
+            if found[2] / 2 + goal @ to + distance * (weight * to) @ to / 2 <= height + 1e-4 * length * (down @ move):
+                slope, (total, curve, size) = to, found
+                break
+            length /= 2
+        else:
+            if distance <= DISTANCE[1]:
+                break
+            distance /= 10
+    missed = dict(zip(DOMAINS, ((total - goal) / whole).tolist(), strict=True))
+    if not met():
+        warnings.warn(f"no nonnegative rates meet the targets; missed, as shares of all tokens: {missed}", stacklevel=2)
+    return [slope.tolist()] if slope.any() else [], missed
+
+
+def fit_rates(rated: DataFrame, targets: dict[str, float]) -> list[list[float]]:
+    """Steps of `fit`, which warns of what they miss."""
+    return fit(rated, targets)[0]
 
 
 def mixture(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:

@@ -79,6 +79,31 @@ def test_rates_agree_with_numpy(spark):
     assert np.allclose((rate * tokens_) @ p / tokens_.sum(), [0.5, 0.3, 0.2], atol=1e-3)
 
 
+def test_rates_of_a_rare_domain(spark):
+    rng = np.random.default_rng(5)
+    p = np.array([[0.99, 0.002, 0.008]] * 900 + [[0.01, 0.002, 0.988]] * 95 + [[0.05, 0.949, 0.001]] * 5)
+    tokens_ = rng.integers(50, 150, len(p))
+    rated = spark.createDataFrame([(int(t), q.tolist()) for t, q in zip(tokens_, p, strict=True)], "tokens long, p array<double>")
+    steps, missed = mixture.fit(rated, {"clean": 0.89, "toxic": 0.1, "junk": 0.01})
+    rate = np.array([r[0] for r in rated.select(mixture.rate_after(steps)).collect()])
+    assert (rate >= 0).all() and rate.max() > 10
+    assert np.allclose((rate * tokens_) @ p / tokens_.sum(), [0.89, 0.1, 0.01], atol=2e-4)
+    assert max(map(abs, missed.values())) <= mixture.TOLERANCE
+
+
+def test_rates_of_targets_out_of_reach(spark):
+    p = np.array([[0.6, 0.3, 0.1]] * 50 + [[0.5, 0.2, 0.3]] * 50)
+    rated = spark.createDataFrame([(10, q.tolist()) for q in p], "tokens long, p array<double>")
+    with pytest.warns(UserWarning, match="targets"):
+        steps, missed = mixture.fit(rated, {"clean": 0.2, "toxic": 0.0, "junk": 0.8})
+    rate = np.array([r[0] for r in rated.select(mixture.rate_after(steps)).collect()])
+    totals, weight = (rate * 10) @ p, p.sum(0) * 10
+    error = totals - np.array([200, 0, 800])
+    assert np.allclose(error / 1000, list(missed.values()), atol=1e-6)
+    slope = p @ (error / weight)
+    assert (np.abs(np.where(rate > 0, slope, np.minimum(slope, 0))) < 1e-3).all()
+
+
 def test_mixture_odd_rows(spark, given):
     _, labels = given
     odd = odd_rows(spark)
