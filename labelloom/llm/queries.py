@@ -110,3 +110,84 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from labelloom.llm.warc import archive_round_trip
 
     return archive_round_trip(table(spark, sf_dir, "pages"))
+
+
+def _rounds_sql(table: str, first: str, rounds: int, key: str, on: str) -> str:
+    """Common table expressions of exact k-means in SQL: `a<i>` are assignments, `c<i>` centres, c0 given by `first`.
+
+    `key` are the columns that tell a row of `table` (which has the list `v`), `on` the column that centres share with it.
+    """
+    steps, using, both = [f"c0 as materialized ({first})"], f"using ({on})" if on else "on true", f"{on}, " if on else ""
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} as materialized (
+    select {key}, x.v, arg_min(c.g, struct_pack(d := list_sum(list_transform(list_zip(x.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), g := c.g)) as g,
+           min(list_sum(list_transform(list_zip(x.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))) as d
+    from {table} x join c{i} c {using} group by {key}, x.v)""")
+        if i < rounds:
+            steps.append(f"""m{i} as materialized (
+    select {both}g, list(m order by p) as v from (
+        select {both}g, p, cast(floor(sum(x) / count(*)) as bigint) as m
+        from (select {both}g, unnest(v) as x, generate_subscripts(v, 1) as p from a{i}) group by {both}g, p)
+    group by {both}g),
+c{i + 1} as materialized (select {', '.join(f'c.{c}' for c in (on, 'g') if c)}, coalesce(m.v, c.v) as v from c{i} c left join m{i} m using ({both}g))""")
+    return ",\n".join(steps)
+
+
+_STEPS = "list_transform(embedding, lambda x: cast(floor({scale} * cast(x as double)) as bigint)) as v"
+_COMPLETE = ("embedding is not null and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0")
+
+
+@query("op11_centroid_clustering", f"""
+with recursive e as materialized (
+    select vec_id, {_STEPS.format(scale=256)} from embeddings where len(embedding) = 64 and {_COMPLETE}),
+{_rounds_sql('e', '''
+    select row_number() over (order by sha256('2:' || coalesce(cast(vec_id as varchar), '')), v) - 1 as g, v from e
+    qualify row_number() over (order by sha256('2:' || coalesce(cast(vec_id as varchar), '')), v) <= 40''', 5, 'vec_id', '')}
+select a.vec_id, cast(a.g as integer) as cluster, cast(a.d as bigint) as distance,
+       cast(sum(a.d) over (partition by a.g) as bigint) as cluster_inertia, cast(sum(a.d) over () as bigint) as inertia,
+       sha256(array_to_string(c.v, ',')) as centroid_sha256
+from a5 a join c5 c using (g)""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from labelloom.llm.clusters import clusters
+
+    return clusters(table(spark, sf_dir, "embeddings"))
+
+
+# The rules of the query, by host and path.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+@query("op12_url_filters", """
+with u as (select page_id, case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end as rest from pages),
+h as (select page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                'abcdefghijklmnopqrstuvwxyz') as host,
+             regexp_extract(substr(rest, length(regexp_extract(rest, '^([^/?#]*)', 1)) + 1), '^([^?#]*)', 1) as path from u),
+r(rule_host, rule_path, action) as (
+    values ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow'))
+select page_id, host, path, arg_max(rule_host || rule_path, length(rule_host || rule_path)) as rule,
+       coalesce(arg_max(action, length(rule_host || rule_path)), 'allow') as verdict
+from h left join r on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)
+group by page_id, host, path""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from labelloom.llm.urls import judge_urls
+
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
+    return judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
+@query("op13_vector_codes", f"""
+with recursive e as materialized (
+    select vec_id, label, {_STEPS.format(scale=4096)} from embeddings where {_COMPLETE}),
+q(part) as (select * from range(8)),
+x as materialized (select vec_id, label, part, list_slice(v, part * len(v) // 8 + 1, (part + 1) * len(v) // 8) as v from e, q),
+f as (select vec_id, v, row_number() over (order by vec_id, v) - 1 as g from e qualify row_number() over (order by vec_id, v) <= 16),
+{_rounds_sql('x', 'select x.part, f.g, x.v from f join x using (vec_id)', 6, 'vec_id, x.part, x.label', 'part')},
+t as (select vec_id, label, string_agg(format('{{:02x}}', g), '' order by part) as code, cast(sum(d) as bigint) as error
+      from a6 group by vec_id, label)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error,
+       (select sha256(string_agg(array_to_string(v, ','), ',' order by part, g)) from c6) as codebooks_sha256
+from t""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from labelloom.llm.codes import codes
+
+    return codes(table(spark, sf_dir, "embeddings"))

@@ -25,6 +25,14 @@ def land(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unland(landed: DataFrame) -> None:
+    """Remove the files of a landed table that nothing reads any more."""
+    spark = landed.sparkSession
+    for folder in {path.rsplit("/", 1)[0] for path in landed.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def with_row_id(landed: DataFrame) -> DataFrame:
     """A landed table with `row_file, row_index`: an identity of its rows that no retry changes."""
     return landed.select(
