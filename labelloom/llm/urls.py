@@ -25,7 +25,8 @@ from labelloom.llm.store import LOWER, land
 # Rules of one cascade, so that its bits stay below some 2 MB. More rules are dealt to several cascades by hash.
 KEYS = 250_000
 LEVELS = 64
-_RATE = 0.5
+# False positives of all levels but the first; smaller is fewer levels with more bits.
+_RATE = 1 / 8
 
 
 class Level:
@@ -44,10 +45,10 @@ class Level:
     def build(self, keys: DataFrame) -> None:
         """Set the bits of all `key` values. Bytes are put together from tasks' own; the row is at most a few MB."""
         place = keys.select(F.explode(F.array(*self.places(F.col("key")))).alias("place"))
-        held = (place.groupBy(F.floor(F.col("place") / 8).alias("at"))
-                .agg(F.bit_or(F.call_function("shiftleft", F.lit(1), F.pmod("place", F.lit(8)).cast("int"))).alias("byte")))
-        every = keys.sparkSession.range(self.size // 8).withColumnRenamed("id", "at").select("at", F.lit(0).alias("byte"))
-        row = every.unionByName(held).groupBy("at").agg(F.max("byte").alias("byte"))
+        one = F.call_function("shiftleft", F.lit(1), F.pmod("place", F.lit(8)).cast("int"))
+        held = place.select(F.floor(F.col("place") / 8).alias("at"), one.alias("byte"))
+        every = keys.sparkSession.range(self.size // 8).select(F.col("id").alias("at"), F.lit(0).alias("byte"))
+        row = every.unionByName(held).groupBy("at").agg(F.bit_or("byte").alias("byte"))
         pairs = F.array_sort(F.collect_list(F.struct("at", F.lpad(F.hex("byte"), 2, "0").alias("hex"))))
         self.bits = bytes(row.agg(F.unhex(F.concat_ws("", F.transform(pairs, lambda p: p["hex"]))).alias("bits")).first()["bits"])
 
