@@ -3,12 +3,15 @@
 A naive Bayes classifier, learned from the labelled table, gives every document posteriors over three
 domains: `clean` (quality 1, not toxic), `toxic`, `junk` (quality 0). Nonnegative rates r are then
 fitted so that the expected tokens of each domain, the sum over documents of r * tokens * posterior,
-meet the targets: least squares, each domain's residual weighted by the inverse of its natural total.
-
-Of the rates that fit, those nearest to 1 (squares weighted by tokens) are wanted. They are
-max(0, 1 - posteriors * slope) with one number per domain in `slope`, the multipliers of the domains'
-residuals, which Newton's method finds on the convex dual. An iteration is one pass over a narrow table
-and a few sums. Nothing but these few numbers passes the driver.
+meet the targets: least squares, each domain's residual weighted by the inverse of its natural total,
+by distributed projected gradient from r = 1.
+
+With gradients taken per token, a document's is posteriors * residuals / natural totals, so a step is one number per
+domain: every row moves its own rate by it and puts it back to 0 where it would be negative. A pass tries
+several steps along the gradient at once and takes the one with the least error: of length 1, which never
+raises it, of the length that the gradient's change over the last step says (Barzilai and Borwein), and
+scaled by the domains' overlap in documents with rates above 0. A pass is a few sums over a narrow table;
+nothing else passes the driver.
 """
 
 from __future__ import annotations
@@ -20,21 +23,29 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelloom.llm.store import SPACES, land, text_of
+from labelloom.llm.store import SPACES, land, text_of, unland
 
 DOMAINS = ("clean", "toxic", "junk")
 TARGETS = {"clean": 0.95, "toxic": 0.05, "junk": 0.0}
 # Word buckets of the classifier, and the labelled documents it learns from (smallest hash of the id).
-BUCKETS = 1 << 12
+BUCKETS = 1 << 15
 TRAIN_ROWS = 10_000
+# Added to every count of a bucket; small, so that a domain of few tokens is not drowned by unseen buckets.
+SOFTEN = 0.1
+# A word bucket counts for a domain if its log-odds are so many standard errors away from 0.
+CERTAIN = 4.0
 # Shares of distinct words are cut into so many equal bins, a second feature.
 BINS = 12
 # Rates have no upper bound.
 MAX_RATE = math.inf
 # Targets count as met when no domain misses its total by more than this share of all tokens.
 TOLERANCE = 1e-4
-# Weight of the distance to rate 1 against the residuals; it falls from the first to the second until the targets are met.
-DISTANCE = (1e-1, 1e-8)
+# The fit also ends where no document's gradient, a posterior times a domain's miss in shares of the domain, is larger.
+GRADIENT = 5e-4
+# Steps of the fit that a pass works out anew; beyond it rates are written first.
+FOLD = 20
+# Copies in one piece of a row: a rate far above it is dealt out in pieces of this size.
+PIECE = 1_000
 
 
 def words(text: str) -> Column:
@@ -52,10 +63,35 @@ def variety() -> Column:
     return F.least(F.floor(share * BINS), F.lit(BINS - 1)).cast("int")
 
 
-def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> dict[str, list]:
-    """Log-odds of the domains against `clean` per word bucket and per bin, and their priors.
+def _log_odds(counts: DataFrame, size: int, certain: float = 0.0) -> DataFrame:
+    """One row: `odds`, for each key below `size` the log-odds of every domain but the first against it, and `seen`.
+
+    `counts` has `domain, key, n`, softened by SOFTEN. Odds that are not `certain` times their standard error away from 0
+    are 0. After the odds of a key stand as many marks: 1 where they are not 0.
+    """
+    own = [F.sum(F.when(F.col("domain") == d, F.col("n")).otherwise(0)).alias(f"c{d}") for d in range(len(DOMAINS))]
+    every = counts.sparkSession.range(size).select(F.lit(0).alias("domain"), F.col("id").alias("key"), F.lit(0).cast("long").alias("n"))
+    per_key = every.unionByName(counts.select("domain", F.col("key").cast("long").alias("key"), "n")).groupBy("key").agg(*own)
+    c = [F.col(f"c{d}") for d in range(len(DOMAINS))]
+    row = per_key.agg(F.array_sort(F.collect_list(F.struct("key", *c))).alias("rows"), F.array(*map(F.sum, c)).alias("seen"))
+
+    def share(r, d):
+        return F.log((r[f"c{d}"] + F.lit(SOFTEN)) / (F.element_at("seen", d + 1) + F.lit(SOFTEN * size)))
+
+    def entry(r, d):
+        odds = share(r, d) - share(r, 0)
+        error = F.sqrt(1 / (r[f"c{d}"] + F.lit(SOFTEN)) + 1 / (r["c0"] + F.lit(SOFTEN)))
+        return F.when(F.abs(odds) >= certain * error, odds).otherwise(0.0)
+
+    odds = F.transform("rows", lambda r: F.array(*(entry(r, d) for d in range(1, len(DOMAINS)))))
+    marked = F.transform(odds, lambda e: F.concat(e, F.transform(e, lambda x: F.when(x != 0, 1.0).otherwise(0.0))))
+    return row.select(marked.alias("odds"), "seen")
 
-    Fixed in size: (BUCKETS + BINS + 1) numbers per domain. A document labelled more than once counts
+
+def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> dict[str, DataFrame]:
+    """Log-odds of the domains against `clean`: per word bucket, per bin, and of the domains; each a landed table of one row.
+
+    Fixed in size: BUCKETS + BINS + 1 entries of two numbers. A document labelled more than once counts
     as toxic if any label says so, else as junk if any does; other labels than 0 and 1 are ignored.
     """
     given = (labels.filter("quality in (0, 1) or toxic in (0, 1)").groupBy(F.col("doc_id").cast("long").alias("_id"))
@@ -66,117 +102,136 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> dict[st
     # Joined before the words are split, so only the chosen texts are.
     own = docs.select(F.col("doc_id").cast("long").alias("_id"), "text").join(F.broadcast(chosen), "_id")
     own = own.select("domain", words("text").alias("words")).select("domain", "words", variety().alias("bin"))
-    tokens = own.select("domain", F.explode_outer("words").alias("w")).filter("w is not null").groupBy("domain", bucket(F.col("w")).alias("key")).count()
-    bins = own.groupBy("domain", F.col("bin").alias("key")).count()
-    counts = tokens.withColumn("kind", F.lit("word")).unionByName(bins.withColumn("kind", F.lit("bin")))
-    table = {(r.kind, r.domain, r.key): r.count_ for r in counts.withColumnRenamed("count", "count_").toPandas().itertuples()}
-    seen = {(kind, d): sum(n for (k, e, _), n in table.items() if k == kind and e == d)
-            for kind in ("word", "bin") for d in range(len(DOMAINS))}
-
-    def odds(kind, size, soften):
-        return [[math.log((table.get((kind, d, key), 0) + soften) / (seen[kind, d] + soften * size))
-                 - math.log((table.get((kind, 0, key), 0) + soften) / (seen[kind, 0] + soften * size))
-                 for key in range(size)] for d in range(len(DOMAINS))]
-
-    documents = sum(seen["bin", d] for d in range(len(DOMAINS)))
-    prior = [math.log((seen["bin", d] + 1) / (documents + len(DOMAINS))) for d in range(len(DOMAINS))]
-    return {"word": odds("word", BUCKETS, 1.0), "bin": odds("bin", BINS, 1.0), "prior": prior}
-
+    tokens = own.select("domain", F.explode_outer("words").alias("w")).filter("w is not null").groupBy("domain", bucket(F.col("w")).alias("key"))
+    bins = land(_log_odds(own.groupBy("domain", F.col("bin").alias("key")).agg(F.count("*").alias("n")), BINS), "bins")
+    seen = [F.element_at("seen", d + 1) + F.lit(1.0) for d in range(len(DOMAINS))]
+    return {"words": land(_log_odds(tokens.agg(F.count("*").alias("n")), BUCKETS, CERTAIN).select("odds"), "words"), "bins": bins.select("odds"),
+            "prior": land(bins.select(F.array(*(F.log(seen[d] / seen[0]) for d in range(1, len(DOMAINS)))).alias("odds")), "prior")}
 
-def numbers(values: list[float]) -> Column:
-    """A constant array, written as one text that the optimizer folds, instead of a literal per entry."""
-    return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
 
-
-def posteriors(docs: DataFrame, model: dict[str, list], keep: list[str]) -> DataFrame:
+def posteriors(docs: DataFrame, model: dict[str, DataFrame], keep: list[str]) -> DataFrame:
     """`keep` columns, `tokens`, and `p`: the posteriors of DOMAINS. No shuffle, one row per document.
 
-    Words are damped to as many as an average text's square root says, since they are not independent:
-    the sum of log-odds is divided by the root of the number of words.
+    Only words that tell a domain from `clean` with certainty count, so that a few of them are heard in a long text. They are damped,
+    since they are not independent: the sum of a domain's log-odds is divided by the root of the number of its words.
+    The model comes as values of subqueries, each used once, so no row carries it and no plan spells it out.
     """
-    n = F.greatest(F.size("words"), F.lit(1))
-    found = docs.select(*keep, words("text").alias("words"))
-    keyed = found.select(*keep, F.size("words").cast("long").alias("tokens"), variety().alias("bin"), n.alias("n"),
-                         F.transform("words", bucket).alias("keys"))
-    scores = [F.lit(model["prior"][0])]
-
-    def total_of(weights):
-        return F.aggregate("keys", F.lit(0.0), lambda acc, k: acc + F.element_at(weights, k + 1))
-
-    for d in range(1, len(DOMAINS)):
-        total = total_of(numbers(model["word"][d]))
-        scores.append(F.lit(model["prior"][d]) + total / F.sqrt("n") + F.element_at(numbers(model["bin"][d]), F.col("bin") + 1))
-    scored = keyed.select(*keep, "tokens", F.array(*scores).alias("s"))
+    kept = [F.col(f"`{c}`") for c in keep]
+    others = len(DOMAINS) - 1
+    found = docs.select(*kept, words("text").alias("words"))
+    keyed = found.select(*kept, F.size("words").cast("long").alias("tokens"), variety().alias("bin"),
+                         F.transform("words", bucket).alias("keys"), model["words"].scalar().alias("words_odds"))
+    add = lambda a, b: F.zip_with(a, b, lambda x, y: x + y)
+    total = F.aggregate("keys", F.array(*[F.lit(0.0)] * 2 * others), lambda acc, k: add(acc, F.element_at("words_odds", k + 1)))
+    damped = F.zip_with(F.slice("sums", 1, others), F.slice("sums", others + 1, others), lambda x, n: x / F.sqrt(F.greatest(n, F.lit(1.0))))
+    summed = keyed.select(*kept, "tokens", "bin", total.alias("sums")).select(
+        *kept, "tokens", "bin", damped.alias("by_words"), model["bins"].scalar().alias("bins_odds"), model["prior"].scalar().alias("prior_odds"))
+    scored = summed.select(*kept, "tokens", F.concat(F.array(F.lit(0.0)), add(
+        add(F.col("by_words"), F.slice(F.element_at("bins_odds", F.col("bin") + 1), 1, others)), F.col("prior_odds"))).alias("s"))
     top = F.array_max("s")
-    return (scored.select(*keep, "tokens", F.transform("s", lambda x: F.exp(x - top)).alias("e"))
-            .select(*keep, "tokens", F.transform("e", lambda x: x / F.aggregate("e", F.lit(0.0), lambda a, b: a + b)).alias("p")))
+    return (scored.select(*kept, "tokens", F.transform("s", lambda x: F.exp(x - top)).alias("e"))
+            .select(*kept, "tokens", F.transform("e", lambda x: x / F.aggregate("e", F.lit(0.0), lambda a, b: a + b)).alias("p")))
+
+
+def slope_of(step: Column) -> Column:
+    """A document's share in a step: its posteriors times the step's number for each domain."""
+    return F.aggregate(F.zip_with("p", step, lambda p, e: p * e), F.lit(0.0), lambda a, b: a + b)
 
 
-def rate_after(residuals: list[list[float]]) -> Column:
+def rate_after(steps: list[list[float]], start: Column | None = None) -> Column:
     """Rate of a document after steps against the slopes of the domains, from 1, kept nonnegative after each."""
-    if not residuals:
-        return F.lit(1.0)
-    steps = F.array(*(F.array(*(F.lit(float(x)) for x in step)) for step in residuals))
+    rate = F.lit(1.0) if start is None else start
+    if not steps:
+        return rate
+    every = F.array(*(F.array(*(F.lit(float(x)) for x in step)) for step in steps))
+    return F.aggregate(every, rate, lambda r, step: F.greatest(F.lit(0.0), r - slope_of(step)))
 
-    def move(rate, step):
-        slope = F.aggregate(F.zip_with("p", step, lambda p, e: p * e), F.lit(0.0), lambda a, b: a + b)
-        return F.greatest(F.lit(0.0), rate - slope)
 
-    return F.aggregate(steps, F.lit(1.0), move)
+def _moved(rate: Column, step: list[float]) -> Column:
+    """The rate after one step, of a row with posteriors p0, p1, ..."""
+    slope = F.lit(0.0)
+    for d, e in enumerate(step):
+        slope = slope + F.col(f"p{d}") * F.lit(float(e))
+    return F.greatest(F.lit(0.0), rate - slope)
 
 
-def sums_at(rated: DataFrame, slope: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-    """Expected tokens of each domain at the rates of a slope, their derivatives, and tokens times squared rates."""
-    rate = rate_after([[float(x) for x in slope]])
-    part = [F.element_at("p", d + 1) for d in range(len(DOMAINS))]
+def sums_at(rows: DataFrame, since: list[list[float]], tried: list[list[float]], slope: list[float]):
+    """The largest gradient at the rates after the steps in `since`, and what each tried step makes of them.
+
+    That is the expected tokens of each domain, tokens times squared moves, and how the domains overlap: tokens times products of
+    posteriors of rows with rates above 0. A gradient counts where the rate can follow it: both ways above 0, upwards only at 0.
+    """
     n = range(len(DOMAINS))
-    row = rated.select("p", F.col("tokens").cast("double").alias("t"), rate.alias("r")).agg(
-        *(F.sum(F.col("r") * F.col("t") * part[d]) for d in n),
-        *(F.sum(F.when(F.col("r") > 0, F.col("t") * part[d] * part[e]).otherwise(0.0)) for d in n for e in n),
-        F.sum(F.col("t") * F.col("r") * F.col("r"))).first()
-    values = np.array([x or 0.0 for x in row])
-    return values[:len(n)], values[len(n):-1].reshape(len(n), len(n)), float(values[-1])
+    rate = F.col("rate")
+    for step in since:
+        rate = _moved(rate, step)
+    both = rows.select(*(f"p{d}" for d in n), "t", rate.alias("r"))
+    both = both.select("*", *(_moved(F.col("r"), step).alias(f"n{k}") for k, step in enumerate(tried)))
+    gradient = sum(((F.col(f"p{d}") * F.lit(float(slope[d]))) for d in n), F.lit(0.0))
+    free = F.when(F.col("r") > 0, F.abs(gradient)).otherwise(F.greatest(F.lit(0.0), -gradient))
+    sums = [F.max(F.when(F.col("t") > 0, free))]
+    for k in range(len(tried)):
+        to, open_ = F.col(f"n{k}"), F.when(F.col(f"n{k}") > 0, F.col("t")).otherwise(0.0)
+        sums += [F.sum(to * F.col("t") * F.col(f"p{d}")) for d in n] + [F.sum(F.col("t") * (to - F.col("r")) ** 2)]
+        sums += [F.sum(open_ * F.col(f"p{d}") * F.col(f"p{e}")) for d in n for e in n if e >= d]
+    values = [x or 0.0 for x in both.agg(*sums).first()]
+    per, found = (len(values) - 1) // len(tried), []
+    for k in range(len(tried)):
+        own = np.array(values[1 + k * per:1 + (k + 1) * per])
+        overlap = np.zeros((len(DOMAINS), len(DOMAINS)))
+        overlap[np.triu_indices(len(DOMAINS))] = own[len(DOMAINS) + 1:]
+        found.append((own[:len(DOMAINS)], float(own[len(DOMAINS)]), overlap + np.triu(overlap, 1).T))
+    return values[0], found
 
 
 def fit(rated: DataFrame, targets: dict[str, float]) -> tuple[list[list[float]], dict[str, float]]:
     """Steps that bring the expected totals to the targets' shares of all tokens, and what each domain misses.
 
-    The second is what a domain has above (or below, if negative) its target, as a share of all tokens. Where
-    it exceeds TOLERANCE, the least-squares gradient vanishes and no rates come nearer.
+    The second is what a domain has above (or below, if negative) its target, as a share of all tokens. The fit ends where
+    none exceeds TOLERANCE, or where the projected gradient is at most GRADIENT everywhere or no step lowers the error: then
+    no nonnegative rates come nearer, or so little that no document says anything about the rest.
     """
-    none = np.zeros(len(DOMAINS))
-    natural, curve, size = sums_at(rated, none)
+    rows = rated.select(F.col("tokens").cast("double").alias("t"), F.lit(1.0).alias("rate"),
+                        *(F.element_at("p", d + 1).alias(f"p{d}") for d in range(len(DOMAINS))))
+    none = [0.0] * len(DOMAINS)
+    _, [(natural, _, overlap)] = sums_at(rows, [], [none], none)
     whole = float(natural.sum())
     if not whole:
         return [], dict.fromkeys(DOMAINS, 0.0)
     goal = whole * np.array([targets[d] for d in DOMAINS]) / sum(targets[d] for d in DOMAINS)
     weight = np.maximum(natural, whole * 1e-6)
-    slope, total, distance = none, natural, DISTANCE[0]
-
-    def met():
-        return np.abs(total - goal).max() <= TOLERANCE * whole
-
-    while not met():
-        down = goal - total + distance * weight * slope
-        height = size / 2 + goal @ slope + distance * (weight * slope) @ slope / 2
-        move = -np.linalg.solve(curve + distance * np.diag(weight), down)
-        length = 1.0
-        # Below the precision of the sums nothing falls any more.
-        while -length * (down @ move) > 1e-12 * (size + abs(height)):
-            to = slope + length * move
-            found = sums_at(rated, to)
-            if found[2] / 2 + goal @ to + distance * (weight * to) @ to / 2 <= height + 1e-4 * length * (down @ move):
-                slope, (total, curve, size) = to, found
-                break
-            length /= 2
-        else:
-            if distance <= DISTANCE[1]:
-                break
-            distance /= 10
+
+    def error(total):
+        return float(((total - goal) ** 2 / weight).sum()) / 2
+
+    steps: list[list[float]] = []
+    total, length, folded, written = natural, 1.0, 0, False
+    while np.abs(total - goal).max() > TOLERANCE * whole:
+        slope = (total - goal) / weight
+        scaled = np.linalg.lstsq(overlap + np.diag(weight) * 1e-9, total - goal, rcond=None)[0]
+        tried = [(factor * step).tolist() for step, factor in ((slope, 1.0), (slope, length), (scaled, 1.0), (scaled, 0.3))]
+        steepest, found = sums_at(rows, steps[folded:], tried, slope.tolist())
+        best = min(range(len(tried)), key=lambda k: error(found[k][0]))
+        if steepest <= GRADIENT or error(found[best][0]) >= error(total) * (1 - 1e-9):
+            break
+        steps.append(tried[best])
+        curve = float(((found[best][0] - total) ** 2 / weight).sum())
+        length = min(1e6, max(1.0, found[best][1] / curve)) if curve else 1.0
+        total, _, overlap = found[best]
+        if len(steps) - folded == FOLD:
+            rate = F.col("rate")
+            for step in steps[folded:]:
+                rate = _moved(rate, step)
+            moved = land(rows.withColumn("rate", rate), "rates")
+            if written:
+                unland(rows)
+            rows, folded, written = moved, len(steps), True
+    if written:
+        unland(rows)
     missed = dict(zip(DOMAINS, ((total - goal) / whole).tolist(), strict=True))
-    if not met():
-        warnings.warn(f"no nonnegative rates meet the targets; missed, as shares of all tokens: {missed}", stacklevel=2)
-    return [slope.tolist()] if slope.any() else [], missed
+    if max(map(abs, missed.values())) > TOLERANCE:
+        warnings.warn(f"the rates stop short of the targets; missed, as shares of all tokens: {missed}", stacklevel=2)
+    return steps, missed
 
 
 def fit_rates(rated: DataFrame, targets: dict[str, float]) -> list[list[float]]:
@@ -184,12 +239,18 @@ def fit_rates(rated: DataFrame, targets: dict[str, float]) -> list[list[float]]:
     return fit(rated, targets)[0]
 
 
+def copies_of(rate: Column, draw: Column) -> Column:
+    """A rate as a whole number, up with the chance of its fraction."""
+    return F.floor(rate + draw)
+
+
 def mixture(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
     """(doc_id, tokens, p_clean, p_toxic, p_junk, rate, copies) for every row of `docs` (doc_id, text).
 
     `copies` rounds the rate to a whole number, up with the chance of its fraction, decided by a hash
     of the id and the text, so it does not change between runs. Null and empty texts have no tokens
-    and still a rate from their prior. Repeated rows each come back; other columns are ignored.
+    and still a rate from their prior. A domain of a few tokens can have rates in the thousands and beyond; copies
+    are longs. Repeated rows each come back; other columns are ignored.
     """
     model = learn(docs, labels)
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -198,11 +259,14 @@ def mixture(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None
     steps = fit_rates(rated, targets or TARGETS)
     out = rated.withColumn("rate", rate_after(steps))
     return out.select("doc_id", "tokens", *(F.element_at("p", d + 1).alias(f"p_{name}") for d, name in enumerate(DOMAINS)),
-                      "rate", F.floor(F.col("rate") + F.col("draw")).cast("int").alias("copies"))
+                      "rate", copies_of(F.col("rate"), F.col("draw")).alias("copies"))
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
-    """Documents repeated `copies` times each; all columns stay. The rows are never moved."""
+    """Documents repeated `copies` times each; all columns stay. Rows are not moved, but for those with many copies.
+
+    More than PIECE copies of a row are dealt over all tasks in pieces of PIECE, so no task writes them alone.
+    """
     model = learn(docs, labels)
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     steps = fit_rates(land(posteriors(narrow, model, []), "posteriors"), targets or TARGETS)
@@ -210,8 +274,13 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
                          F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
     draw = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 20)) / (1 << 20)
     packed = packed.select("row", "text", draw.alias("draw"))
-    copies = F.floor(rate_after(steps) + F.col("draw")).cast("int")
-    return (posteriors(packed, model, ["row", "draw"])
-            # Outer: an inner generator adds a filter that would work the posteriors out once more.
-            .select("row", F.explode_outer(F.array_repeat(F.lit(0), copies)).alias("copy"))
-            .filter("copy is not null").select("row.*"))
+    counted = posteriors(packed, model, ["row", "draw"]).select("row", copies_of(rate_after(steps), F.col("draw")).alias("copies"))
+    # One generator for both: the numbers of the few copies, or the sizes of pieces as negative numbers.
+    pieces = F.sequence(F.lit(1).cast("long"), F.ceil(F.col("copies") / PIECE))
+    parts = F.when(F.col("copies") <= PIECE, F.array_repeat(F.lit(1).cast("long"), F.col("copies").cast("int"))).otherwise(
+        F.transform(pieces, lambda i: -F.least(F.lit(PIECE).cast("long"), F.col("copies") - (i - 1) * PIECE)))
+    # Outer: an inner generator adds a filter that would work the posteriors out once more.
+    dealt = land(counted.select("row", F.explode_outer(parts).alias("part")).filter("part is not null"), "mixed")
+    many = dealt.filter("part < 0").repartition(F.xxhash64(F.monotonically_increasing_id()))
+    many = many.select("row", F.explode(F.array_repeat(F.lit(1), (-F.col("part")).cast("int"))).alias("one"))
+    return dealt.filter("part > 0").select("row.*").unionByName(many.select("row.*"))

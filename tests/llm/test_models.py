@@ -185,3 +185,57 @@ def test_word_hashes_are_the_words():
         hashes, before = tokens.word_hashes(raw, starts, powers)
         assert before.tolist() == [0, 4, 4, 4, 7, 10]
         assert len(set(hashes[:4].tolist())) == 1 and hashes[4] == hashes[6] and hashes[8] != hashes[9]
+
+
+def test_fit_is_the_same_iteration_in_numpy(spark):
+    """Every accepted step lowers the least-squares error of plain numpy rates, and the fit's own sums are theirs."""
+    rng = np.random.default_rng(9)
+    p = rng.dirichlet([2, 0.3, 0.6], 400)
+    tokens_ = rng.integers(1, 400, 400)
+    rated = spark.createDataFrame([(int(t), q.tolist()) for t, q in zip(tokens_, p, strict=True)], "tokens long, p array<double>")
+    steps, missed = mixture.fit(rated, {"clean": 0.7, "toxic": 0.25, "junk": 0.05})
+    goal, natural = tokens_.sum() * np.array([0.7, 0.25, 0.05]), tokens_ @ p
+    rate, errors = np.ones(400), []
+    for step in [np.zeros(3), *map(np.array, steps)]:
+        rate = np.maximum(0, rate - p @ step)
+        errors.append((((rate * tokens_) @ p - goal) ** 2 / natural).sum())
+    assert all(b < a for a, b in zip(errors, errors[1:], strict=False))
+    assert np.allclose(((rate * tokens_) @ p - goal) / tokens_.sum(), list(missed.values()), atol=1e-9)
+    assert max(map(abs, missed.values())) <= mixture.TOLERANCE
+
+
+def test_posteriors_are_calibrated(given):
+    """On labelled documents the classifier did not learn from, the mean posterior of a domain is near its share."""
+    docs, labels = given
+    learnt, held = labels.filter("crc32(string(doc_id)) % 3 > 0"), labels.filter("crc32(string(doc_id)) % 3 = 0")
+    model = mixture.learn(docs, learnt)
+    rows = mixture.posteriors(docs.select("doc_id", "text"), model, ["doc_id"]).join(held, "doc_id").toPandas()
+    p = np.array(rows["p"].tolist())
+    true = np.where(rows["toxic"] == 1, 1, np.where(rows["quality"] == 0, 2, 0))
+    assert len(rows) > 80 and np.allclose(p.sum(1), 1)
+    assert np.abs(p.mean(0) - np.bincount(true, minlength=3) / len(true)).max() < 0.05
+    assert (p.argmax(1) == true).mean() > 0.9
+
+
+def test_halves_of_a_corpus_get_like_rates(given):
+    docs, labels = given
+    zero, top = [], []
+    for half in (0, 1):
+        rows = mixture.mixture(docs.filter(f"crc32(string(doc_id)) % 2 = {half}"), labels).toPandas()
+        zero.append((rows["rate"] == 0).mean())
+        top.append(rows["rate"].quantile(0.95))
+    assert abs(zero[0] - zero[1]) < 0.05 and abs(top[0] - top[1]) < 0.3
+
+
+def test_very_many_copies(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "plain words of a clean text", i) for i in range(3)] + [(9, "foul", 0)],
+                                 "doc_id long, text string, copies long").withColumn("a.b", mixture.F.lit(1))
+    labels = spark.createDataFrame([(0, 1, 0), (1, 1, 0), (9, 1, 1)], "doc_id long, quality int, toxic int")
+    monkeypatch.setattr(mixture, "PIECE", 7)
+    monkeypatch.setattr(mixture, "fit_rates", lambda rated, targets: [[-2_000.0, 0.0, 0.0]])
+    counts = {(r["doc_id"], r["copies"]): r["copies_"] for r in
+              mixture.mixture(docs, labels).withColumnRenamed("copies", "copies_").join(docs.select("doc_id", "copies"), "doc_id").collect()}
+    mixed = mixture.mix(docs, labels)
+    assert mixed.columns == docs.columns
+    got = Counter((r["doc_id"], r["copies"]) for r in mixed.collect())
+    assert got == Counter({k: n for k, n in counts.items() if n}) and max(got.values()) > 1_000

@@ -108,7 +108,7 @@ def test_clusters_of_nothing(spark):
 
 
 def test_shallot_search_skips():
-    """Nearly all vectors are searched at first, few once the groups are found, and none gets another centroid."""
+    """All but the first core are searched at first, few once the groups are found, and none gets another centroid."""
     x = np.array([whole(v, 256) for v in near_groups(3000, 16, 30, 3)], dtype=np.int64)
     centres, before = x[:30].copy(), None
     first, second = np.zeros(len(x), np.int64), np.ones(len(x), np.int64)
@@ -124,7 +124,7 @@ def test_shallot_search_skips():
         assert (lower <= np.sqrt(gaps.min(axis=1)) * (1 + 1e-9)).all()
         centres, before = np.stack([x[first == g].sum(axis=0) // max(1, (first == g).sum()) if (first == g).any() else centres[g]
                                     for g in range(30)]), centres
-    assert searched[0] > 0.99 * len(x) and searched[-1] < len(x) / 10
+    assert searched[0] > 0.9 * len(x) and searched[-1] < len(x) / 10
 
 
 def test_codes(spark, rows_64):
