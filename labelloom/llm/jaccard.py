@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from labelloom.llm import tokens
 from labelloom.llm.graph import components
-from labelloom.llm.store import ROW, land, light, numbered, width
+from labelloom.llm.store import ROW, free_name, land, light, numbered, width
 
 # Links: 100 * shared >= PERCENT * union.
 PERCENT = 75
@@ -392,17 +392,18 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """Documents with one row of each class kept, the one with the smallest id; all columns stay.
 
     Each row goes by its own text: rows that repeat an id with different texts are different documents.
-    Rows without words link with nothing and stay. Rows without an id are compared like all others, but
-    lose only to each other: of those in a class one stays, besides the smallest id.
+    Rows without words link with nothing and stay. A row without an id stays only where its class has no row with one,
+    and then one such row does.
     """
-    rows = numbered(docs)
-    classes = jaccard_classes(rows, ROW, text_col).select(F.col("doc_id").alias(ROW), "component_id")
-    ids = rows.select(ROW, F.col(id_col).cast("long").alias("id"))
-    classes = land(classes.join(ids, ROW), "classes")
-    first = (classes.groupBy("component_id", F.col("id").isNull()).agg(F.min(F.struct("id", ROW)).alias("first"))
-             .select(F.col(f"first.{ROW}").alias(ROW)))
-    lost = light(land(classes.join(first, ROW, "left_anti").select(ROW), "lost"))
-    return rows.join(lost, ROW, "left_anti").select(*(f"`{c}`" for c in docs.columns))
+    row = free_name(docs, ROW)
+    rows = numbered(docs, row)
+    classes = jaccard_classes(rows, row, text_col).select(F.col("doc_id").alias(row), "component_id")
+    ids = rows.select(row, F.col(f"`{id_col}`").cast("long").alias("_id"))
+    classes = land(classes.join(ids, row), "classes")
+    first = (classes.groupBy("component_id").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", row)).alias("first"))
+             .select(F.col(f"first.{row}").alias(row)))
+    lost = light(land(classes.join(first, row, "left_anti").select(row), "lost"))
+    return rows.join(lost, row, "left_anti").select(*(f"`{c}`" for c in docs.columns))
 
 
 def class_sizes(classes: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelloom.llm.store import ROW, SPACES, land, light, numbered
+from labelloom.llm.store import ROW, SPACES, free_name, land, light, numbered
 
 SHARE = 0.75
 SHINGLE = 5
@@ -126,6 +126,7 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
 
 def drop_leaking(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Documents in which no item was found; all columns stay. Each row goes by its own text, whatever its id."""
-    rows = numbered(docs)
-    found = light(land(leaks(rows, items, ROW, text_col).select(F.col("doc_id").alias("_leak")).distinct(), "leaks"))
-    return rows.join(found, F.col(ROW) == F.col("_leak"), "left_anti").drop(ROW)
+    row = free_name(docs, ROW)
+    rows = numbered(docs, row)
+    found = light(land(leaks(rows, items, row, text_col).select(F.col("doc_id").alias(row)).distinct(), "leaks"))
+    return rows.join(found, row, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -39,9 +39,17 @@ def with_row_id(landed: DataFrame) -> DataFrame:
         "*", F.col("_metadata.file_name").alias("row_file"), F.col("_metadata.row_index").alias("row_index"))
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """All columns, landed, and ROW: a number of each row, which is read and never made again."""
-    return land(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, with as many underscores before it as make it none of the columns', whatever their case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def numbered(docs: DataFrame, row: str = ROW) -> DataFrame:
+    """All columns, landed, and `row`: a number of each row, which is read and never made again."""
+    return land(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
 
 
 def light(keys: DataFrame) -> DataFrame:

@@ -98,6 +98,16 @@ def span_hashes(raw: np.ndarray, begin: np.ndarray, end: np.ndarray, powers: Pow
     return mix((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64))
 
 
+def long_hash(raw: np.ndarray, powers: Powers, most: int = CHUNK_BYTES) -> np.uint64:
+    """The hash that `span_hashes` gives a word, summed block by block, for words too long for whole arrays."""
+    total = 0
+    for lo in range(0, len(raw), most):
+        part = raw[lo:lo + most]
+        own = int((_LOW[part] * powers.to(len(part))[0][:len(part)]).sum(dtype=np.uint64))
+        total += own * pow(_BASE, lo, 1 << 64)
+    return mix(np.array([(total + len(raw)) % (1 << 64)], dtype=np.uint64))[0]
+
+
 def word_ends(raw: np.ndarray, begin: np.ndarray, end: np.ndarray, kinds: int) -> np.ndarray:
     """A number below `kinds` for each word, by its last two bytes."""
     last = _LOW[raw[end - 1]]

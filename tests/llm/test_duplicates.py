@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from labelloom.llm import exact, jaccard, leaks, lines, shards
+from labelloom.llm import exact, jaccard, leaks, lines, quality, shards
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, node string, shard int"
@@ -112,7 +112,26 @@ def test_drop_near_duplicates(spark, rows):
     named = [(i, t) for i, t in rows if i is not None]
     want = {i for i, _, c in brute_classes(named) if i == c}
     got = Counter(r["doc_id"] for r in kept.collect())
-    assert set(got) - {None} == want and got[None] == 2 and all(n == 1 for i, n in got.items() if i is not None)
+    assert set(got) - {None} == want and got[None] == 1 and all(n == 1 for i, n in got.items() if i is not None)
+
+
+def clashing(spark, rows):
+    """Columns with the names that the stages use themselves, and one with a dot."""
+    return spark.createDataFrame([(i, t, k, k + 1, k + 2, k + 3) for k, (i, t) in enumerate(rows)],
+                                 "doc_id long, text string, _row int, `a.b` int, _score int, _leak int")
+
+
+def test_stages_with_clashing_columns(spark):
+    one, two = (" ".join(f"{k}{i}" for i in range(40)) for k in "ab")
+    docs = clashing(spark, [(1, one), (2, one), (3, two), (None, one), (4, "")])
+    items = spark.createDataFrame([(1, two)], "item_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").limit(0)
+    expected = {tuple(r) for r in docs.collect()}
+    for kept, ids in ((jaccard.drop_near_duplicates(docs), [1, 3, 4]), (leaks.drop_leaking(docs, items), [None, 1, 2, 4]),
+                      (quality.drop_bad(docs, labels), [None, 1, 2, 3, 4])):
+        found = kept.collect()
+        assert kept.columns == docs.columns and {tuple(r) for r in found} <= expected
+        assert sorted((r["doc_id"] for r in found), key=lambda i: i or 0) == ids
 
 
 def test_near_duplicates_go_by_row(spark):
@@ -120,7 +139,7 @@ def test_near_duplicates_go_by_row(spark):
     rows = [(1, one), (2, one + " more"), (2, two), (2, ""), (2, None), (3, three), (3, three), (None, two + " x"), (None, two), (None, "alone")]
     kept = jaccard.drop_near_duplicates(table(spark, rows))
     got = Counter((r["doc_id"], (r["text"] or "")[:2]) for r in kept.collect())
-    assert got == Counter([(1, "a0"), (2, "b0"), (2, ""), (2, ""), (3, "c0"), (None, "b0"), (None, "al")])
+    assert got == Counter([(1, "a0"), (2, "b0"), (2, ""), (2, ""), (3, "c0"), (None, "al")])
     assert jaccard.drop_near_duplicates(empty(spark)).count() == 0
 
 

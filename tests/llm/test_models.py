@@ -39,6 +39,80 @@ def test_quality_held_out(given):
     assert right >= 0.95 and len(held) > 50
 
 
+def plain_features(text):
+    """Counts of word buckets and of character buckets of one text, feature by feature."""
+    raw = text.encode()
+    low = bytes(b + 32 if 65 <= b <= 90 else b for b in raw)
+    mask = (1 << 64) - 1
+
+    def mix(h):
+        for shift, factor in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53)):
+            h = (h ^ (h >> shift)) * factor & mask
+        return h ^ (h >> 33)
+
+    hashes, words = [], re.findall(rb"[^\t\n\x0b\f\r ]+", low)
+    for k, word in enumerate(words):
+        own = mix((sum((b + 1) * pow(tokens._BASE, j, 1 << 64) for j, b in enumerate(word)) + len(word)) & mask)
+        hashes.append(int(quality._REPEAT) if k and word == words[k - 1] else own)
+    pairs = [mix((a * 3 + b) & mask) for a, b in zip(hashes, hashes[1:], strict=False)]
+    shift = 64 - quality.BITS
+    chars = Counter()
+    code = [32 if b in b"\t\n\x0b\f\r " else b for b in raw]
+    for i in range(len(code) - 2):
+        a, b, c = code[i:i + 3]
+        three = a | b << 8 | c << 16
+        if b != 32:
+            chars[(three * 0x9E3779B1 & 0xFFFFFFFF) >> (32 - quality.BITS)] += 1
+        if i + 3 < len(code) and b != 32 and c != 32:
+            four = three | code[i + 3] << 24
+            chars[((four ^ (four >> 15)) * 0x85EBCA6B & 0xFFFFFFFF) >> (32 - quality.BITS)] += 1
+    return Counter(h >> shift for h in hashes + pairs), chars
+
+
+@pytest.mark.parametrize("chunk", [7, 16, 64, 1 << 18])
+def test_quality_features_in_pieces(monkeypatch, chunk):
+    """Long texts are cut into pieces without a feature more or less, words longer than a piece included."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(quality, "CHUNK", chunk)
+    texts = ["one two two two three " * 9, "x" * 300, " a  b " + "y" * 90 + " y y", "", None, "é" * 33 + " Zz zZ", " ", "ab", "q " * 40 + "end"]
+    powers, got = tokens.Powers(), {}
+    for first, raw, starts in tokens.chunks(pa.array(texts), quality.CHUNK):
+        for kind, buckets, owner in quality._buckets(raw, starts, powers):
+            for b, o in zip(buckets.tolist(), owner.tolist(), strict=True):
+                got.setdefault((first + o, kind), Counter())[b] += 1
+    for k, text in enumerate(texts):
+        for kind, want in enumerate(plain_features(text or "")):
+            assert got.get((k, kind), Counter()) == want
+
+
+def test_quality_scores_are_the_models(spark, given):
+    """Scores are the softmax of the folded model over plain features."""
+    docs, labels = given
+    folded, bias = quality.fit(docs, labels)
+    some = spark.createDataFrame([(i, t) for i, t in enumerate(["one two two", "", None, "Words of a text. " * 20])], "doc_id long, text string")
+    for r in quality.quality_scores(some, labels.limit(0)).collect():
+        assert r["score"] == 0.5
+    scored = some.select("doc_id", "text").mapInArrow(quality.partial(quality._score, folded=folded, bias=bias), "doc_id long, score double")
+    texts = {r["doc_id"]: r["text"] or "" for r in some.collect()}
+    for r in scored.collect():
+        z = bias
+        for kind, counts in enumerate(plain_features(texts[r["doc_id"]])):
+            z += 0.5 * sum(folded[kind * (1 << quality.BITS) + b] * n for b, n in counts.items()) / max(1, sum(counts.values()))
+        assert abs(r["score"] - 1 / (1 + math.exp(-z))) < 1e-6
+
+
+def test_quality_learns_from_one_row_an_id(spark):
+    good, bad = "a fine clear text with many words in it", "zz zz zz zz zz zz"
+    docs = spark.createDataFrame([(i, good if i % 2 else bad) for i in range(60)] + [(1, bad + " longer than the other text of this id " * 3)] * 50,
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    once = quality.fit(docs.filter("doc_id <> 1 or length(text) < 60"), labels)
+    again = quality.fit(docs.repartition(5), labels)
+    assert once[1] == again[1] and (once[0] == again[0]).all()
+    assert quality.fit(docs, labels, most=10)[1] == 0.0
+
+
 def test_quality_odd_rows(spark, given):
     docs, labels = given
     odd = odd_rows(spark)
