@@ -44,6 +44,10 @@ TOLERANCE = 1e-4
 GRADIENT = 5e-4
 # Steps of the fit that a pass works out anew; beyond it rates are written first.
 FOLD = 20
+# Lengths of the scaled step that a pass tries.
+SCALED = (1.0, 0.3, 0.1, 0.03)
+# The fit stalls if the error after PATIENCE more steps is above this share of what it was.
+STALLED, PATIENCE = 0.9, 6
 # Copies in one piece of a row: a rate far above it is dealt out in pieces of this size.
 PIECE = 1_000
 
@@ -63,29 +67,33 @@ def variety() -> Column:
     return F.least(F.floor(share * BINS), F.lit(BINS - 1)).cast("int")
 
 
-def _log_odds(counts: DataFrame, size: int, certain: float = 0.0) -> DataFrame:
-    """One row: `odds`, for each key below `size` the log-odds of every domain but the first against it, and `seen`.
+def _log_odds(counts: DataFrame, size: int, certain: float = 0.0) -> tuple[DataFrame, DataFrame]:
+    """Two tables of one row: for each key below `size` the log-odds of every domain but the first against it, and what each domain has.
 
-    `counts` has `domain, key, n`, softened by SOFTEN. Odds that are not `certain` times their standard error away from 0
-    are 0. After the odds of a key stand as many marks: 1 where they are not 0.
+    `counts` has `domain, key, n`, softened by SOFTEN. Keys whose odds are not `certain` times their standard error away from 0
+    share one, that of all of them together. After the odds of a key stand as many marks: 1 for odds of its own.
     """
-    own = [F.sum(F.when(F.col("domain") == d, F.col("n")).otherwise(0)).alias(f"c{d}") for d in range(len(DOMAINS))]
+    n, others = range(len(DOMAINS)), range(1, len(DOMAINS))
+    own = [F.sum(F.when(F.col("domain") == d, F.col("n")).otherwise(0)).alias(f"c{d}") for d in n]
     every = counts.sparkSession.range(size).select(F.lit(0).alias("domain"), F.col("id").alias("key"), F.lit(0).cast("long").alias("n"))
-    per_key = every.unionByName(counts.select("domain", F.col("key").cast("long").alias("key"), "n")).groupBy("key").agg(*own)
-    c = [F.col(f"c{d}") for d in range(len(DOMAINS))]
-    row = per_key.agg(F.array_sort(F.collect_list(F.struct("key", *c))).alias("rows"), F.array(*map(F.sum, c)).alias("seen"))
-
-    def share(r, d):
-        return F.log((r[f"c{d}"] + F.lit(SOFTEN)) / (F.element_at("seen", d + 1) + F.lit(SOFTEN * size)))
-
-    def entry(r, d):
-        odds = share(r, d) - share(r, 0)
-        error = F.sqrt(1 / (r[f"c{d}"] + F.lit(SOFTEN)) + 1 / (r["c0"] + F.lit(SOFTEN)))
-        return F.when(F.abs(odds) >= certain * error, odds).otherwise(0.0)
-
-    odds = F.transform("rows", lambda r: F.array(*(entry(r, d) for d in range(1, len(DOMAINS)))))
-    marked = F.transform(odds, lambda e: F.concat(e, F.transform(e, lambda x: F.when(x != 0, 1.0).otherwise(0.0))))
-    return row.select(marked.alias("odds"), "seen")
+    per_key = land(every.unionByName(counts.select("domain", F.col("key").cast("long").alias("key"), "n")).groupBy("key").agg(*own), "keys")
+    seen = land(per_key.agg(F.array(*(F.sum(f"c{d}") for d in n)).alias("seen")), "seen")
+    given = per_key.select("*", seen.scalar().alias("seen"))
+    share = [F.log((F.col(f"c{d}") + SOFTEN) / (F.element_at("seen", d + 1) + SOFTEN * size)) for d in n]
+    error = [F.sqrt(1 / (F.col(f"c{d}") + SOFTEN) + 1 / (F.col("c0") + SOFTEN)) for d in n]
+    keyed = given.select("*", *((share[d] - share[0]).alias(f"o{d}") for d in others))
+    keyed = land(keyed.select("*", *((F.abs(f"o{d}") >= certain * error[d]).alias(f"s{d}") for d in others)).drop("seen"), "odds")
+
+    def rest(d, k):
+        return F.log((F.sum(F.when(F.col(f"s{d}"), 0).otherwise(F.col(f"c{k}"))) + 1.0) / (F.sum(f"c{k}") + 1.0))
+
+    # The keys without odds of their own as one: on average a word says a little against every domain that it is not of.
+    pool = land(keyed.agg(F.array(*(rest(d, d) - rest(d, 0) for d in others)).alias("pool")), "pool")
+    chosen = keyed.select("*", pool.scalar().alias("pool")).select("key", F.array(
+        *(F.when(F.col(f"s{d}"), F.col(f"o{d}")).otherwise(F.element_at("pool", d)) for d in others),
+        *(F.when(F.col(f"s{d}"), 1.0).otherwise(0.0) for d in others)).alias("odds"))
+    row = chosen.agg(F.array_sort(F.collect_list(F.struct("key", "odds"))).alias("rows"))
+    return row.select(F.transform("rows", lambda r: r["odds"]).alias("odds")), seen
 
 
 def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> dict[str, DataFrame]:
@@ -103,17 +111,18 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> dict[st
     own = docs.select(F.col("doc_id").cast("long").alias("_id"), "text").join(F.broadcast(chosen), "_id")
     own = own.select("domain", words("text").alias("words")).select("domain", "words", variety().alias("bin"))
     tokens = own.select("domain", F.explode_outer("words").alias("w")).filter("w is not null").groupBy("domain", bucket(F.col("w")).alias("key"))
-    bins = land(_log_odds(own.groupBy("domain", F.col("bin").alias("key")).agg(F.count("*").alias("n")), BINS), "bins")
+    bins, documents = _log_odds(own.groupBy("domain", F.col("bin").alias("key")).agg(F.count("*").alias("n")), BINS)
+    odds, _ = _log_odds(tokens.agg(F.count("*").alias("n")), BUCKETS, CERTAIN)
     seen = [F.element_at("seen", d + 1) + F.lit(1.0) for d in range(len(DOMAINS))]
-    return {"words": land(_log_odds(tokens.agg(F.count("*").alias("n")), BUCKETS, CERTAIN).select("odds"), "words"), "bins": bins.select("odds"),
-            "prior": land(bins.select(F.array(*(F.log(seen[d] / seen[0]) for d in range(1, len(DOMAINS)))).alias("odds")), "prior")}
+    prior = documents.select(F.array(*(F.log(seen[d] / seen[0]) for d in range(1, len(DOMAINS)))).alias("odds"))
+    return {"words": land(odds, "words"), "bins": land(bins, "bins"), "prior": land(prior, "prior")}
 
 
 def posteriors(docs: DataFrame, model: dict[str, DataFrame], keep: list[str]) -> DataFrame:
     """`keep` columns, `tokens`, and `p`: the posteriors of DOMAINS. No shuffle, one row per document.
 
-    Only words that tell a domain from `clean` with certainty count, so that a few of them are heard in a long text. They are damped,
-    since they are not independent: the sum of a domain's log-odds is divided by the root of the number of its words.
+    Words that tell a domain from `clean` with certainty have odds of their own, so that a few of them are heard in a long text.
+    Odds are damped, since words are not independent: a domain's sum is divided by the root of the number of its own words.
     The model comes as values of subqueries, each used once, so no row carries it and no plan spells it out.
     """
     kept = [F.col(f"`{c}`") for c in keep]
@@ -188,8 +197,8 @@ def fit(rated: DataFrame, targets: dict[str, float]) -> tuple[list[list[float]],
     """Steps that bring the expected totals to the targets' shares of all tokens, and what each domain misses.
 
     The second is what a domain has above (or below, if negative) its target, as a share of all tokens. The fit ends where
-    none exceeds TOLERANCE, or where the projected gradient is at most GRADIENT everywhere or no step lowers the error: then
-    no nonnegative rates come nearer, or so little that no document says anything about the rest.
+    none exceeds TOLERANCE, where the projected gradient is at most GRADIENT everywhere, or where the error stalls: then
+    no nonnegative rates come nearer, or only by dropping ever more documents that are nearly all of other domains.
     """
     rows = rated.select(F.col("tokens").cast("double").alias("t"), F.lit(1.0).alias("rate"),
                         *(F.element_at("p", d + 1).alias(f"p{d}") for d in range(len(DOMAINS))))
@@ -205,19 +214,22 @@ def fit(rated: DataFrame, targets: dict[str, float]) -> tuple[list[list[float]],
         return float(((total - goal) ** 2 / weight).sum()) / 2
 
     steps: list[list[float]] = []
-    total, length, folded, written = natural, 1.0, 0, False
+    total, length, folded, written, errors = natural, 1.0, 0, False, [error(natural)]
     while np.abs(total - goal).max() > TOLERANCE * whole:
         slope = (total - goal) / weight
         scaled = np.linalg.lstsq(overlap + np.diag(weight) * 1e-9, total - goal, rcond=None)[0]
-        tried = [(factor * step).tolist() for step, factor in ((slope, 1.0), (slope, length), (scaled, 1.0), (scaled, 0.3))]
+        tried = [(slope * factor).tolist() for factor in (1.0, length)] + [(scaled * factor).tolist() for factor in SCALED]
         steepest, found = sums_at(rows, steps[folded:], tried, slope.tolist())
         best = min(range(len(tried)), key=lambda k: error(found[k][0]))
-        if steepest <= GRADIENT or error(found[best][0]) >= error(total) * (1 - 1e-9):
+        errors.append(error(found[best][0]))
+        if steepest <= GRADIENT or errors[-1] >= errors[-2] * (1 - 1e-9):
             break
         steps.append(tried[best])
         curve = float(((found[best][0] - total) ** 2 / weight).sum())
         length = min(1e6, max(1.0, found[best][1] / curve)) if curve else 1.0
         total, _, overlap = found[best]
+        if errors[-1] > STALLED * errors[max(0, len(errors) - 1 - PATIENCE)]:
+            break
         if len(steps) - folded == FOLD:
             rate = F.col("rate")
             for step in steps[folded:]:

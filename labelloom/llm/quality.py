@@ -20,7 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from labelloom.llm import tokens
-from labelloom.llm.store import free_name, land
+from labelloom.llm.store import land
 
 BITS = 18
 DIM = 8
@@ -254,14 +254,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -
 def drop_bad(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
     """Documents whose score is at least CUT; all columns stay, and rows keep their order in a partition."""
     folded, bias = fit(docs, labels, rows)
-    score = free_name(docs, "_score")
-    kept = [F.col(f"`{c}`") for c in docs.columns]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + f", `{score}` double"
-    with_text = docs.select(*kept, F.col("text").cast("string").alias(score))
-    renamed = with_text.mapInArrow(partial(_score_named, folded=folded, bias=bias, score=score), schema)
-    return renamed.filter(F.col(score) >= CUT).select(*kept)
-
-
-def _score_named(batches, folded, bias, score):
-    for batch in _score(batches, folded, bias):
-        yield batch.rename_columns([*batch.schema.names[:-1], score])
+    # Rows travel as one column, so that any names will do.
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("text").cast("string").alias("text"))
+    kind = ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in docs.schema.fields)
+    scored = packed.mapInArrow(partial(_score, folded=folded, bias=bias), f"row struct<{kind}>, score double")
+    return scored.filter(F.col("score") >= CUT).select("row.*")
