@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 
 from labelloom.functions import flag_gt, safe_ratio
 from labelloom.operators.ranking import first_per
+from labelloom.session import small_side
 
 TIE_RULES = ("mean_conf", "one", "zero")
 BITS_PER_WORD = 62
@@ -39,28 +40,52 @@ def count_votes(preds: DataFrame, tie: str = "mean_conf") -> DataFrame:
 
 
 def ensemble_vote(
-    preds: DataFrame, labels: DataFrame, parts: Sequence[str], tie: str = "mean_conf"
+    preds: DataFrame, labels: DataFrame, parts: Sequence[str] | None = None, tie: str = "mean_conf"
 ) -> DataFrame:
     """(case_id, part, gt, pred) for every part of every case with a label and a prediction.
 
     Views vote by strict threshold and the majority wins; a part without predictions is 0. The
     votes of a case are folded into bit masks (one row of a few longs per case) before they meet
     the labels, so the predictions are read once and both inputs are shuffled on the case alone.
+
+    `parts` may name the parts that count. Without it all parts that have labels do, however many: they are numbered
+    in a table of their own, and a case keeps the words of its mask that hold one of its predictions.
     """
+    if parts is None:
+        return _vote_on_all(preds, labels, tie)
     names = list(parts)
     wanted = F.col("part").isin(names)
     voted = _with_bit(count_votes(preds.filter(wanted), tie), names)
     words = range(-(-len(names) // BITS_PER_WORD))
-    masks = {"_seen": F.lit(True), "_pred": F.col("pred") == 1, "_gt": F.col("gt") == 1}
     folded = voted.groupBy("case_id").agg(*[
         F.array(*[F.bit_or(F.when((F.col("_word") == w) & is_set, F.col("_mask"))) for w in words]).alias(name)
-        for name, is_set in masks.items()
+        for name, is_set in _masks().items()
     ])
     given = _with_bit(labels.filter(wanted).select("case_id", "part", "gt"), names)
-    joined = given.join(folded, "case_id")
+    return _outcomes(given.join(folded, "case_id"), lambda name: F.get(name, F.col("_word")))
+
+
+def _masks() -> dict[str, Column]:
+    return {"_seen": F.lit(True), "_pred": F.col("pred") == 1, "_gt": F.col("gt") == 1}
+
+
+def _vote_on_all(preds: DataFrame, labels: DataFrame, tie: str) -> DataFrame:
+    """The vote over all labelled parts; their numbers are joined by a broadcast if the table of parts is small."""
+    found = labels.select("part").where(F.col("part").isNotNull()).distinct()
+    numbers = small_side(found.select("part", F.monotonically_increasing_id().alias("_at")))
+    voted = _masked(count_votes(preds, tie).join(numbers, "part"))
+    # Dealt by the case once, which both groupings need.
+    per_word = voted.repartition("case_id").groupBy("case_id", "_word").agg(
+        *[F.bit_or(F.when(is_set, F.col("_mask"))).alias(name) for name, is_set in _masks().items()])
+    folded = per_word.groupBy("case_id").agg(F.map_from_entries(F.collect_list(F.struct("_word", F.struct(*_masks())))).alias("_words"))
+    given = _masked(labels.select("case_id", "part", "gt").join(numbers, "part"))
+    return _outcomes(given.join(folded, "case_id"), lambda name: F.try_element_at("_words", F.col("_word"))[name])
 
+
+def _outcomes(joined: DataFrame, word_of: Callable[[str], Column]) -> DataFrame:
+    """Label and vote of each row, from the word of each mask that its part stands in."""
     def bit(name: str) -> Column:
-        word = F.coalesce(F.get(name, F.col("_word")), F.lit(0).cast("long"))
+        word = F.coalesce(word_of(name), F.lit(0).cast("long"))
         return F.when(word.bitwiseAND(F.col("_mask")) != 0, 1).otherwise(0)
 
     return joined.select(
@@ -71,12 +96,16 @@ def ensemble_vote(
     )
 
 
+def _masked(placed: DataFrame) -> DataFrame:
+    """Word and mask of the part's number `_at`."""
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("_at") % BITS_PER_WORD).cast("int"))
+    return placed.withColumn("_word", F.floor(F.col("_at") / BITS_PER_WORD)).withColumn("_mask", mask)
+
+
 def _with_bit(df: DataFrame, names: list[str]) -> DataFrame:
     """Word and mask of the part's position in the vocabulary."""
     position = F.array_position(F.array(*map(F.lit, names)), F.col("part")) - 1
-    mask = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("_at") % BITS_PER_WORD).cast("int"))
-    placed = df.withColumn("_at", position)
-    return placed.withColumn("_word", F.floor(F.col("_at") / BITS_PER_WORD).cast("int")).withColumn("_mask", mask)
+    return _masked(df.withColumn("_at", position)).withColumn("_word", F.col("_word").cast("int"))
 
 
 def case_accuracy(decisions: DataFrame, lists: bool = False) -> DataFrame:

@@ -9,7 +9,7 @@ from labelloom.functions import file_key
 from labelloom.operators import aggregates, evaluate, joins, labels, ranking
 from labelloom.plans.registry import query
 from labelloom.plans.sampling import PARTS
-from labelloom.plans.views import Views, with_views
+from labelloom.plans.views import ALL_PARTS, Views, with_views
 
 
 def _decisions(v: Views) -> DataFrame:
@@ -72,15 +72,16 @@ def _photo_predictions(v: Views) -> DataFrame:
     )
 
 
-@query("pred_multilabel", with_views("""select case_id, view, cast(case_id as varchar) || '.JPG' as filename, 'm' as model,
-    max(pred) filter (where part = 'LARGE') as "vision_LARGE", max(pred) filter (where part = 'PROMO') as "vision_PROMO",
-    max(pred) filter (where part = 'SMALL') as "vision_SMALL" from photos where part in ('LARGE', 'PROMO', 'SMALL')
-    group by case_id, view having count(*) = 3""", "predictions", photos=_PHOTOS))
+@query("pred_multilabel", with_views(f"""select case_id, view, cast(case_id as varchar) || '.JPG' as filename, 'm' as model,
+    {', '.join(f"max(pred) filter (where part = '{p}') as \"vision_{p}\"" for p in ALL_PARTS)} from photos
+    group by case_id, view having count(*) = {len(ALL_PARTS)}""", "predictions", photos="""select case_id, part, 0 as view,
+    max(cast(conf > 0.5 as integer)) as pred, max(gt) as gt from predictions group by case_id, part"""))
 def _(v: Views):
-    photos = _photo_predictions(v).withColumns({
-        "filename": F.concat(F.col("case_id").cast("string"), F.lit(".JPG")), "model": F.lit("m")
-    })
-    return labels.pred_multilabel(photos, ["LARGE", "PROMO", "SMALL"])
+    # One photo a case shows all its parts; the rows with every part of the table are kept.
+    whole = v.predictions.groupBy("case_id", "part").agg(
+        F.max((F.col("conf") > 0.5).cast("int")).alias("pred"), F.max("gt").alias("gt")).withColumn("view", F.lit(0))
+    photos = whole.withColumns({"filename": F.concat(F.col("case_id").cast("string"), F.lit(".JPG")), "model": F.lit("m")})
+    return labels.pred_multilabel(photos, ALL_PARTS)
 
 
 @query("part_agreement", with_views("""select part, view, count(*) as rows, round(sum(cast(pred = gt as integer)) / count(*), 6) as acc
@@ -101,7 +102,7 @@ def _(v: Views):
     from labels_long l left join votes v on l.case_id = v.case_id and l.part = v.part
     where l.case_id in (select case_id from predictions)""", "labels_long", "votes"))
 def _(v: Views):
-    return evaluate.ensemble_vote(v.predictions, v.labels, v.parts, tie="one")
+    return evaluate.ensemble_vote(v.predictions, v.labels, tie="one")
 
 
 @query("case_accuracy", with_views("""select case_id, cast(sum(cast(gt = pred as integer)) as bigint) as correct,

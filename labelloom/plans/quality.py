@@ -153,7 +153,7 @@ _KNOWN = "select sample_id, round(aum, 9) as aum from aums where sample_id % 7 <
 
 
 @query("select_clean", with_views("""select sample_id, label, round(aum, 6) as aum from class_probs join known using (sample_id)
-    where aum >= (select quantile_cont(aum, 0.6) from known)""", "class_probs", **AUM_VIEWS, known=_KNOWN))
+    where aum >= (select quantile_cont(aum, 0.6) from known)""", "class_probs", "epoch_logits", **AUM_VIEWS, known=_KNOWN))
 def _(v: Views):
     rows = v.class_probs.select("sample_id", "label")
     return _rounded(quality.select_clean(rows, _known_aum(v), "sample_id"), "aum")
@@ -171,7 +171,7 @@ def _(v: Views):
 
 @query("selection_report", with_views("""select label, count(*) as rows, cast(sum(keep) as bigint) as kept, round(sum(keep) / count(*), 6) as share from
     (select label, case when aum >= (select quantile_cont(aum, 0.6) from known) then 1 else 0 end as keep
-     from class_probs join known using (sample_id)) group by label""", "class_probs", **AUM_VIEWS, known=_KNOWN))
+     from class_probs join known using (sample_id)) group by label""", "class_probs", "epoch_logits", **AUM_VIEWS, known=_KNOWN))
 def _(v: Views):
     rows, known = v.class_probs.select("sample_id", "label"), _known_aum(v)
     kept = quality.select_clean(rows, known, "sample_id")
@@ -180,7 +180,7 @@ def _(v: Views):
 
 @query("cap_selected", with_views("""select sample_id, label from class_probs join known using (sample_id)
     where aum >= (select quantile_cont(aum, 0.6) from known) qualify row_number() over
-    (partition by label order by md5(concat(cast(sample_id as varchar), '-', '3')), sample_id) <= 12""", "class_probs", **AUM_VIEWS, known=_KNOWN))
+    (partition by label order by md5(concat(cast(sample_id as varchar), '-', '3')), sample_id) <= 12""", "class_probs", "epoch_logits", **AUM_VIEWS, known=_KNOWN))
 def _(v: Views):
     kept = quality.select_clean(v.class_probs.select("sample_id", "label"), _known_aum(v), "sample_id")
     return quality.cap_per_class(kept.select("sample_id", "label"), "label", "sample_id", 12, 3)
@@ -232,10 +232,10 @@ def _(v: Views):
     return quality.worst_half(_issues(v))
 
 
-@query("correct_guarded", _materialized("""select case_id, part, case when listed and apply then 0 else gt end as gt from
-    (select *, case_id in (select case_id from half) as listed from labels_long) join
-    (select part, sum(case when case_id not in (select case_id from half) then gt else 0 end) / count(*) >= 0.2 as apply
-     from labels_long group by part) using (part)""", **HALF))
+@query("correct_guarded", _materialized("""select case_id, part, case when listed and apply then 0 else gt end as gt from marked
+    join shares using (part)""", **HALF,
+    marked="select l.case_id, part, gt, h.case_id is not null as listed from labels_long l left join half h on l.case_id = h.case_id",
+    shares="select part, sum(case when listed then 0 else gt end) / count(*) >= 0.2 as apply from marked group by part"))
 def _(v: Views):
     return quality.correct_guarded(v.labels, quality.worst_half(_issues(v)), v.parts, min_pos=0.2)
 
@@ -254,7 +254,7 @@ BALD_VIEWS = {
     "flat_draws": "select sample_id, epoch, cast(unnest(range(10)) as integer) as j, unnest(probs) as p from softmaxed",
     "mean_p": "select sample_id, j, avg(p) as p from flat_draws group by all",
     "h_mean": "select sample_id, -sum(case when p > 0 then p * ln(p) else 0 end) as h from mean_p group by all",
-    "h_each": "select sample_id, -sum(case when p > 0 then p * ln(p) else 0 end) / 6 as h from flat_draws group by all",
+    "h_each": "select sample_id, -sum(case when p > 0 then p * ln(p) else 0 end) / 7 as h from flat_draws group by all",
     "balds": "select sample_id, a.h - b.h as bald from h_mean a join h_each b using (sample_id)",
 }
 
@@ -279,10 +279,10 @@ def _(v: Views):
 
 @query("first_batch", with_views("""select view, gt, sample_id from (select sample_id, label as gt, sample_id % 3 as view, round(aum, 9) as aum
     from class_probs join aums using (sample_id)) qualify row_number() over
-    (partition by view, gt order by aum desc, sample_id) <= 10""", "class_probs", **AUM_VIEWS))
+    (partition by view, gt order by aum desc, sample_id) <= 10""", "class_probs", "epoch_logits", **AUM_VIEWS))
 def _(v: Views):
     values = _rounded(quality.aum(v.epoch_logits), "aum", digits=9)
-    rows = v.class_probs.select("sample_id", F.col("label").alias("gt"), F.col("dataset_index").alias("view"))
+    rows = v.class_probs.select("sample_id", F.col("label").alias("gt"), (F.col("sample_id") % 3).alias("view"))
     return quality.first_batch(rows.join(values, "sample_id"), 10).select("view", "gt", "sample_id")
 
 

@@ -14,7 +14,7 @@ from labelloom.operators.evaluate import case_accuracy, ensemble_vote, part_metr
 from labelloom.operators.frontier import pareto_front
 from labelloom.plans.registry import query
 from labelloom.session import scratch_path, small_side
-from labelloom.plans.views import Views, given_label, with_views
+from labelloom.plans.views import ALL_PARTS, Views, given_label, with_views
 from labelloom.sources import documents
 
 CFG = scope.ScopeConfig(
@@ -229,14 +229,11 @@ def _(v: Views):
     return joins.work_list(v.cases, v.files, v.part_lines.filter("fval > 90000"), key="case_id")
 
 
-@query("assemble_wide", with_views("""select case_id, max(conf) filter (where part = 'ECONOMY') as "vision_ECONOMY",
-    max(conf) filter (where part = 'LARGE') as "vision_LARGE", max(conf) filter (where part = 'MEDIUM') as "vision_MEDIUM",
-    max(conf) filter (where part = 'PROMO') as "vision_PROMO" from case_predictions group by case_id
-    having count(distinct part) filter (where part in ('ECONOMY', 'LARGE', 'MEDIUM', 'PROMO')) = 4""", "case_predictions"))
+@query("assemble_wide", with_views(f"""select case_id,
+    {', '.join(f"max(conf) filter (where part = '{p}') as \"vision_{p}\"" for p in ALL_PARTS)} from case_predictions group by case_id
+    having count(distinct part) = {len(ALL_PARTS)}""", "case_predictions"))
 def _(v: Views):
-    return joins.assemble_wide(
-        v.case_predictions, ["case_id"], "part", "conf", ["ECONOMY", "LARGE", "MEDIUM", "PROMO"], prefix="vision_"
-    )
+    return joins.assemble_wide(v.case_predictions, ["case_id"], "part", "conf", ALL_PARTS, prefix="vision_")
 
 
 @query("complete_views", with_views(FILE_SCOPE, "files"))

@@ -12,7 +12,11 @@ from labelloom.operators.joins import vocabulary
 from labelloom.operators.labels import multilabel
 
 CLASSES = 10
-EPOCHS = 6
+# All part names of the given tables.
+ALL_PARTS = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+# Entries of a vector, and how many runs of CLASSES of them cover all (the last run overlaps the one before).
+ENTRIES = 64
+EPOCHS = 7
 
 
 def given_label(case_id: Column, part: Column) -> Column:
@@ -129,7 +133,8 @@ class Views:
 
     @property
     def epoch_logits(self) -> DataFrame:
-        logits = F.slice("embedding", F.col("epoch") * CLASSES + 1, CLASSES).cast("array<double>")
+        first = F.least(F.col("epoch") * CLASSES, F.lit(ENTRIES - CLASSES)) + 1
+        logits = F.slice("embedding", first, CLASSES).cast("array<double>")
         epochs = self.table("embeddings").select(
             "*", F.explode(F.sequence(F.lit(0), F.lit(EPOCHS - 1))).alias("epoch")
         )
@@ -137,12 +142,17 @@ class Views:
 
     @property
     def class_probs(self) -> DataFrame:
-        first = F.slice("embedding", 1, CLASSES).cast("array<double>")
+        """Every class has the sum of each CLASSES-th entry as its logit."""
+        def logit(j):
+            own = F.transform(F.sequence(j, F.lit(ENTRIES - 1), F.lit(CLASSES)), lambda i: F.get("embedding", i).cast("double"))
+            return F.aggregate(own, F.lit(0.0), lambda a, x: a + x)
+
+        logits = F.transform(F.sequence(F.lit(0), F.lit(CLASSES - 1)), logit)
         return self.table("embeddings").select(
             F.col("vec_id").alias("sample_id"),
             "label",
-            softmax(first).alias("probs"),
-            (F.col("vec_id") % 3).alias("dataset_index"),
+            softmax(logits).alias("probs"),
+            (F.col("vec_id") % 2 + 1).alias("dataset_index"),
         )
 
     @property
@@ -220,12 +230,14 @@ VIEW_SQL = {
         from labels_long l left join votes v on l.case_id = v.case_id and l.part = v.part
         where l.case_id in (select case_id from predictions)""",
     "epoch_logits": """select vec_id as sample_id, e as epoch, label,
-        list_transform(list_slice(embedding, e * 10 + 1, e * 10 + 10), lambda x: cast(x as double)) as logits
-        from embeddings, (select cast(unnest(range(6)) as integer) as e)""",
+        list_transform(list_slice(embedding, least(e * 10, 54) + 1, least(e * 10, 54) + 10), lambda x: cast(x as double)) as logits
+        from embeddings, (select cast(unnest(range(7)) as integer) as e)""",
     "softmaxed": """select sample_id, epoch, label, list_transform(ex, lambda x: x / list_sum(ex)) as probs from
         (select *, list_transform(logits, lambda x: exp(x - list_max(logits))) as ex from epoch_logits)""",
-    "class_probs": """select sample_id, label, probs, sample_id % 3 as dataset_index
-        from softmaxed where epoch = 0""",
+    "class_logits": """select vec_id as sample_id, label, list_transform(range(10), lambda j: list_sum(list_transform(range(j, 64, 10),
+        lambda i: cast(embedding[i + 1] as double)))) as logits from embeddings""",
+    "class_probs": """select sample_id, label, list_transform(ex, lambda x: x / list_sum(ex)) as probs, sample_id % 2 + 1 as dataset_index from
+        (select *, list_transform(logits, lambda x: exp(x - list_max(logits))) as ex from class_logits)""",
     "two_label": """select doc_id, quality, toxic, n_chars, lang
         from labels join documents using (doc_id)""",
 }

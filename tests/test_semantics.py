@@ -106,6 +106,30 @@ def test_vote_rules(spark, rows):
     assert rows(evaluate.ensemble_vote(shuffled, given, ["a", "b", "c"])) == want
 
 
+def test_vote_over_an_unlimited_vocabulary(spark):
+    """1,500 parts without a list of them, against a plain count; a part without a label or a name counts nowhere."""
+    names = [f"p{i:04d}" for i in range(1500)]
+    votes = [(c, p, 0.9 if (c * 7 + i + v) % 3 else 0.1, 0.5, (c + i) % 2) for c in range(3) for i, p in enumerate(names)
+             if (i + c) % 4 == 0 for v in range(1 + i % 3)]
+    votes += [(0, "unlabelled", 0.9, 0.5, 1), (0, None, 0.9, 0.5, 1), (9, "p0000", 0.9, 0.5, 1)]
+    preds = spark.createDataFrame(votes, "case_id int, part string, conf double, threshold double, gt int")
+    given = spark.createDataFrame([(c, p, 7) for c in range(4) for p in names] + [(0, None, 1)], "case_id int, part string, gt int")
+    seen = {}
+    for c, p, conf, threshold, gt in votes:
+        seen.setdefault((c, p), []).append((conf > threshold, conf, gt))
+    want = {}
+    for c in range(3):
+        for p in names:
+            own = seen.get((c, p))
+            if own is None:
+                want[c, p] = (7, 0)
+                continue
+            yes, mean = sum(x[0] for x in own), sum(x[1] for x in own) / len(own)
+            want[c, p] = (own[0][2], int(yes * 2 > len(own) or (yes * 2 == len(own) and round(mean, 9) >= 0.5)))
+    got = evaluate.ensemble_vote(preds, given).collect()
+    assert len(got) == len(want) and {(r.case_id, r.part): (r.gt, r.pred) for r in got} == want
+
+
 def test_vote_with_more_parts_than_one_word_holds(spark):
     names = [f"p{i:03d}" for i in range(150)]
     preds = spark.createDataFrame(
