@@ -1,16 +1,18 @@
 """WARC archives of pages and their external index, merged by loser trees.
 
 Pages become response and revisit records, written by Spark's text writer as gzip-compressed archives
-in the shared folder, and are read back by their Content-Length. Each archive yields one run of
-captures, sorted by URL key and time. Runs are cut at common range borders, and every range merges
-its pieces of all runs by a k-way loser tree, so the whole index is in one global order. The borders
-run through time and id as well, so a URL with very many captures is spread over ranges.
+in the shared folder, and are read back record by record by their Content-Length. Each archive yields one
+run of captures, sorted by URL key and time. Runs are cut at common range borders, and every range merges
+its pieces of all runs by a k-way loser tree, so the whole index is in one global order. Pieces are not
+sorted again: where the shuffle brought parts of a run out of turn, each part is merged as a run of its own.
+The borders run through time and id as well, so a URL with very many captures is spread over ranges.
 """
 
 from __future__ import annotations
 
 import gzip
 import hashlib
+import io
 from collections.abc import Iterator
 from urllib.parse import urlsplit
 
@@ -25,6 +27,8 @@ from labelloom.session import scratch_path
 MIN_REVISIT_BYTES = 100
 RECORDS_PER_FILE = 4000
 RANGE_ROWS = 500_000
+# Seconds from 1970 to the year 10000: dates keep four digits of the year and sort as text.
+LAST_SECOND = 253_402_300_800
 CRLF = "\r\n"
 
 CAPTURE = ("page_id long, url string, url_key string, capture_time string, payload_bytes long, payload_digest string, "
@@ -53,7 +57,8 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = MIN_REVISIT_B
 
     Of equal payloads of at least `min_bytes` bytes the row with the smallest page id is the response
     and the others revisit it; rows that repeat that id are responses too, and without any id there is
-    nothing to refer to, so all are responses. A capture's time is its page id in seconds since 1970.
+    nothing to refer to, so all are responses. A capture's time is its page id in seconds since 1970, modulo
+    the seconds up to the year 10000, so every long is a page id, also a negative one; null is 1970.
     """
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
@@ -67,7 +72,7 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = MIN_REVISIT_B
     http = F.concat(F.lit(CRLF.join(("HTTP/1.1 200 OK", "Content-Type: text/html; charset=utf-8", "Content-Length: "))),
                     F.col("bytes").cast("string"), F.lit(CRLF * 2))
     page = F.coalesce(F.col("page_id").cast("string"), F.lit("none"))
-    time = F.date_format(F.timestamp_seconds(F.coalesce("page_id", F.lit(0))), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    time = F.date_format(F.timestamp_seconds(F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(LAST_SECOND))), "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
     def field(name, value):
         return F.concat(F.lit(f"{CRLF}{name}: "), value)
@@ -88,19 +93,20 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = MIN_REVISIT_B
      .option("maxRecordsPerFile", RECORDS_PER_FILE).text(folder))
 
 
-def records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Header fields and block of every record of an archive's bytes, by Content-Length."""
-    at = 0
-    while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        lines = data[at:end].decode().split(CRLF)
-        if lines[0] != "WARC/1.1":
-            raise ValueError(f"no record at byte {at}")
-        fields = dict(line.split(": ", 1) for line in lines[1:])
-        start = end + 4
-        at = start + int(fields["Content-Length"])
-        yield fields, data[start:at]
-        at += 4
+def records(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Header fields and block of every record of an archive, read one at a time by Content-Length."""
+    while first := stream.readline():
+        if first.decode().rstrip(CRLF) != "WARC/1.1":
+            raise ValueError(f"no record where one begins: {first[:40]!r}")
+        fields = {}
+        while (line := stream.readline().rstrip(b"\r\n")):
+            name, value = line.decode().split(": ", 1)
+            fields[name] = value
+        size = int(fields["Content-Length"])
+        block = stream.read(size)
+        if len(block) < size or stream.read(4) != b"\r\n\r\n":
+            raise ValueError(f"record {fields.get('WARC-Record-ID')} is cut short")
+        yield fields, block
 
 
 def _page(urn: str | None) -> int | None:
@@ -122,7 +128,7 @@ def capture(fields: dict[str, str], block: bytes) -> tuple:
 
 def order_of(entry: tuple) -> tuple:
     """URL key, time, page id; entries without an id come first."""
-    return entry[2], entry[3], -1 if entry[0] is None else entry[0]
+    return entry[2], entry[3], entry[0] is not None, entry[0] or 0
 
 
 _TYPES = (pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64())
@@ -140,7 +146,8 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One sorted run of captures per archive."""
     for batch in batches:
         for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            entries = sorted((capture(*r) for r in records(gzip.decompress(content.as_buffer()))), key=order_of)
+            with gzip.open(pa.BufferReader(content.as_buffer())) as stream:
+                entries = sorted((capture(*r) for r in records(io.BufferedReader(stream))), key=order_of)
             for lo in range(0, len(entries), 10_000):
                 yield _batch(entries[lo:lo + 10_000], path)
 
@@ -192,16 +199,24 @@ class LoserTree:
             self.winner = won
 
 
+def sorted_pieces(tagged: Iterator[tuple[str, tuple]]) -> list[list[tuple]]:
+    """Entries of (run, entry) as lists in order: one per run, and one more wherever a run falls back."""
+    pieces, current = [], {}
+    for run, entry in tagged:
+        piece = current.get(run)
+        if piece is None or order_of(entry) < order_of(piece[-1]):
+            piece = current[run] = []
+            pieces.append(piece)
+        piece.append(entry)
+    return pieces
+
+
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The captures of one range in order, from its pieces of all runs."""
-    runs: dict[str, list] = {}
-    for batch in batches:
-        for *entry, run in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            runs.setdefault(run, []).append(tuple(entry))
-    for piece in runs.values():
-        piece.sort(key=order_of)  # already in order unless the shuffle brought parts of a run out of turn
+    pieces = sorted_pieces((run, tuple(entry)) for batch in batches
+                           for *entry, run in zip(*(c.to_pylist() for c in batch.columns), strict=True))
     out = []
-    for entry in LoserTree([runs[r] for r in sorted(runs)], order_of):
+    for entry in LoserTree(pieces, order_of):
         out.append(entry)
         if len(out) == 10_000:
             yield _batch(out)

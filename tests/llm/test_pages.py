@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import io
 import random
 from collections import Counter
 
+import pytest
+
 from labelloom.llm import html, warc
 
 SCHEMA = "page_id long, url string, html string, text string, run string, digest string"
@@ -71,6 +74,35 @@ def test_index_is_in_global_order(spark):
     assert len(keys) == 1500 and keys == sorted(keys)
 
 
+def test_any_long_is_a_page_id(spark):
+    ids = [10**15, 10**12, -5, 0, 7, -(2**63), 2**63 - 1, None, None]
+    merged = warc.archive_round_trip(table(spark, [(i, "http://a.org/", f"page {i}") for i in ids]))
+    rows = merged.collect()
+    assert Counter(r["page_id"] for r in rows) == Counter(ids)
+    assert all(len(r["capture_time"]) == 20 for r in rows)
+    keys = [(r["capture_time"], r["page_id"] is not None, r["page_id"] or 0) for r in rows]
+    assert keys == sorted(keys)
+
+
+def test_pieces_of_runs_are_merged_without_sorting():
+    def entry(i):
+        return (i, "u", "u", "t", 0, "", "response", None)
+
+    tagged = [("a", entry(i)) for i in (1, 4, 4, 9)] + [("b", entry(i)) for i in (None, 2, 3)]
+    tagged += [("a", entry(i)) for i in (0, 5)] + [("b", entry(8))]
+    pieces = warc.sorted_pieces(iter(tagged))
+    assert [[e[0] for e in p] for p in pieces] == [[1, 4, 4, 9], [None, 2, 3, 8], [0, 5]]
+    assert [e[0] for e in warc.LoserTree(pieces, warc.order_of)] == [None, 0, 1, 2, 3, 4, 4, 5, 8, 9]
+
+
+def test_records_cut_short_are_an_error():
+    whole = b"WARC/1.1\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    assert [b for _, b in warc.records(io.BytesIO(whole * 2))] == [b"abc", b"abc"]
+    for broken in (whole[:-5], whole[:-1], b"x" + whole):
+        with pytest.raises(ValueError):
+            list(warc.records(io.BytesIO(broken)))
+
+
 def test_loser_tree():
     rng = random.Random(5)
     for k in range(1, 12):
