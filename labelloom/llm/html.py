@@ -1,20 +1,25 @@
 """Main text of web pages by line-block distribution.
 
 Markup is stripped to lines, one per block element. Elements that are never an article's text
-(scripts, menus, forms, adverts and the like, by name, role or class) end a line. The length of
-a line is its text outside links. Lengths are summed over sliding windows of BLOCK lines; a text
-surges where the sum rises from nothing and dives where it falls back to nothing. A region between
-surge and dive is accepted if it reaches SURGE, or is the longest there is; the text is all regions from
-the one before the first accepted to the one after the last, so that short titles and endings stay.
-
-The windows decide where no article or main element holds text outside links. Elsewhere the tag rules
-do: the text is all lines in these elements, links included, but for the unwanted elements.
+(scripts, menus, forms, adverts and the like, by name, role or class) end a line and are taken out; one
+that is never closed takes nothing out. The length of a line is its text outside links. Lengths are summed
+over sliding windows of BLOCK lines; a text surges where the sum rises from nothing and dives where it falls
+back to nothing. A region between surge and dive is accepted if it reaches SURGE, or is the longest there is;
+the text is all regions from the one before the first accepted to the one after the last, so that short
+titles and endings stay.
+
+Where an article or main element holds text outside links, the markers shift the borders: links count as text
+in it, a region that holds marked lines is accepted whatever its length, and surge and dive move to the
+first and the last marked lines of the region.
+
+Every step takes time linear in the page: tags are listed once, and one stack gives where elements end.
 """
 
 from __future__ import annotations
 
 import re
 from bisect import bisect_left
+from collections import defaultdict
 from collections.abc import Iterator
 from html import unescape
 
@@ -26,12 +31,15 @@ BLOCK = 3
 # Code points that a window must hold for a region to count as text.
 SURGE = 80
 
+# Attributes of a tag, quoted values whole; possessive, so that a tag without an end is given up at once.
+_ATTRIBUTES = r"(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+"
 _RAW = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^<>]*+>"
     r"|<(script|style|noscript|template|svg|math|select|textarea|iframe|object|button|canvas|video|audio|map)\b"
-    r"(?:[^<>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
-_HEAD = re.compile(r"<head\b[^>]*>.*?</head\s*>", re.S | re.I)
-_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>")
+    + _ATTRIBUTES + r">.*?(?:</\1\s*>|\Z)", re.S | re.I)
+_HEAD = re.compile(r"<head\b[^<>]*+>", re.I)
+_HEAD_END = re.compile(r"</head\s*>", re.I)
+_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)(" + _ATTRIBUTES + ")>")
 _HINTS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 _NOISE = re.compile(
@@ -40,10 +48,18 @@ _NOISE = re.compile(
     r"replies|disqus|share|sharing|social|related|recommend\w*|newsletter|subscribe|subscription|signup|login|search|pagination|"
     r"pager|toolbar|widget|copyright|legal|disclaimer|skip|contentinfo|complementary|form|dialog|tags|byline-social)"
     r"(?=$|[\s_-])", re.I)
+# Within an article: adverts, menus, notices, forms, share bars and comments only; other words name its own parts there.
+_NOISE_WITHIN = re.compile(
+    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|nav|navbar|navigation|menu|sidebar|aside|footer|breadcrumbs?|"
+    r"cookies?|consent|gdpr|notice|alert|popup|modal|comments?|commentlist|respond|disqus|share|sharing|social|related|recommend\w*|"
+    r"newsletter|subscribe|subscription|signup|login|pagination|pager|form|dialog|byline-social)(?=$|[\s_-])", re.I)
 _COMMENT = re.compile(r"(?:^|[\s_-])comments?(?=$|[\s_-])", re.I)
+# What names comments themselves, not a wrapper that says it has some.
+_COMMENTS = re.compile(r"(?:^|\s)comments?(?:[_-](?:list|section|area|thread|container))?(?=$|\s)", re.I)
 _DROPPED = {"nav", "footer", "aside", "form", "dialog", "menu", "fieldset", "label", "input", "option", "datalist"}
+# Outside forms these stand in an article's own sentences.
+_KEPT_WITHIN = {"label"}
 _MAIN = {"article", "main"}
-_MAIN_TAG = re.compile(r"<(article|main)(?![a-zA-Z0-9:-])((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>", re.I)
 _KEPT = {"html", "body", "article", "main"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 _INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins",
@@ -55,51 +71,86 @@ _OPEN_ENDED = {"p", "li", "dt", "dd", "td", "th", "tr"}
 
 
 def _unwanted(name: str, attributes: str, inside: bool) -> bool:
-    if name in _DROPPED or (name == "header" and not inside):
+    if name in _DROPPED and not (inside and name in _KEPT_WITHIN):
+        return True
+    if name == "header" and not inside:
         return True
     if not attributes or name in ("html", "body"):
         return False
     hints = " ".join(a or b or c for a, b, c in _HINTS.findall(attributes))
     if name in _KEPT:
         return bool(_COMMENT.search(hints))
-    return bool(_NOISE.search(hints)) or bool(_HIDDEN.search(attributes))
-
-
-def _skip(page: str, tag: re.Match, name: str) -> int:
-    """Where an unwanted element ends; its start tag's end if it is never closed."""
-    if name in _VOID or tag[3].rstrip().endswith("/"):
-        return tag.end()
-    depth = 1
-    for other in _TAG.finditer(page, tag.end()):
-        own = other[2].lower()
-        if own == name:
-            if name in _OPEN_ENDED and not other[1]:
-                return other.start()
-            depth += -1 if other[1] else 1
-            if not depth:
-                return other.end()
-        elif name in _OPEN_ENDED and own not in _INLINE and other[1]:
-            return other.start()
-    return tag.end()
+    return bool((_NOISE_WITHIN if inside else _NOISE).search(hints)) or bool(_HIDDEN.search(attributes))
+
+
+def _without_heads(page: str) -> str:
+    kept, at = [], 0
+    while (start := _HEAD.search(page, at)) and (end := _HEAD_END.search(page, start.end())):
+        kept.append(page[at:start.start()])
+        at = end.end()
+    return " ".join([*kept, page[at:]])
+
+
+def element_ends(tags: list[re.Match]) -> list[int]:
+    """Where the element of every start tag ends; its start tag's end if it is empty or never closed.
+
+    A block's end tag closes the innermost open block of its name and all blocks within; of these only
+    paragraphs, items and cells count as closed, just before it. They also end where a sibling of
+    their name starts. Inline elements pair by name alone, across blocks too.
+    """
+    ends = [tag.end() for tag in tags]
+    blocks: list[tuple[int, str]] = []
+    count: defaultdict[str, int] = defaultdict(int)
+    inline: defaultdict[str, list[int]] = defaultdict(list)
+
+    def close_innermost(place: int):
+        i, name = blocks.pop()
+        count[name] -= 1
+        if name in _OPEN_ENDED:
+            ends[i] = place
+
+    for i, tag in enumerate(tags):
+        name = tag[2].lower()
+        if name in _INLINE:
+            if not tag[1]:
+                inline[name].append(i)
+            elif inline[name]:
+                ends[inline[name].pop()] = tag.end()
+        elif tag[1]:
+            if count[name]:
+                while blocks[-1][1] != name:
+                    close_innermost(tag.start())
+                ends[blocks.pop()[0]] = tag.end()
+                count[name] -= 1
+        elif name not in _VOID and not tag[3].rstrip().endswith("/"):
+            if name in _OPEN_ENDED and blocks and blocks[-1][1] == name:
+                close_innermost(tag.start())
+            blocks.append((i, name))
+            count[name] += 1
+    return ends
 
 
 def _holds_text(tag: re.Match, name: str, end: int, mains: list[int], depth: int) -> bool:
     """Whether the unwanted element up to `end` holds an article or main that is not beside the text.
 
-    `mains` are the places of all such start tags, and `depth` of them are open. Comments are beside it,
-    if the page has others elsewhere.
+    `mains` are the places of all such start tags, and `depth` of them are open. Comments are beside it
+    within one that is open, and if the page has others elsewhere.
     """
     held = bisect_left(mains, end) - bisect_left(mains, tag.end())
     if not held or (depth and name in _BESIDE):
         return False
     hints = " ".join(a or b or c for a, b, c in _HINTS.findall(tag[3]))
+    if depth and _COMMENTS.search(hints):
+        return False
     return held + depth == len(mains) or not _COMMENT.search(hints)
 
 
 def lines_of(page: str) -> tuple[list[str], list[int], list[bool]]:
     """Lines, their lengths outside links, and whether each stands in an article or main element."""
-    page = _HEAD.sub(" ", _RAW.sub(" ", page))
-    mains = [t.start() for t in _MAIN_TAG.finditer(page) if not _unwanted(t[1].lower(), t[2], False)]
+    page = _without_heads(_RAW.sub(" ", page))
+    tags = list(_TAG.finditer(page))
+    ends = element_ends(tags)
+    mains = [t.start() for t in tags if not t[1] and t[2].lower() in _MAIN and not _unwanted(t[2].lower(), t[3], False)]
     lines, sizes, within = [], [], []
     text: list[str] = []
     linked = links = main = 0
@@ -114,20 +165,21 @@ def lines_of(page: str) -> tuple[list[str], list[int], list[bool]]:
         text.clear()
         linked = 0
 
-    at = 0
-    while True:
-        tag = _TAG.search(page, at)
-        piece = page[at:tag.start() if tag else len(page)]
+    def add(piece: str):
+        nonlocal linked
         if piece:
             text.append(piece)
             if links:
                 linked += len(" ".join(unescape(piece).split()))
-        if not tag:
-            break
+
+    at = 0
+    for tag, end in zip(tags, ends, strict=True):
+        if tag.start() < at:
+            continue  # in an element that was taken out
+        add(page[at:tag.start()])
         name, closing = tag[2].lower(), bool(tag[1])
         at = tag.end()
         if not closing and _unwanted(name, tag[3], main > 0):
-            end = _skip(page, tag, name)
             if (end > at or name in _DROPPED) and not _holds_text(tag, name, end, mains, main):
                 if name not in _INLINE:
                     end_line()
@@ -144,6 +196,7 @@ def lines_of(page: str) -> tuple[list[str], list[int], list[bool]]:
             links = 0
             if name in _MAIN:
                 main = max(0, main - 1) if closing else main + 1
+    add(page[at:])
     end_line()
     return lines, sizes, within
 
@@ -164,23 +217,23 @@ def regions(sizes: list[int]) -> list[tuple[int, int, int]]:
 
 
 def main_text(page: str | None) -> str:
-    """Text of the article of a page, its blocks joined by one space; empty for null, empty and text-free pages.
-
-    Where an article or main element holds text outside links, the text is all that such elements hold.
-    """
+    """Text of the article of a page, its blocks joined by one space; empty for null, empty and text-free pages."""
     if not page:
         return ""
     lines, sizes, within = lines_of(page)
-    marked = [line for line, w in zip(lines, within, strict=True) if w and line]
-    if any(w and s for w, s in zip(within, sizes, strict=True)):
-        return " ".join(marked)
+    marked = any(w and s for w, s in zip(within, sizes, strict=True))
+    if marked:
+        sizes = [len(line) if w else s for line, s, w in zip(lines, sizes, within, strict=True)]
     found = regions(sizes)
-    if not found:
-        return " ".join(marked)
-    least = min(SURGE, max(peak for _, _, peak in found))
-    accepted = [i for i, (_, _, peak) in enumerate(found) if peak >= least]
+    if marked:
+        accepted = [i for i, (first, last, _) in enumerate(found) if any(within[first:last])]
+    else:
+        least = min(SURGE, max((peak for _, _, peak in found), default=0))
+        accepted = [i for i, (_, _, peak) in enumerate(found) if peak >= least]
+    if not accepted:  # links only: what is marked, if anything
+        return " ".join(line for line, w in zip(lines, within, strict=True) if w and line)
     kept = found[max(0, accepted[0] - 1):accepted[-1] + 2]
-    return " ".join(line for first, last, _ in kept for line in lines[first:last] if line)
+    return " ".join(lines[i] for first, last, _ in kept for i in range(first, last) if lines[i] and (within[i] or not marked))
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

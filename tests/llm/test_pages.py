@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import io
 import random
+import time
 from collections import Counter
 
 import pytest
@@ -136,3 +137,92 @@ def test_links_of_a_marked_article_stay():
     page = "<article><h1><a href=x>Title</a></h1><p>Its text.</p><p><a href=y>Its source</a></p></article>"
     assert html.main_text(page) == "Title Its text. Its source"
     assert html.main_text("<main><a href=x>Only a link</a></main>") == "Only a link"
+
+
+def test_unclosed_elements_take_linear_time():
+    starts = ("<div class=ad>x ", "<label>x ", '<span class="share">x ', "<p class=ad>x ", "<li class=ad>x<ul>", "</div><section class=ad>",
+              "<article class=x>y ", "<head>", "<!", "<!--", '<b "', "<b '\"", "<script x=", "<a href=x>y ")
+    began = time.monotonic()
+    for start in starts:
+        html.main_text(start * 100_000)
+    assert time.monotonic() - began < 2 * len(starts)
+    assert html.main_text("<div class=ad>x " * 3) == "x x x"
+
+
+def test_words_of_an_article_stay():
+    page = ("<article><p class=legal>The law.</p><p class=reply>Its answer.</p><p class=search>We looked.</p><div class=tags>Red</div>"
+            "<p>Take <label>this</label> now.</p><header class=header><h2>Part two</h2></header><p class=notice>A notice.</p>"
+            "<div class=ad>buy</div><div class=comments>I disagree.</div><form><label>Name</label></form><nav>menu</nav></article>")
+    assert html.main_text(page) == "The law. Its answer. We looked. Red Take this now. Part two"
+
+
+def test_ends_of_elements():
+    page = "<div><p class=ad>one<p>two</div><ul><li class=ad>a<ul><li>b</ul>c<li>d</ul><b class=ad><i>x</b></i></section><section>"
+    tags = list(html._TAG.finditer(page))
+    ends = html.element_ends(tags)
+    shown = [page[t.start():e] for t, e in zip(tags, ends, strict=True) if not t[1]]
+    assert shown == ["<div><p class=ad>one<p>two</div>", "<p class=ad>one", "<p>two", page[page.index("<ul>"):page.index("<b ")],
+                     "<li class=ad>a<ul><li>b</ul>c", "<ul><li>b</ul>", "<li>b", "<li>d", "<b class=ad><i>x</b>", "<i>x</b></i>", "<section>"]
+
+
+def slow_windows(sizes):
+    """Lines under a window that holds text, by looking at every window anew."""
+    covered = [any(sizes[j] for j in range(max(0, i - html.BLOCK + 1), i + 1)) for i in range(len(sizes))]
+    found = []
+    for i, c in enumerate(covered):
+        if c and (not i or not covered[i - 1]):
+            last = next((j for j in range(i, len(covered)) if not covered[j]), len(covered))
+            found.append((i, last, max(sum(sizes[max(0, j - html.BLOCK + 1):j + 1]) for j in range(i, last))))
+    return found
+
+
+def test_windows_against_brute_force():
+    rng = random.Random(8)
+    for _ in range(500):
+        sizes = [rng.choice((0, 0, 0, 5, 40, 200)) for _ in range(rng.randrange(0, 40))]
+        assert html.regions(sizes) == slow_windows(sizes)
+
+
+BESIDE = ("<nav><ul><li><a href=x>{}</a><li>{}</ul></nav>", "<div class=ad><div><p>{}</div>{}</div>", "<!-- {} --><script>'</p>{}'</script>",
+          "<aside><p>{}<p>{}</aside>", "<form><p>{} <input value='{}'></form>", "<section id=comments><article><p>{}</article>{}</section>",
+          "<footer>{}<div>{}</div></footer>", "<div style='display: none'>{} {}</div>", "<style>{}{}</style>")
+BLOCKS = ("<p>{}</p>", "<p>{}", "<h2>{}</h2>", "<div><b>{}</b></div>", "<ul><li>{}</ul>", "<blockquote><p><i>{}</i></blockquote>",
+          "<table><tr><td>{}</table>", "<div><section><p>{}</section></div>")
+
+
+def made_page(rng, wrapper):
+    """A page of nested blocks and unwanted elements, and the text its making gives it."""
+    def words(n):
+        return " ".join(rng.choice(("alpha", "b&amp;c", "&lt;d&gt;", "é", "f\n  g")) for _ in range(n))
+
+    body, text = [], []
+    for _ in range(rng.randrange(1, 12)):
+        if rng.random() < 0.4:
+            body.append(rng.choice(BESIDE).format(words(rng.randrange(1, 40)), words(3)))
+        else:
+            said = words(rng.randrange(20, 60))
+            body.append(rng.choice(BLOCKS).format(said))
+            text.append(said)
+    around = [rng.choice(BESIDE).format(words(30), words(3)) for _ in range(4)]
+    page = f"<html><head><title>{words(9)}</title></head><body>{around[0]}{around[1]}{wrapper[0]}{''.join(body)}{wrapper[1]}{around[2]}{around[3]}"
+    plain = " ".join(text).replace("&lt;", "<").replace("&gt;", ">").replace("&amp;", "&")
+    return page, " ".join(plain.split())
+
+
+def test_made_pages():
+    rng = random.Random(21)
+    for _ in range(400):
+        for wrapper in (("<article>", "</article>"), ("<div class='layout with-sidebar'><main>", "</main></div>"), ("<div>", "</div>")):
+            page, text = made_page(rng, wrapper)
+            comments = "<section id=comments><article>" in page
+            if wrapper[0] == "<div>" and comments:
+                page = page.replace("<article>", "<div>").replace("</article>", "</div>")
+            assert html.main_text(page) == text, page
+
+
+def test_markers_do_not_decide_on_the_given_pages(spark):
+    """The windows alone give the same texts as with article tags."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect()
+    for (page,) in pages:
+        bare = page.replace("<article>", "<div>").replace("</article>", "</div>")
+        assert "<article>" in page and html.main_text(bare) == html.main_text(page)
