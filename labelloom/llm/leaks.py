@@ -11,6 +11,9 @@ A band can only agree where the window holds the item's smallest shingle under t
 documents are first narrowed to the places where a shingle is one of those smallest ones, by a lookup
 in the items' signatures, and only windows around such places get their minimum computed. Candidates
 are then verified exactly, on all distinct shingles of the whole document.
+
+An item of fewer than five words has no shingle of five; its one run of all its words is looked up among
+the documents' runs of that length.
 """
 
 from __future__ import annotations
@@ -38,11 +41,14 @@ def with_runs(df: DataFrame, text: str, keep: dict[str, str]) -> DataFrame:
     own, so that they are split once and not for every run.
     """
     kept = [F.col(old).alias(new) for old, new in keep.items()]
-    lowered = F.lower(F.coalesce(F.col(text), F.lit("")))
-    split = df.select(*kept, F.filter(F.split(lowered, SPACES), lambda w: w != "").alias("words"))
+    split = df.select(*kept, _words_of(F.col(text)).alias("words"))
     return split.select(*keep.values(), _runs_of(F.col("words")).alias("runs"))
 
 
+def _words_of(text: Column) -> Column:
+    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), SPACES), lambda w: w != "")
+
+
 def _runs_of(words: Column) -> Column:
     runs = F.transform(F.sequence(F.lit(1), F.size(words) - SHINGLE + 1),
                        lambda i: F.xxhash64(*(F.element_at(words, (i + j).cast("int")) for j in range(SHINGLE))))
@@ -67,15 +73,17 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     """(doc_id, item_id, n_item, n_shared, containment) of every item found in a document.
 
     Found is an item of which at least 75 % of the distinct 5-word shingles occur in the document.
-    Items with fewer words are one shingle, which a document holds only if it has just those words.
+    Items with fewer words are one shingle, which a document holds if these words follow each other in it.
     Null and empty texts and items match nothing; ids may be null or repeat, equal rows give one
     result. Other columns are ignored.
     """
     size = F.size("set")
     given = items.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text"))
+    documents = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    worded = given.select("item_id", "text", F.size(_words_of(F.col("text"))).alias("n_words"))
     sized = land(
-        with_runs(given, "text", {"item_id": "item_id"}).select("item_id", F.array_distinct("runs").alias("set"))
-        .filter(size > 0)
+        with_runs(worded.filter(F.col("n_words") >= SHINGLE), "text", {"item_id": "item_id"})
+        .select("item_id", F.array_distinct("runs").alias("set")).filter(size > 0)
         .withColumn("most", F.greatest(F.lit(SMALLEST), F.pow(2, F.ceil(F.log2(size)))).cast("int"))
         .dropDuplicates(), "items")
     banded = sized.withColumn("band", F.explode(F.sequence(F.lit(1), bands_for(F.col("most")))))
@@ -85,7 +93,6 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
                       .select("item_id", "most", "band", "s.m", "s.h"), "signatures")
     wanted = signatures.select("h", "most", "band", "m").distinct()
 
-    documents = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     shingled = with_runs(documents, "text", {"doc_id": "doc_id"})
     small = signatures.count() * 32 <= BROADCAST_BYTES
     probe = F.broadcast if small else (lambda df: df)
@@ -119,9 +126,29 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
                    i["item_id"].alias("item_id"), F.size(i["set"]).cast("long").alias("n_item"),
                    F.size(F.array_intersect(F.col("held"), i["set"])).cast("long").alias("n_shared")))).alias("r"))
                .select("doc_id", "r.*"))
-    return (checked.filter(F.col("n_shared") * 100 >= F.col("n_item") * int(SHARE * 100))
-            .groupBy("doc_id", "item_id", "n_item").agg(F.max("n_shared").alias("n_shared"))
-            .withColumn("containment", F.col("n_shared") / F.col("n_item")))
+    found = (checked.filter(F.col("n_shared") * 100 >= F.col("n_item") * int(SHARE * 100))
+             .groupBy("doc_id", "item_id", "n_item").agg(F.max("n_shared").alias("n_shared")))
+    short = _short_leaks(documents, worded.filter(F.col("n_words").between(1, SHINGLE - 1)))
+    return (found if short is None else found.unionByName(short)).withColumn("containment", F.col("n_shared") / F.col("n_item"))
+
+
+def _short_leaks(documents: DataFrame, items: DataFrame) -> DataFrame | None:
+    """(doc_id, item_id, n_item, n_shared) of items of fewer than SHINGLE words; None if there are no such items."""
+    short = land(items.select("item_id", "n_words", F.xxhash64(_words_of(F.col("text"))).alias("run")).distinct(), "short")
+    lengths = sorted(r["n_words"] for r in short.select("n_words").distinct().collect())  # at most SHINGLE - 1 numbers
+    if not lengths:
+        return None
+    words = documents.select("doc_id", _words_of(F.col("text")).alias("words"))
+
+    def runs_of(k: int) -> Column:
+        starts = F.when(F.size("words") >= k, F.sequence(F.lit(1), F.size("words") - k + 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.struct(
+            F.lit(k).alias("n_words"), F.xxhash64(F.slice(F.col("words"), i, k)).alias("run")))
+
+    runs = F.concat(*(runs_of(k) for k in lengths))
+    held = words.select("doc_id", F.explode_outer(runs).alias("r")).select("doc_id", "r.n_words", "r.run")
+    return (held.join(light(short), ["n_words", "run"]).select("doc_id", "item_id").distinct()
+            .select("doc_id", "item_id", F.lit(1).cast("long").alias("n_item"), F.lit(1).cast("long").alias("n_shared")))
 
 
 def drop_leaking(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -56,7 +56,20 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(table(spark, sf_dir, "documents"))
 
 
-@query("op9_benchmark_decontamination")
+@query("op9_benchmark_decontamination", """
+with i as (select distinct item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as w
+           from benchmark),
+s as (select row_number() over () as item, item_id, w, least(5, len(w)) as k from i where len(w) > 0),
+x as (select item, item_id, k, unnest(list_distinct(list_transform(range(1, len(w) - k + 2), lambda a: array_to_string(w[a:a + k - 1], ' '))))
+      as run from s),
+n as (select item, count(*) as n_item from x group by 1),
+d as (select row_number() over () as doc, doc_id,
+      list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as w from documents),
+r as (select doc, doc_id, k, unnest(list_distinct(list_transform(range(1, len(w) - k + 2), lambda a: array_to_string(w[a:a + k - 1], ' '))))
+      as run from d, (select distinct k from s) where len(w) >= k),
+m as (select doc, doc_id, item, item_id, count(*) as n_shared from r join x using (k, run) group by all)
+select doc_id, item_id, n_item, max(n_shared) as n_shared, max(n_shared) / n_item as containment
+from m join n using (item) where n_shared * 100 >= n_item * 75 group by doc_id, item_id, n_item""")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from labelloom.llm.leaks import leaks
 
@@ -105,7 +118,19 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
-@query("op10_warc_index")
+@query("op10_warc_index", """
+with p as (select page_id, url, octet_length(encode(coalesce(html, ''))) as bytes, sha256(coalesce(html, '')) as digest from pages),
+f as (select digest, min(page_id) as first_id from p where bytes >= 100 group by 1 having count(*) > 1 and min(page_id) is not null),
+u as (select *, regexp_extract(url, '^[^:/?#]+://(?:[^/?#]*@)?([^/?#:]*)(?::[0-9]*)?([^?#]*)(?:[?]([^#]*))?', ['host', 'path', 'query']) as x
+      from p left join f using (digest)),
+k as (select *, case when x.host like 'www.%' then substr(lower(x.host), 5) else lower(x.host) end as host from u)
+select page_id, url, array_to_string(list_reverse(string_split(host, '.')), ',') || ')' ||
+       case when x.path = '' then '/' else lower(x.path) end || case when x.query = '' then '' else '?' || lower(x.query) end as url_key,
+       strftime(make_timestamp(((coalesce(page_id, 0) % 253402300800 + 253402300800) % 253402300800) * 1000000), '%Y-%m-%dT%H:%M:%SZ')
+       as capture_time, bytes as payload_bytes, digest as payload_digest,
+       case when first_id is null or page_id = first_id then 'response' else 'revisit' end as record_type,
+       case when page_id <> first_id then first_id end as refers_to
+from k""")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from labelloom.llm.warc import archive_round_trip
 

@@ -289,3 +289,15 @@ def test_leaks_go_by_row(spark):
     rows = [(None, text), (None, clean), (None, None), (7, "x " + text), (7, clean), (7, clean), (8, text)]
     kept = leaks.drop_leaking(table(spark, rows), given)
     assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter([(None, clean), (None, None), (7, clean), (7, clean)])
+
+
+def test_short_items_are_found_inside_long_texts(spark):
+    long = " ".join(f"w{i}" for i in range(2000))
+    given = spark.createDataFrame([(1, "just four words here"), (2, "w7\tW8"), (3, "w8 w7"), (4, "alone"), (4, "alone"), (5, " "), (6, None)],
+                                  "item_id long, text string")
+    rows = [(1, long + " JUST  four words\nhere " + long), (2, "just four words"), (3, "alone"), (3, "alone"), (4, None), (5, ""),
+            (None, "not alone here"), (6, "w7 w8")]
+    found = Counter(tuple(r) for r in leaks.leaks(table(spark, rows), given).collect())
+    assert found == Counter((d, i, 1, 1, 1.0) for d, i in ((1, 1), (1, 2), (3, 4), (None, 4), (6, 2)))
+    kept = leaks.drop_leaking(table(spark, rows), given)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [2, 4, 5]
