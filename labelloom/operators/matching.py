@@ -27,10 +27,10 @@ def fuzzy_matches(counts: DataFrame, percent_threshold: float, min_similarity: f
     """(text, match, score) for every distinct text; `counts` is (text, count).
 
     Texts whose count exceeds the given percent of the number of *distinct* texts are majors and
-    match themselves; each other text takes the most similar major, or `none` below the cutoff. No
-    sharing of tokens is needed for a match, so nothing can be skipped: texts and majors are cut
-    into bounded blocks, every block of texts meets every block of majors in some task, and a task
-    keeps one candidate per text.
+    match themselves; each other text takes the most similar major, or `none` below the cutoff. A match
+    needs no shared token, so every block of texts meets every block of majors in some task; there a
+    token index and bounds by length and characters leave few pairs to be compared, and a task keeps
+    one candidate per text.
     """
     counts = save_point(counts)  # read several times below; one row per distinct text
     distinct = counts.agg(F.count("*").alias("n")).scalar()

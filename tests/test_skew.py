@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from labelloom.functions.similarity import pair_score
+from labelloom.functions.similarity import TargetBlock, pair_score
 from labelloom.operators import matching, ranking, sampling
 from labelloom.operators.frontier import pareto_front
 
@@ -157,6 +157,39 @@ def test_similarity_against_textbook():
             assert pair_score(frozenset(a.split()), frozenset(b.split())) == pytest.approx(_slow_score(a, b))
 
 
+def _slow_best(text, targets, cutoff):
+    scores = [pair_score(frozenset(text.split()), frozenset(t.split())) for t in targets]
+    best = max(range(len(targets)), key=lambda i: (scores[i], -i))
+    return (best, scores[best]) if scores[best] >= cutoff else None
+
+
+@pytest.mark.parametrize("cutoff", [0.0, 35.0, 60.0, 100.0])
+def test_pruned_matches_are_those_of_all_pairs(cutoff):
+    rng = np.random.default_rng(4)
+    letters = list("abcdeé`fg ")
+    texts = ["", "a", "x" * 200, "long " * 40 + "tail", "tail long"] + ["".join(rng.choice(letters, size=rng.integers(1, 90))) for _ in range(150)]
+    targets = ["", "tail", "x" * 150] + ["".join(rng.choice(letters, size=rng.integers(1, 90))) for _ in range(60)]
+    block = TargetBlock(targets)
+    for text in texts + _texts(30):
+        got, want = block.best(text, cutoff), _slow_best(text, targets, cutoff)
+        assert (got and (got[0], pytest.approx(got[1]))) == want
+
+
+def test_few_pairs_are_compared():
+    rng = np.random.default_rng(9)
+    words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), size=rng.integers(3, 10))) for _ in range(400)]
+    targets = sorted({" ".join(rng.choice(words, size=rng.integers(2, 6))) for _ in range(500)})
+    texts = []
+    for i in range(300):  # words added, lost and misspelt, and strangers
+        own = rng.choice(targets).split()
+        own += [str(rng.choice(words))] * (i % 3 == 0)
+        texts.append(" ".join(w[:2] + "z" + w[3:] if i % 2 else w for w in own) if i % 5 else " ".join(rng.choice(words, size=3)))
+    block = TargetBlock(targets)
+    for text in texts:
+        assert block.best(text, 60) == _slow_best(text, targets, 60)
+    assert 0 < block.scored < len(texts) * len(targets) / 10
+
+
 def test_fuzzy_matches_in_blocks(spark, monkeypatch):
     texts = _texts(60)
     counts = {t: (40 if i % 4 == 0 else 1 + i % 3) for i, t in enumerate(texts)}
