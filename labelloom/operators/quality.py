@@ -278,7 +278,7 @@ def worst_half(issues: DataFrame) -> DataFrame:
     placed = save_point(ordered.select("quality", (F.col("running_sum") - F.col("n")).alias("before"), F.col("running_sum").alias("upto")))
     whole = placed.filter(F.col("upto") <= half).agg(F.max("quality").alias("q")).scalar()
     cut = placed.filter((F.col("before") < half) & (F.col("upto") > half))
-    tied = flagged.filter(F.col("quality") == cut.agg(F.max("quality").alias("q")).scalar())
+    tied = save_point(flagged.filter(F.col("quality") == cut.agg(F.max("quality").alias("q")).scalar()))
     ranked = running(range_bucketed(tied, "case_id"), [], F.col("_range"), [F.col("case_id")])
     room = half - cut.agg(F.max("before").alias("b")).scalar()
     return (flagged.filter(F.col("quality") <= whole).select("case_id")

@@ -18,6 +18,8 @@ from labelloom.session import save_point
 
 SALTS = 256
 RANGE_STEP = 16
+# Rows of one range of a whole table, and of one quantile's bracket, which a single task sorts.
+BUCKET_ROWS = 1_000_000
 
 
 def first_per(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -56,26 +58,34 @@ def hash_bucket(digest: str | Column, digits: int = 3) -> Column:
     return F.substring(column, 1, digits)
 
 
-def range_bucketed(df: DataFrame, column: str) -> DataFrame:
-    """Add `_range`, an order-preserving bucket of a numeric column, about equally filled.
+def range_bucketed(saved: DataFrame, column: str) -> DataFrame:
+    """Add `_range`, an order-preserving bucket of a numeric column, of about BUCKET_ROWS rows at most.
 
-    The cut points are approximate quantiles read once through a scalar subquery; they only balance
-    the buckets, so results do not depend on how good they are. A row looks up its bucket in two
-    steps of `RANGE_STEP` comparisons.
+    The cut points are approximate quantiles; they only balance the buckets, so results do not depend on
+    how good they are. A first level of cuts is read once through a scalar subquery, and a row looks up its
+    place in two steps of `RANGE_STEP` comparisons. The row count says into how many parts each of these
+    ranges is cut again, by quantiles of its own; repeated values stay together. `saved` is read several times.
     """
     buckets = RANGE_STEP * RANGE_STEP
     shares = [i / buckets for i in range(1, buckets)]
-    cuts = df.select(F.percentile_approx(column, shares, 10_000).alias("fine"))
+    cuts = saved.select(F.percentile_approx(column, shares, 10_000).alias("fine"))
     every = F.array(*[F.get("fine", F.lit(RANGE_STEP * i - 1)) for i in range(1, RANGE_STEP)])
     both = cuts.select(F.struct("fine", every.alias("coarse")).alias("cuts")).scalar()
 
     def below(values: Column) -> Column:
-        return F.size(F.filter(values, lambda cut: cut < F.col(column)))
+        return F.coalesce(F.size(F.filter(values, lambda cut: cut < F.col(column))), F.lit(0))
 
-    coarse = df.withColumn("_cuts", both).withColumn("_coarse", below(F.col("_cuts.coarse")))
+    coarse = saved.withColumn("_cuts", both).withColumn("_coarse", below(F.col("_cuts.coarse")))
     start = F.col("_coarse") * RANGE_STEP
     fine = below(F.slice(F.col("_cuts.fine"), start + 1, RANGE_STEP - 1))
-    return coarse.withColumn("_range", start + fine).drop("_cuts", "_coarse")
+    ranged = coarse.withColumn("_range", (start + fine).cast("long")).drop("_cuts", "_coarse")
+    parts = -(-saved.count() // (buckets * BUCKET_ROWS))
+    if parts <= 1:
+        return ranged
+    own = ranged.groupBy(F.col("_range").alias("_of")).agg(
+        F.percentile_approx(column, [i / parts for i in range(1, parts)], 100 * parts).alias("_own"))
+    joined = ranged.join(F.broadcast(own), ranged["_range"] == own["_of"])  # one row for each of 256 ranges
+    return joined.withColumn("_range", F.col("_range") * parts + below(F.col("_own"))).drop("_of", "_own")
 
 
 def running(
@@ -142,31 +152,57 @@ def running_mean(df: DataFrame, order: str, column: str, every: int | None = Non
     return result if every is None else result.filter(F.col("rank") % every == 0)
 
 
+def _brackets(data: DataFrame, probs: Sequence[float], accuracy: int) -> tuple[int, list[tuple[float | None, float | None]]]:
+    """The number of values `_v`, and for each prob two values around its rank with few different ones between them."""
+    slack = 3.0 / accuracy
+    edges = [min(max(p + side * slack, 0.0), 1.0) for p in probs for side in (-1, 1)]
+    n, found = data.agg(F.count("*"), F.percentile_approx("_v", edges, accuracy)).first()
+    if not n:
+        return 0, [(None, None)] * len(probs)
+    brackets = [(found[2 * i], found[2 * i + 1]) for i in range(len(probs))]
+    # Edges are off by n / accuracy ranks each, so a bracket spans at most 8 n / accuracy ranks inside its edges.
+    bound = 8 * n // accuracy
+    while bound > BUCKET_ROWS:
+        inside = [F.when((F.col("_v") > lo) & (F.col("_v") < hi), F.col("_v")) for lo, hi in brackets]
+        counts = data.agg(*[c for (lo, _), v in zip(brackets, inside, strict=True)
+                            for c in (F.count_if(F.col("_v") <= lo), F.count(v))]).first()
+        sketches = []
+        for i, p in enumerate(probs):
+            # Share of the wanted rank among the values strictly inside.
+            share = (p * (n - 1) - counts[2 * i]) / max(1, counts[2 * i + 1] - 1)
+            around = [min(max(share + side * slack, 0.0), 1.0) for side in (-1, 1)]
+            sketches.append(F.percentile_approx(inside[i], around, accuracy))
+        narrowed = data.agg(*sketches).first()
+        for i, (lo, hi) in enumerate(brackets):
+            if not narrowed[i]:
+                continue
+            # An edge that the sketch had to clip stays where it was.
+            share = (probs[i] * (n - 1) - counts[2 * i]) / max(1, counts[2 * i + 1] - 1)
+            brackets[i] = (narrowed[i][0] if share - slack > 0 else lo, narrowed[i][1] if share + slack < 1 else hi)
+        widest = max(counts[1::2])
+        if 8 * widest // accuracy + 2 >= bound:
+            break
+        bound = 8 * widest // accuracy + 2
+    return n, brackets
+
+
 def exact_quantile(
     df: DataFrame, column: str, probs: Sequence[float], accuracy: int = 10_000
 ) -> DataFrame:
     """Linear-interpolation quantiles, exact, one row (prob, quantile) per requested prob.
 
-    A mergeable sketch brackets each quantile; a second pass counts the distinct values inside the
-    bracket and summarises the rows on either side, so only a sliver of pre-counted values is ever
-    sorted. A bracket that misses its rank (which the sketch's error bound rules out) raises an error.
-    `df` is read twice, so pass a saved table if its values come from a float aggregate.
+    Mergeable sketches bracket each quantile: one of all values, then fresh ones of the values inside the
+    brackets, all quantiles in one pass, until no bracket can hold more than BUCKET_ROWS different values.
+    A last pass counts the distinct values inside the brackets and summarises the rows on either side, so
+    only a sliver of pre-counted values is ever sorted. A bracket that misses its rank (which the sketch's
+    error bound rules out) raises an error. `df` is read in every pass, so pass a saved table if its values
+    come from a float aggregate.
     """
     data = df.select(F.col(column).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    slack = 3.0 / accuracy
-    edges = [min(max(p + side * slack, 0.0), 1.0) for p in probs for side in (-1, 1)]
-    sketch = data.agg(F.count("*").alias("n"), F.percentile_approx("_v", edges, accuracy).alias("edges"))
-    brackets = sketch.select(
-        F.array(*[
-            F.struct(
-                "n",
-                F.lit(float(p)).alias("prob"),
-                F.get("edges", F.lit(2 * i)).alias("lo"),
-                F.get("edges", F.lit(2 * i + 1)).alias("hi"),
-            )
-            for i, p in enumerate(probs)
-        ]).alias("brackets")
-    ).scalar()
+    n, brackets = _brackets(data, [float(p) for p in probs], accuracy)
+    brackets = F.array(*[
+        F.struct(F.lit(n).cast("long").alias("n"), F.lit(p).alias("prob"), F.lit(lo).cast("double").alias("lo"),
+                 F.lit(hi).cast("double").alias("hi")) for p, (lo, hi) in zip(map(float, probs), brackets, strict=True)])
     side = F.when(F.col("_v") < F.col("lo"), -1).when(F.col("_v") > F.col("hi"), 1).otherwise(0)
     counted = (
         data.select("_v", F.inline(brackets))

@@ -228,3 +228,71 @@ def test_pareto_front_in_chunks(spark, monkeypatch, chunk):
         if not any(all(x >= y for x, y in zip(q[1:], p[1:])) and q[1:] != p[1:] for q in points)
     }
     assert {r.id for r in pareto_front(df, "id", ["a", "b", "c"]).collect()} == want
+
+
+def test_pareto_front_ranks_nulls_last(spark, monkeypatch):
+    import labelloom.operators.frontier as frontier
+
+    inf, nan = float("inf"), float("nan")
+    values = [None, nan, -inf, -2.5, -0.0, 0.0, 1e-300, 7.0, inf]
+    points = [(i, a, b) for i, (a, b) in enumerate((a, b) for a in values for b in values)]
+    points += [(100, 7.0, 7.0), (101, None, None)]
+    rank = {None: 0, -inf: 1, -2.5: 2, 0.0: 3, 1e-300: 4, 7.0: 5, inf: 6}
+
+    def place(p):
+        return [rank[None if x is None or x != x else x] for x in p[1:]]
+
+    for upto in (81, 100, len(points)):
+        given = [p for p in points if p[1] != inf and p[2] != inf or p[0] % 7 == 0][:upto]
+        want = {p[0] for p in given if not any(
+            all(x >= y for x, y in zip(place(q), place(p))) and place(q) != place(p) for q in given)}
+        df = spark.createDataFrame(given, "id long, a double, b double")
+        for chunk in (20_000, 5):
+            monkeypatch.setattr(frontier, "CANDIDATES_PER_CHUNK", chunk)
+            assert {r.id for r in pareto_front(df, "id", ["a", "b"]).collect()} == want
+
+
+def test_cells_of_a_long_front_seldom_meet():
+    from labelloom.operators.frontier import meeting_cells, order_keys
+
+    rng = np.random.default_rng(1)
+    x = rng.random(1_000_000)
+    for points, most in ((np.stack([x, -x], axis=1), 0.06), (np.stack([x, rng.random(len(x))], axis=1), 0.003)):
+        side = 22
+        place = np.stack([np.searchsorted(np.quantile(c, np.arange(1, side) / side), c) for c in points.T])
+        cell = place[0] * side + place[1]
+        names, sizes = np.unique(cell, return_counts=True)
+        keys = order_keys(points)
+        order = np.argsort(cell, kind="stable")
+        starts = np.searchsorted(cell[order], names)
+        pairs = meeting_cells(np.minimum.reduceat(keys[order], starts), np.maximum.reduceat(keys[order], starts))
+        size = dict(enumerate(sizes.tolist()))
+        assert sum(size[a] * size[b] for a, b in pairs) < most * len(x) ** 2
+
+
+def test_ranges_are_cut_by_row_count(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "BUCKET_ROWS", 50)
+    df = spark.range(100_000).select((F.col("id") * 37 % 100_003).alias("x"), F.lit(1.0).alias("v"))
+    sizes = ranking.range_bucketed(df, "x").groupBy("_range").agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+    found = sizes.orderBy("_range").collect()
+    assert max(r.n for r in found) <= 100 and sum(r.n for r in found) == 100_000
+    assert all(a.hi < b.lo for a, b in zip(found, found[1:]))
+    means = ranking.running_mean(df.select("x", F.col("x").alias("y")), "x", "y", every=997).collect()
+    xs = np.sort((np.arange(100_000) * 37) % 100_003)
+    assert {r["rank"]: r.running_mean for r in means} == {
+        k: pytest.approx(xs[:k].mean()) for k in range(997, 100_001, 997)}
+
+
+def test_quantiles_narrow_their_brackets(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    probs = [0.0, 0.001, 0.3, 0.5, 0.77, 1.0]
+    for values in (rng.random(60_000), np.round(rng.normal(size=60_000), 2), np.r_[np.zeros(50_000), rng.random(10_000)], np.arange(3.0)):
+        df = spark.createDataFrame([(float(x),) for x in values], "x double").repartition(4)
+        data = df.select(F.col("x").alias("_v")).cache()
+        monkeypatch.setattr(ranking, "BUCKET_ROWS", 60)
+        n, brackets = ranking._brackets(data, probs, 400)
+        assert n == len(values)
+        for lo, hi in brackets:
+            assert len(np.unique(values[(values > lo) & (values < hi)])) <= 60
+        got = {r.prob: r.quantile for r in ranking.exact_quantile(df, "x", probs, 400).collect()}
+        assert got == {p: pytest.approx(np.quantile(values, p), abs=1e-12) for p in probs}
