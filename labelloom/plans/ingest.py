@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from labelloom.plans.registry import query
 from labelloom.plans.views import Views, with_views
-from labelloom.session import scratch_path
+from labelloom.session import save_point, scratch_path
 from labelloom.sources import archives, documents, tables
 from labelloom.streaming import incremental
 
@@ -105,26 +105,29 @@ def _(v: Views):
 
 
 def _zipped(v: Views) -> DataFrame:
-    """One archive per document with its text and its source as members."""
-    import io
+    """One archive file per document with its text and its source as members: (case_id, path)."""
     import zipfile
 
     import pandas as pd
+    from pyarrow import fs
+
+    folder = scratch_path(v.spark, "zips")
+    store, root = (fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder.removeprefix("file:")))
+    store.create_dir(root)
 
     def pack(batches):
         for batch in batches:
             packed = []
             for doc_id, text, source in zip(batch["doc_id"], batch["text"], batch["source"]):
-                buffer = io.BytesIO()
-                with zipfile.ZipFile(buffer, "w") as archive:
+                with store.open_output_stream(f"{root}/{doc_id}.zip") as file, zipfile.ZipFile(file, "w") as archive:
                     archive.writestr("text.txt", text)
                     if doc_id % 5:
                         archive.writestr("source.txt", source)
-                packed.append((doc_id, buffer.getvalue()))
-            yield pd.DataFrame(packed, columns=["case_id", "content"])
+                packed.append((doc_id, f"{folder}/{doc_id}.zip"))
+            yield pd.DataFrame(packed, columns=["case_id", "path"])
 
     docs = v.table("documents").select("doc_id", "text", "source")
-    return docs.mapInPandas(pack, "case_id long, content binary")
+    return save_point(docs.mapInPandas(pack, "case_id long, path string"))
 
 
 def _manifest(v: Views) -> DataFrame:
@@ -135,14 +138,20 @@ def _manifest(v: Views) -> DataFrame:
 @query("extract_members", """select doc_id as case_id, 'text.txt' as member, cast(strlen(text) as integer) as bytes from documents
     union all select doc_id, 'source.txt', cast(strlen(source) as integer) from documents where doc_id % 5 <> 0""")
 def _(v: Views):
-    extracted = archives.extract_members(_zipped(v), _manifest(v))
+    extracted = archives.extract_from_files(_zipped(v), _manifest(v))
     return extracted.select("case_id", "member", F.octet_length("content").alias("bytes"))
 
 
 @query("archive_completeness", "select doc_id as case_id, cast(2 as bigint) as wanted, cast(1 as bigint) as extracted from documents where doc_id % 5 = 0")
 def _(v: Views):
     manifest = _manifest(v)
-    return archives.archive_completeness(manifest, archives.extract_members(_zipped(v), manifest))
+    return archives.archive_completeness(manifest, archives.extract_from_files(_zipped(v), manifest))
+
+
+@query("member_directory", """select doc_id as case_id, 'text.txt' as member, cast(strlen(text) as bigint) as bytes from documents
+    union all select doc_id, 'source.txt', cast(strlen(source) as bigint) from documents where doc_id % 5 <> 0""")
+def _(v: Views):
+    return archives.member_directory(_zipped(v)).select("case_id", "member", "bytes")
 
 
 # --- streams: each runs over the whole table and stops when nothing is left ---
@@ -157,13 +166,30 @@ def _stream(v: Views, table: str) -> DataFrame:
     return v.spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet").parquet(v.sf_dir)
 
 
-@query("ingest_stream", _LINES_OF_GOOD)
+@query("ingest_stream", f"""select 'part' as sink, "CaseID" as case_id, "Description" as a, "DamageCond" as b, "CoType" as c, "fVAL" as x
+    from ({_LINES_OF_GOOD})
+    union all select 'case', o_orderkey, o_orderpriority, o_orderstatus, 'm', o_totalprice from orders where o_orderkey % 50 <> 0
+    union all select 'file', o_orderkey, strftime(o_orderdate, '%Y-%m-%d'), o_orderstatus, null, cast(o_orderkey as double)
+    from orders where o_orderkey % 50 <> 0
+    union all select 'quarantine', o_orderkey, 'rejected', 'ERR', null, null from orders where o_orderkey % 50 = 0""")
 def _(v: Views):
     landing, sink = scratch_path(v.spark, "landing"), scratch_path(v.spark, "ingested")
     v.raw_json.write.parquet(landing)
     raw = v.spark.readStream.schema("doc string, files string").parquet(landing)
     incremental.ingest_stream(raw, sink, scratch_path(v.spark, "progress")).awaitTermination()
-    return v.spark.read.parquet(f"{sink}/part").drop("batch")
+    columns = {
+        "part": ("Description", "DamageCond", "CoType", "fVAL"), "case": ("Vehicle_Type", "Claim_Type", "Model", "Gross_Offer_Insurer"),
+        "file": ("FinalDate", "StdDocDesc", None, "iDOCID"), "quarantine": ("outcome", "status", None, None),
+    }
+
+    def written(name: str) -> DataFrame:
+        table = v.spark.read.parquet(f"{sink}/{name}")
+        return table.select(F.lit(name).alias("sink"), F.col("CaseID").alias("case_id"), *[
+            (F.lit(None) if source is None else F.col(source)).cast("double" if target == "x" else "string").alias(target)
+            for source, target in zip(columns[name], "abcx", strict=True)])
+
+    part, case, file, quarantine = (written(name) for name in columns)
+    return part.unionByName(case).unionByName(file).unionByName(quarantine)
 
 
 @query("first_photo_stream", with_views("""select case_id, view, doc_id, strftime(final_date, '%Y-%m-%d %H:%M:%S.%f') as taken from files
@@ -205,3 +231,25 @@ def _(v: Views):
     return metrics.select(
         F.date_format("window_start", "yyyy-MM-dd").alias("day"), "part", "tp", "tn", "fp", "fn", F.round("acc", 6).alias("acc")
     )
+
+
+@query("late_rows_stream", """with e as (select event_type as part, ts, time_bucket(interval 1 day, ts) + interval 1 day as closes, event_id % 4 as arrival from events),
+    m as (select arrival, max(ts) as latest from e group by 1),
+    s as (select a.arrival, max(b.latest) as seen from m a left join m b on b.arrival < a.arrival group by 1)
+    select part, count(*) filter (where not coalesce(closes <= seen - interval 7 day, false)) as counted,
+        count(*) filter (where coalesce(closes <= seen - interval 7 day, false)) as late, count(*) as arrived
+    from e join s using (arrival) group by 1""")
+def _(v: Views):
+    landing, sink, progress = (scratch_path(v.spark, name) for name in ("arrivals", "late", "progress"))
+    events = v.table("events").select(
+        F.col("event_id"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("part"),
+        (F.col("event_id") % 3 == 0).cast("int").alias("gt"), (F.col("value") > 20).cast("int").alias("pred"))
+    for arrival in range(4):  # files that come one after another, each with rows of all times
+        events.filter(F.col("event_id") % 4 == arrival).write.mode("append").parquet(landing)
+        stream = v.spark.readStream.schema(events.schema).parquet(landing)
+        incremental.metrics_with_late_rows(stream, "ts", "1 day", "7 days", ["part"], sink, progress).awaitTermination()
+    counted = incremental.read_counted(v.spark, sink, ["part"]).groupBy("part").agg(F.sum("rows").alias("counted"))
+    late = v.spark.read.parquet(f"{sink}/late").groupBy("part").agg(F.count("*").alias("late"))
+    arrived = v.table("events").groupBy(F.col("event_type").alias("part")).agg(F.count("*").alias("arrived"))
+    return (arrived.join(counted, "part", "left").join(late, "part", "left")
+            .select("part", F.coalesce("counted", F.lit(0)).alias("counted"), F.coalesce("late", F.lit(0)).alias("late"), "arrived"))

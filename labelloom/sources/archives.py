@@ -8,9 +8,12 @@ import zlib
 from collections.abc import Iterator
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from labelloom.session import small_side
+
 
 def list_ids(spark: SparkSession, glob: str, regex: str) -> DataFrame:
     """Distinct ids parsed from the names of the objects under a glob; contents are not read."""
@@ -56,20 +59,22 @@ def part_and_view(name: Column, view_first: bool = False) -> tuple[Column, Colum
 
 
 def extract_members(archives: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Named members of per-case zip archives: (case_id, member, content).
+    """Named members of per-case zip archives held as bytes: (case_id, member, content).
 
     `archives` is (case_id, content) and `manifest` is (case_id, member). The wanted names travel
-    with the archive as one array, so an archive is opened once. Absent members and unreadable
+    with the archive as one array, so an archive is opened once; a manifest of small size goes to
+    the archives, so that contents stay where they were read. Archives that the tasks can open
+    themselves are better read by `extract_from_files`. Absent members and unreadable
     archives or members (damaged, encrypted, packed in an unknown way) yield nothing and take no other
     member with them; `archive_completeness` reports them. Members are passed on one by one.
     """
     wanted = manifest.groupBy("case_id").agg(F.collect_set("member").alias("members"))
-    jobs = archives.select("case_id", "content").join(wanted, "case_id")
+    jobs = archives.select("case_id", "content").join(small_side(wanted), "case_id")
 
     def unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for case_id, content, members in zip(batch["case_id"], batch["content"], batch["members"]):
-                for name, data in _members(content, set(members)):
+                for name, data in _members(io.BytesIO(content), set(members)):
                     yield pd.DataFrame({"case_id": [case_id], "member": [name], "content": [data]})
 
     return jobs.mapInPandas(unzip, "case_id long, member string, content binary")
@@ -78,10 +83,62 @@ def extract_members(archives: DataFrame, manifest: DataFrame) -> DataFrame:
 _UNREADABLE = (zipfile.BadZipFile, zlib.error, EOFError, RuntimeError, NotImplementedError, OSError)
 
 
-def _members(content: bytes, wanted: set[str]) -> Iterator[tuple[str, bytes]]:
-    """Readable wanted members of one archive."""
+def _open(path: str):
+    """A file of the shared storage for reads at any place, by its URI or local path."""
+    if "://" not in path:
+        return fs.LocalFileSystem().open_input_file(path.removeprefix("file:"))
+    store, name = fs.FileSystem.from_uri(path)
+    return store.open_input_file(name)
+
+
+def member_directory(archives: DataFrame) -> DataFrame:
+    """(case_id, path, member, bytes, packed_bytes) of the archives (case_id, path), from their central directories alone.
+
+    Archives that are absent or have no readable directory yield nothing.
+    """
+    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for case_id, path in zip(batch["case_id"], batch["path"]):
+                try:
+                    with _open(path) as file, zipfile.ZipFile(file) as archive:
+                        found = [(case_id, path, m.filename, m.file_size, m.compress_size) for m in archive.infolist()]
+                except _UNREADABLE:
+                    continue
+                yield pd.DataFrame(found, columns=["case_id", "path", "member", "bytes", "packed_bytes"])
+
+    return archives.select("case_id", "path").mapInPandas(
+        listed, "case_id long, path string, member string, bytes long, packed_bytes long")
+
+
+def extract_from_files(archives: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Named members of zip archives in shared storage: (case_id, member, content).
+
+    `archives` is (case_id, path) and `manifest` is (case_id, member). Only names and paths are joined; the
+    tasks then read each archive's directory and the byte ranges of its wanted members, one member at a
+    time, so contents pass no shuffle and an archive may be larger than a worker's memory. What is absent or
+    unreadable yields nothing, as in `extract_members`.
+    """
+    wanted = manifest.groupBy("case_id").agg(F.collect_set("member").alias("members"))
+    jobs = archives.select("case_id", "path").join(wanted, "case_id")
+
+    def unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for case_id, path, members in zip(batch["case_id"], batch["path"], batch["members"]):
+                try:
+                    file = _open(path)
+                except OSError:
+                    continue
+                with file:
+                    for name, data in _members(file, set(members)):
+                        yield pd.DataFrame({"case_id": [case_id], "member": [name], "content": [data]})
+
+    return jobs.mapInPandas(unzip, "case_id long, member string, content binary")
+
+
+def _members(file, wanted: set[str]) -> Iterator[tuple[str, bytes]]:
+    """Readable wanted members of one archive, an open file."""
     try:
-        archive = zipfile.ZipFile(io.BytesIO(content))
+        archive = zipfile.ZipFile(file)
     except _UNREADABLE:
         return
     with archive:

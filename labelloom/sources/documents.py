@@ -32,6 +32,30 @@ def document_schema(case_fields: str = CASE_FIELDS, part_fields: str = PART_FIEL
     return f"struct<status: string, data: struct<data: struct<main: struct<{case_fields}>, est_details: {details}>>>"
 
 
+def judge_documents(
+    raw: DataFrame, case_fields: str = CASE_FIELDS, part_fields: str = PART_FIELDS, file_fields: str = FILE_FIELDS
+) -> DataFrame:
+    """`main`, `parts`, `files`, the raw `doc`, its `status`, and `outcome`: `ok`, `rejected` by status, or `unreadable`.
+
+    Every document comes back, so that one parse feeds the tables and the quarantine.
+    """
+    parsed = raw.select(
+        "doc", F.from_json("doc", document_schema(case_fields, part_fields)).alias("d"),
+        F.from_json("files", f"array<struct<{file_fields}>>").alias("files"),
+    )
+    status, data = F.col("d.status"), F.col("d.data.data")
+    outcome = F.when(status == "OK", "ok").when(status.isNotNull(), "rejected").otherwise("unreadable")
+    return parsed.select(
+        data["main"].alias("main"), data["est_details"]["parts"].alias("parts"), "files", "doc",
+        status.alias("status"), outcome.alias("outcome"),
+    )
+
+
+def quarantine(judged: DataFrame) -> DataFrame:
+    """(CaseID, status, outcome, doc) of judged documents that are not `ok`; the id is null where none can be read."""
+    return judged.filter("outcome <> 'ok'").select(F.col("main.CaseID").alias("CaseID"), "status", "outcome", "doc")
+
+
 def parse_documents(
     raw: DataFrame, case_fields: str = CASE_FIELDS, part_fields: str = PART_FIELDS, file_fields: str = FILE_FIELDS
 ) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from labelloom.sources.documents import flatten_parsed, parse_documents
+from labelloom.sources.documents import flatten_parsed, judge_documents, quarantine
 
 
 # The column that each ingested table is partitioned by.
@@ -24,14 +24,18 @@ def _save_batch(df: DataFrame, path: str, batch_id: int, by: Sequence[str] = ())
 
 
 def ingest_stream(raw: DataFrame, sink: str, checkpoint: str) -> StreamingQuery:
-    """New documents to `<sink>/case`, `/part` and `/file`, partitioned; every document of a batch is flushed."""
+    """New documents to `<sink>/case`, `/part` and `/file`, partitioned, and what cannot be used to `<sink>/quarantine`.
+
+    A batch is parsed once, and all its documents are flushed under its number.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
-        kept = parse_documents(batch).persist()
+        judged = judge_documents(batch).persist()
         try:
-            for name, table in flatten_parsed(kept)._asdict().items():
+            for name, table in flatten_parsed(judged.filter("outcome = 'ok'"))._asdict().items():
                 _save_batch(table, f"{sink}/{name}", batch_id, [PARTITION_COLUMNS[name]])
+            _save_batch(quarantine(judged), f"{sink}/quarantine", batch_id)
         finally:
-            kept.unpersist()
+            judged.unpersist()
 
     return (
         raw.writeStream.foreachBatch(write)
@@ -67,23 +71,24 @@ def read_first_per(spark: SparkSession, sink: str, keys: Sequence[str]) -> DataF
     return changes.groupBy(*keys).agg(F.min("first").alias("first")).select(*keys, "first.*")
 
 
+def _cell(given: int, said: int) -> Column:
+    return F.count_if((F.col("gt") == given) & (F.col("pred") == said))
+
+
 def running_metrics(
     stream: DataFrame, time: str, window: str, lateness: str | None, by: Sequence[str], sink: str, checkpoint: str
 ) -> StreamingQuery:
     """Confusion counts per tumbling window and group as predictions (`gt`, `pred`) arrive.
 
     With a `lateness` the state of older windows is dropped and rows that come later than that are not
-    counted; Spark reports how many in the query's progress (`numRowsDroppedByWatermark`). Without one
-    no row is too late, at the price of a state of one row per window and group. A replay of finite
-    input, whose files need not be in order of time, takes None.
+    counted; Spark reports how many in the query's progress (`numRowsDroppedByWatermark`), and
+    `metrics_with_late_rows` keeps them. Without one no row is too late, at the price of a state of one
+    row per window and group. A replay of finite input, whose files need not be in order of time, takes None.
     """
-    def cell(given: int, said: int) -> Column:
-        return F.count_if((F.col("gt") == given) & (F.col("pred") == said))
-
     counted = (
         (stream if lateness is None else stream.withWatermark(time, lateness))
         .groupBy(F.window(time, window).alias("w"), *by)
-        .agg(cell(1, 1).alias("tp"), cell(0, 0).alias("tn"), cell(0, 1).alias("fp"), cell(1, 0).alias("fn"))
+        .agg(_cell(1, 1).alias("tp"), _cell(0, 0).alias("tn"), _cell(0, 1).alias("fp"), _cell(1, 0).alias("fn"))
         .select(F.col("w.start").alias("window_start"), *by, "tp", "tn", "fp", "fn")
     )
     return (
@@ -108,3 +113,47 @@ def read_running_metrics(spark: SparkSession, sink: str, by: Sequence[str]) -> D
         ratio(tp, tp + fn).alias("tpr"),
         ratio(tn, tn + fp).alias("tnr"),
     )
+
+
+def metrics_with_late_rows(
+    stream: DataFrame, time: str, window: str, lateness: str, by: Sequence[str], sink: str, checkpoint: str
+) -> StreamingQuery:
+    """Confusion counts as in `running_metrics`, and the rows that come too late as a table of their own.
+
+    A row is late if its window ends at or before the latest time of all earlier batches less `lateness`.
+    Each batch is split there: late rows go whole to `<sink>/late`, the others' counts to `<sink>/counts`, and
+    the batch's latest time to `<sink>/seen`. A batch reads the `seen` of smaller numbers only, so a
+    replay splits alike and counted plus late rows are the input. Rows without a time are late.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        seen = None
+        if batch_id:
+            earlier = spark.read.schema("latest timestamp, batch long").parquet(f"{sink}/seen").filter(F.col("batch") < batch_id)
+            seen = earlier.agg(F.max("latest")).first()[0]
+        # Windows leave out rows without a time.
+        timed, untimed = batch.filter(F.col(time).isNotNull()), batch.filter(F.col(time).isNull())
+        placed = timed.withColumn("_w", F.window(time, window)).persist()
+        is_late = F.lit(False) if seen is None else F.col("_w.end") <= F.lit(seen) - F.expr(f"interval {lateness}")
+        try:
+            _save_batch(placed.filter(is_late).drop("_w").unionByName(untimed), f"{sink}/late", batch_id)
+            counts = (placed.filter(~is_late).groupBy(F.col("_w.start").alias("window_start"), *by)
+                      .agg(F.count("*").alias("rows"), _cell(1, 1).alias("tp"), _cell(0, 0).alias("tn"),
+                           _cell(0, 1).alias("fp"), _cell(1, 0).alias("fn")))
+            _save_batch(counts, f"{sink}/counts", batch_id)
+            _save_batch(batch.agg(F.max(F.col(time).cast("timestamp")).alias("latest")), f"{sink}/seen", batch_id)
+        finally:
+            placed.unpersist()
+
+    return (
+        stream.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def read_counted(spark: SparkSession, sink: str, by: Sequence[str]) -> DataFrame:
+    """Counts per window and group over all batches of `metrics_with_late_rows`."""
+    sums = [F.sum(c).alias(c) for c in ("rows", "tp", "tn", "fp", "fn")]
+    return spark.read.parquet(f"{sink}/counts").groupBy("window_start", *by).agg(*sums)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import datetime
 import io
 import json
+import random
 import zipfile
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -173,3 +176,84 @@ def test_document_report(spark, rows):
     raw = spark.createDataFrame([(_doc(1), None), (_doc(2, status="ERR"), None), ("{broken", None), (None, None)],
                                 "doc string, files string")
     assert rows(documents.document_report(raw)) == [("ok", 1), ("rejected", 1), ("unreadable", 2)]
+
+
+def test_members_of_archive_files(spark, rows, tmp_path):
+    (tmp_path / "1.zip").write_bytes(_zip(a="one", b="two" * 1000))
+    (tmp_path / "2.zip").write_bytes(_zip(a="three"))
+    (tmp_path / "3.zip").write_bytes(b"no zip")
+    files = spark.createDataFrame([(1, f"{tmp_path}/1.zip"), (2, f"file://{tmp_path}/2.zip"), (3, f"file:{tmp_path}/3.zip"), (4, f"{tmp_path}/4.zip")],
+                                  "case_id long, path string")
+    manifest = spark.createDataFrame([(1, "a"), (1, "a"), (2, "a"), (2, "b"), (3, "a"), (4, "a"), (5, "a")], "case_id long, member string")
+    got = archives.extract_from_files(files, manifest)
+    assert rows(got.select("case_id", "member", F.col("content").cast("string"))) == [(1, "a", "one"), (2, "a", "three")]
+    assert rows(archives.member_directory(files), "case_id", "member", "bytes") == [(1, "a", 3), (1, "b", 3000), (2, "a", 5)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan[plan.index("Exchange"):]  # names and paths are shuffled, contents are not
+
+
+def test_only_wanted_ranges_of_an_archive_are_read(tmp_path):
+    with zipfile.ZipFile(tmp_path / "big.zip", "w", zipfile.ZIP_STORED) as archive:
+        for i in range(50):
+            archive.writestr(f"{i}.bin", bytes(200_000))
+    read = 0
+
+    class Counted(io.FileIO):
+        def read(self, size=-1):
+            nonlocal read
+            data = super().read(size)
+            read += len(data)
+            return data
+
+    with Counted(str(tmp_path / "big.zip")) as file:
+        assert [(name, len(data)) for name, data in archives._members(file, {"7.bin", "none"})] == [("7.bin", 200_000)]
+    assert read < 400_000
+
+
+def test_ingest_keeps_bad_documents_and_replays_without_repeats(spark, rows, tmp_path):
+    schema = "doc string, files string"
+    source, sink, progress = (f"{tmp_path}/{n}" for n in ("in", "out", "cp"))
+    docs = [(_doc(1, parts=[{"Description": "d", "CoType": "x"}]), '[{"iDOCID": 4, "StdDocDesc": "front"}]'), (_doc(2, status="ERR"), None),
+            ("{broken", None), (None, None)]
+    spark.createDataFrame(docs, schema).coalesce(1).write.parquet(source)
+
+    def run():
+        incremental.ingest_stream(spark.readStream.schema(schema).parquet(source), sink, progress).awaitTermination()
+        bad = spark.read.parquet(f"{sink}/quarantine")
+        assert Counter(tuple(r) for r in bad.select("CaseID", "status", "outcome", "doc").collect()) == Counter(
+            [(2, "ERR", "rejected", docs[1][0]), (None, None, "unreadable", "{broken"), (None, None, "unreadable", None)])
+        assert [spark.read.parquet(f"{sink}/{name}").count() for name in ("case", "part", "file")] == [1, 1, 1]
+
+    run()
+    for commit in (tmp_path / "cp" / "commits").iterdir():  # the batch was written, but not marked as done
+        commit.unlink()
+    run()
+
+
+def test_counted_and_late_rows_are_the_input(spark, tmp_path):
+    source, sink, progress = (f"{tmp_path}/{n}" for n in ("in", "out", "cp"))
+    schema = "id int, ts timestamp, part string, gt int, pred int"
+    rng = random.Random(6)
+    start = datetime.datetime(2024, 1, 1, tzinfo=datetime.timezone.utc)
+    want_late, want, latest, total = set(), Counter(), None, 0
+    for batch in range(5):
+        given = [(batch * 100 + i, start + datetime.timedelta(hours=rng.randrange(0, 24 * 6 * (batch + 1))), rng.choice("pq"), rng.randrange(2), 1)
+                 for i in range(40)] + [(batch * 100 + 99, None, "p", 1, 1)]
+        spark.createDataFrame(given, schema).coalesce(1).write.mode("append").parquet(source)
+        for i, at, part, gt, _ in given:
+            closes = at and at.replace(hour=0) + datetime.timedelta(days=1)
+            if at is None or (latest and closes <= latest - datetime.timedelta(days=2)):
+                want_late.add(i)
+            else:
+                want[at.replace(hour=0, tzinfo=None), part, "tp" if gt else "fp"] += 1
+        total += len(given)
+        latest = max(filter(None, [latest, *(g[1] for g in given)]))
+
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    incremental.metrics_with_late_rows(stream, "ts", "1 day", "2 days", ["part"], sink, progress).awaitTermination()
+    late = spark.read.parquet(f"{sink}/late")
+    assert {r.id for r in late.collect()} == want_late and len(want_late) > 10
+    counted = incremental.read_counted(spark, sink, ["part"]).collect()
+    assert sum(r["rows"] for r in counted) + late.count() == total
+    got = Counter({(r.window_start, r.part, c): r[c] for r in counted for c in ("tp", "fp") if r[c]})
+    assert got == want
