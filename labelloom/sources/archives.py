@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import io
+import lzma
 import zipfile
 import zlib
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,7 +82,8 @@ def extract_members(archives: DataFrame, manifest: DataFrame) -> DataFrame:
     return jobs.mapInPandas(unzip, "case_id long, member string, content binary")
 
 
-_UNREADABLE = (zipfile.BadZipFile, zlib.error, EOFError, RuntimeError, NotImplementedError, OSError)
+# Damage and unknown packing. Errors of the storage itself are not among them: they fail the task, which Spark repeats.
+_UNREADABLE = (zipfile.BadZipFile, zlib.error, lzma.LZMAError, EOFError, RuntimeError, NotImplementedError, pa.ArrowInvalid)
 
 
 def _open(path: str):
@@ -102,7 +105,7 @@ def member_directory(archives: DataFrame) -> DataFrame:
                 try:
                     with _open(path) as file, zipfile.ZipFile(file) as archive:
                         found = [(case_id, path, m.filename, m.file_size, m.compress_size) for m in archive.infolist()]
-                except _UNREADABLE:
+                except (*_UNREADABLE, FileNotFoundError):
                     continue
                 yield pd.DataFrame(found, columns=["case_id", "path", "member", "bytes", "packed_bytes"])
 
@@ -126,7 +129,7 @@ def extract_from_files(archives: DataFrame, manifest: DataFrame) -> DataFrame:
             for case_id, path, members in zip(batch["case_id"], batch["path"], batch["members"]):
                 try:
                     file = _open(path)
-                except OSError:
+                except FileNotFoundError:
                     continue
                 with file:
                     for name, data in _members(file, set(members)):
@@ -147,6 +150,10 @@ def _members(file, wanted: set[str]) -> Iterator[tuple[str, bytes]]:
                 data = archive.read(name)
             except _UNREADABLE:
                 continue
+            except OSError:
+                if archive.getinfo(name).compress_type != zipfile.ZIP_BZIP2:
+                    raise
+                continue  # bz2 reports damage so
             yield name, data
 
 
