@@ -248,6 +248,28 @@ def test_shard_loads_are_near_equal(spark):
     assert len(loads) == 16 and max(loads) - min(loads) < 0.02 * max(loads)
 
 
+def test_shards_against_plain_scheduling(spark):
+    """Loads differ from those of every group on its own, longest first, by no more than a bundle's bytes."""
+    rng = random.Random(14)
+    texts = [" ".join(rng.choices("abcdefgh", k=rng.choice([1, 3, 40, 400]))) for _ in range(3000)]
+    rows = [(i, rng.choice(texts[:30]) if i % 5 == 0 else texts[i % 3000]) for i in range(4000)] + [(4000, None), (4001, "")]
+    groups = Counter()
+    for _, text in rows:
+        groups[text or ""] += len((text or "").encode()) + 1
+    for n in (3, 16):
+        placed = shards.longest_first(list(groups.items()), n)
+        plain = Counter()
+        for text, size in groups.items():
+            plain[placed[text]] += size
+        got = Counter()
+        for r in shards.shard_rows(table(spark, rows), n).collect():
+            got[r["shard"]] += r["size"]
+        assert sum(got.values()) == sum(plain.values())
+        least = max(1, sum(got.values()) // (n * shards.LARGE))
+        # No bundle of these few small groups is larger than twice what a group may weigh to be small.
+        assert all(abs(a - b) <= 2 * least for a, b in zip(sorted(got.values()), sorted(plain.values()), strict=True))
+
+
 def test_longest_first():
     assert shards.longest_first([("a", 5), ("b", 4), ("c", 3), ("d", 3)], 2) == {"a": 0, "b": 1, "c": 1, "d": 0}
 
