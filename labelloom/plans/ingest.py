@@ -104,14 +104,14 @@ def _(v: Views):
     return latest.select("model", part.alias("part"), "epoch", "acc")
 
 
-def _zipped(v: Views) -> DataFrame:
+def _zipped(v: Views, folder: str | None = None) -> DataFrame:
     """One archive file per document with its text and its source as members: (case_id, path)."""
     import zipfile
 
     import pandas as pd
     from pyarrow import fs
 
-    folder = scratch_path(v.spark, "zips")
+    folder = folder or scratch_path(v.spark, "zips")
     store, root = (fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder.removeprefix("file:")))
     store.create_dir(root)
 
@@ -135,6 +135,13 @@ def _manifest(v: Views) -> DataFrame:
     return v.table("documents").select(F.col("doc_id").alias("case_id"), names.alias("member"))
 
 
+@query("listed_ids", "select distinct doc_id as id from documents")
+def _(v: Views):
+    folder = scratch_path(v.spark, "zips")
+    _zipped(v, folder)
+    return archives.list_ids(v.spark, f"{folder}/*.zip", r"/(\d+)\.zip$")
+
+
 @query("extract_members", """select doc_id as case_id, 'text.txt' as member, cast(strlen(text) as integer) as bytes from documents
     union all select doc_id, 'source.txt', cast(strlen(source) as integer) from documents where doc_id % 5 <> 0""")
 def _(v: Views):
