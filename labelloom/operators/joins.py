@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -54,9 +54,15 @@ def assemble_wide(
 
     Of several values for one cell the smallest counts.
     """
-    wide = df.groupBy(*keys).pivot(part, list(parts)).agg(F.min(value))
-    named = wide.select(*keys, *[F.col(f"`{p}`").alias(f"{prefix}{p}") for p in parts])
-    return named.na.drop(subset=[f"{prefix}{p}" for p in parts])
+    wide = df.groupBy(*keys).agg(*cells(part, value, parts, F.min, prefix))
+    return wide.na.drop(subset=[f"`{prefix}{p}`" for p in parts])
+
+
+def cells(
+    part: str, value: str, parts: Sequence[str], how: Callable[[Column], Column], prefix: str = ""
+) -> list[Column]:
+    """One aggregate per part: a pivot that keeps one row per key in memory, without a row per key and part before it."""
+    return [how(F.when(F.col(part) == p, F.col(value))).alias(f"{prefix}{p}") for p in parts]
 
 
 def prefer(base: DataFrame, better: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:

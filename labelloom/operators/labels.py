@@ -80,11 +80,20 @@ def part_agreement(preds: DataFrame, by: Sequence[str]) -> DataFrame:
 def case_study(pred: DataFrame, gt: DataFrame, vision: DataFrame, parts: Sequence[str]) -> DataFrame:
     """Wide predictions and labels to one row per (case, part) with error flags.
 
-    `vision` is (case_id, part, v_pred) and covers some parts; the others get -1.
+    `vision` is (case_id, part, v_pred) and covers some parts; the others get -1. The three tables meet
+    as one row per case, so no row per case and part is moved or sorted.
     """
-    long_pred = pred.unpivot("case_id", list(parts), "part", "pred")
-    long_gt = gt.unpivot("case_id", list(parts), "part", "gt")
-    joined = long_pred.join(long_gt, ["case_id", "part"]).join(vision, ["case_id", "part"], "left")
+    def cells(wide: DataFrame, name: str) -> DataFrame:
+        return wide.select("case_id", F.struct(*[F.col(f"`{p}`").alias(f"_{i}") for i, p in enumerate(parts)]).alias(name))
+
+    seen = vision.groupBy("case_id").agg(F.collect_list(F.struct("part", "v_pred")).alias("_seen"))
+    both = cells(pred, "_pred").join(cells(gt, "_gt"), "case_id").join(seen, "case_id", "left")
+    long = both.select("case_id", "_seen", F.inline(F.array(*[
+        F.struct(F.lit(p).alias("part"), F.col(f"_pred._{i}").alias("pred"), F.col(f"_gt._{i}").alias("gt"))
+        for i, p in enumerate(parts)
+    ])))
+    own = F.filter("_seen", lambda v: v["part"] == F.col("part"))
+    joined = long.select("case_id", "part", "pred", "gt", F.explode_outer(own["v_pred"]).alias("v_pred"))
     is_fp = (F.col("gt") == 0) & (F.col("pred") == 1)
     is_fn = (F.col("gt") == 1) & (F.col("pred") == 0)
     return joined.select(

@@ -78,7 +78,7 @@ def _photo_predictions(v: Views) -> DataFrame:
     max(cast(conf > 0.5 as integer)) as pred, max(gt) as gt from predictions group by case_id, part"""))
 def _(v: Views):
     # One photo a case shows all its parts; the rows with every part of the table are kept.
-    whole = v.predictions.groupBy("case_id", "part").agg(
+    whole = v.by_case(v.predictions).groupBy("case_id", "part").agg(
         F.max((F.col("conf") > 0.5).cast("int")).alias("pred"), F.max("gt").alias("gt")).withColumn("view", F.lit(0))
     photos = whole.withColumns({"filename": F.concat(F.col("case_id").cast("string"), F.lit(".JPG")), "model": F.lit("m")})
     return labels.pred_multilabel(photos, ALL_PARTS)
@@ -240,9 +240,9 @@ _STUDY = """select d.case_id, d.part, coalesce(v.v_pred, -1) as v_pred, d.pred,
     where part <> 'PROMO') v on d.case_id = v.case_id and d.part = v.part"""
 
 
-def _vision(v: Views) -> DataFrame:
+def _vision(predictions: DataFrame) -> DataFrame:
     """Photo-model decisions, which one part lacks."""
-    seen = evaluate.count_votes(v.predictions.filter("part <> 'PROMO'"), tie="zero")
+    seen = evaluate.count_votes(predictions.filter("part <> 'PROMO'"), tie="zero")
     return seen.select("case_id", "part", F.col("pred").alias("v_pred"))
 
 
@@ -254,7 +254,7 @@ def _remarks() -> Column:
 def _long_study(v: Views) -> DataFrame:
     """The same study straight from the long decisions."""
     gt, pred = F.col("gt"), F.col("pred")
-    study = joins.lookup_or(_decisions(v), _vision(v), ["case_id", "part"], "v_pred", F.lit(-1))
+    study = joins.lookup_or(_decisions(v), _vision(v.predictions), ["case_id", "part"], "v_pred", F.lit(-1))
     return study.withColumns({
         "fp": ((gt == 0) & (pred == 1)).cast("int"),
         "fn": ((gt == 1) & (pred == 0)).cast("int"),
@@ -263,12 +263,13 @@ def _long_study(v: Views) -> DataFrame:
 
 
 def _study(v: Views) -> DataFrame:
-    decided = _decisions(v)
+    predictions = v.by_case(v.predictions)
+    decided = evaluate.ensemble_vote(predictions, v.by_case(v.label_grid), v.parts)
 
     def wide(value: str) -> DataFrame:
-        return decided.groupBy("case_id").pivot("part", v.parts).agg(F.max(value))
+        return decided.groupBy("case_id").agg(*joins.cells("part", value, v.parts, F.max))
 
-    return labels.case_study(wide("pred"), wide("gt"), _vision(v), v.parts).withColumn("remarks", _remarks())
+    return labels.case_study(wide("pred"), wide("gt"), _vision(predictions), v.parts).withColumn("remarks", _remarks())
 
 
 @query("case_study", with_views("select * from study", "decisions", "votes", study=_STUDY))

@@ -14,7 +14,7 @@ from labelloom.operators.evaluate import case_accuracy, ensemble_vote, part_metr
 from labelloom.operators.frontier import pareto_front
 from labelloom.plans.registry import query
 from labelloom.session import scratch_path, small_side
-from labelloom.plans.views import ALL_PARTS, Views, given_label, with_views
+from labelloom.plans.views import ALL_PARTS, Views, given_label, per_case, with_views
 from labelloom.sources import documents
 
 CFG = scope.ScopeConfig(
@@ -233,7 +233,7 @@ def _(v: Views):
     {', '.join(f"max(conf) filter (where part = '{p}') as \"vision_{p}\"" for p in ALL_PARTS)} from case_predictions group by case_id
     having count(distinct part) = {len(ALL_PARTS)}""", "case_predictions"))
 def _(v: Views):
-    return joins.assemble_wide(v.case_predictions, ["case_id"], "part", "conf", ALL_PARTS, prefix="vision_")
+    return joins.assemble_wide(per_case(v.by_case(v.predictions)), ["case_id"], "part", "conf", ALL_PARTS, prefix="vision_")
 
 
 @query("complete_views", with_views(FILE_SCOPE, "files"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from labelloom.functions import softmax
 from labelloom.operators.joins import vocabulary
 from labelloom.operators.labels import multilabel
+from labelloom.session import spread
 
 CLASSES = 10
 # All part names of the given tables.
@@ -24,6 +25,13 @@ def given_label(case_id: Column, part: Column) -> Column:
     return F.when((case_id * 7 + F.length(part) * 3) % 11 < F.length(part) - 3, 1).otherwise(0)
 
 
+def per_case(predictions: DataFrame) -> DataFrame:
+    """One row per (case, part): mean confidence over views."""
+    return predictions.groupBy("case_id", "part").agg(
+        F.round(F.avg("conf"), 9).alias("conf"), F.max("gt").alias("gt")
+    )
+
+
 class Views:
     """Lazy views over one folder of tables."""
 
@@ -41,6 +49,14 @@ class Views:
         """The label vocabulary; size-checked."""
         return vocabulary(self.table("part"), "p_type")
 
+    def by_case(self, df: DataFrame) -> DataFrame:
+        """A view dealt by its case, so that views with rows per case and part are grouped and joined in small tasks.
+
+        The tables' row counts, which their files name, decide how many tasks; all views are dealt to equally many.
+        """
+        rows = self.table("lineitem").count() + self.table("orders").count() * len(ALL_PARTS)
+        return spread(df, rows, "case_id")
+
     @property
     def cases(self) -> DataFrame:
         orders, customer = self.table("orders"), self.table("customer")
@@ -95,9 +111,7 @@ class Views:
     @property
     def case_predictions(self) -> DataFrame:
         """One row per (case, part): mean confidence over views."""
-        return self.predictions.groupBy("case_id", "part").agg(
-            F.round(F.avg("conf"), 9).alias("conf"), F.max("gt").alias("gt")
-        )
+        return per_case(self.predictions)
 
     @property
     def labels(self) -> DataFrame:

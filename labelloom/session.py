@@ -7,12 +7,14 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Rows of a few fixed-width columns that may be sent to every executor, and bytes of any rows.
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 32 << 20
+# Rows that one task groups, sorts or writes, where a table is dealt by its row count.
+TASK_ROWS = 1_000_000
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -64,6 +66,15 @@ def save_point(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def spread(df: DataFrame, size: int, *keys: Column | str, share: int = TASK_ROWS) -> DataFrame:
+    """A table of `size` rows, or other units, dealt by its keys (without any: evenly) to a task per `share`, at least one per core.
+
+    The share of a task then stays the same however large the table is, whatever the session's number of
+    shuffle partitions. Tables dealt by the same count and keys are grouped and joined on them where they lie.
+    """
+    return df.repartition(max(-(-size // share), df.sparkSession.sparkContext.defaultParallelism), *keys)
+
+
 def small_side(summary: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """A summary table to join back to the rows it came from.
 
