@@ -173,7 +173,8 @@ def _raw_cases(v: Views) -> DataFrame:
 def _(v: Views):
     landing, folder = scratch_path(v.spark, "raw"), scratch_path(v.spark, "scoped")
     _raw_cases(v).write.parquet(landing)
-    named = documents.scope_names(documents.flatten_cases(v.spark.read.parquet(landing)))
+    parsed = documents.flatten_cases(v.spark.read.parquet(landing), keep=scratch_path(v.spark, "parsed"))
+    named = documents.scope_names(parsed)
     scope.write_scoped(scope.scoped_tables(*named, CFG), folder)
     return v.spark.read.parquet(f"{folder}/case").select("case_id", "vehicle_type", "gross_offer")
 

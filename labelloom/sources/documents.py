@@ -85,10 +85,16 @@ def flatten_parsed(parsed: DataFrame) -> CaseTables:
 
 
 def flatten_cases(
-    raw: DataFrame, case_fields: str = CASE_FIELDS, part_fields: str = PART_FIELDS, file_fields: str = FILE_FIELDS
+    raw: DataFrame, case_fields: str = CASE_FIELDS, part_fields: str = PART_FIELDS, file_fields: str = FILE_FIELDS,
+    keep: str | None = None,
 ) -> CaseTables:
-    """Both steps; to write all three tables, keep the parsed rows in between."""
-    return flatten_parsed(parse_documents(raw, case_fields, part_fields, file_fields))
+    """Both steps. Where the tables are read more than once, `keep` names a new folder that holds the parsed rows, so that
+    each document is parsed once."""
+    parsed = parse_documents(raw, case_fields, part_fields, file_fields)
+    if keep is not None:
+        parsed.write.parquet(keep)
+        parsed = raw.sparkSession.read.schema(parsed.schema).parquet(keep)
+    return flatten_parsed(parsed)
 
 
 def document_report(raw: DataFrame) -> DataFrame:
