@@ -11,6 +11,9 @@ from labelloom.session import save_point, scratch_path
 from labelloom.sources import archives, documents, tables
 from labelloom.streaming import incremental
 
+# Archive files that lie in one folder.
+FOLDER_FILES = 10_000
+
 _LINES_OF_GOOD = """select o.o_orderkey as "CaseID", lower(p_name) as "Description", l_extendedprice as "fVAL",
     lower(l_returnflag) as "DamageCond", l_linestatus as "CoType" from orders o join lineitem on o_orderkey = l_orderkey join part on l_partkey = p_partkey
     where o_orderkey % 50 <> 0"""
@@ -105,29 +108,36 @@ def _(v: Views):
 
 
 def _zipped(v: Views, folder: str | None = None) -> DataFrame:
-    """One archive file per document with its text and its source as members: (case_id, path)."""
+    """One archive file per document with its text and its source as members, in folders of bounded size: (case_id, path)."""
+    import io
     import zipfile
 
-    import pandas as pd
+    import pyarrow as pa
     from pyarrow import fs
 
     folder = folder or scratch_path(v.spark, "zips")
     store, root = (fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder.removeprefix("file:")))
-    store.create_dir(root)
+    folders = -(-v.table("documents").count() // FOLDER_FILES) or 1
+    for i in range(folders):
+        store.create_dir(f"{root}/{i}")
 
     def pack(batches):
         for batch in batches:
-            packed = []
-            for doc_id, text, source in zip(batch["doc_id"], batch["text"], batch["source"]):
-                with store.open_output_stream(f"{root}/{doc_id}.zip") as file, zipfile.ZipFile(file, "w") as archive:
-                    archive.writestr("text.txt", text)
-                    if doc_id % 5:
-                        archive.writestr("source.txt", source)
-                packed.append((doc_id, f"{folder}/{doc_id}.zip"))
-            yield pd.DataFrame(packed, columns=["case_id", "path"])
+            paths = []
+            for doc_id, text, source in zip(*(batch.column(c) for c in ("doc_id", "text", "source"))):
+                doc_id, packed = doc_id.as_py(), io.BytesIO()
+                with zipfile.ZipFile(packed, "w") as archive:
+                    archive.writestr("text.txt", text.as_py())
+                    if doc_id is None or doc_id % 5:
+                        archive.writestr("source.txt", source.as_py())
+                name = f"{(doc_id or 0) % folders}/{doc_id}.zip"
+                with store.open_output_stream(f"{root}/{name}") as file:
+                    file.write(packed.getbuffer())
+                paths.append(f"{folder}/{name}")
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(paths, pa.string())], names=["case_id", "path"])
 
     docs = v.table("documents").select("doc_id", "text", "source")
-    return save_point(docs.mapInPandas(pack, "case_id long, path string"))
+    return save_point(docs.mapInArrow(pack, "case_id long, path string"))
 
 
 def _manifest(v: Views) -> DataFrame:
@@ -139,7 +149,7 @@ def _manifest(v: Views) -> DataFrame:
 def _(v: Views):
     folder = scratch_path(v.spark, "zips")
     _zipped(v, folder)
-    return archives.list_ids(v.spark, f"{folder}/*.zip", r"/(\d+)\.zip$")
+    return archives.list_ids(v.spark, f"{folder}/*/*.zip", r"/(\d+)\.zip$")
 
 
 @query("extract_members", """select doc_id as case_id, 'text.txt' as member, cast(strlen(text) as integer) as bytes from documents

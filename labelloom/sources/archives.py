@@ -4,23 +4,114 @@ from __future__ import annotations
 
 import io
 import lzma
+import os
+import re
 import zipfile
 import zlib
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloom.session import small_side
+from labelloom.session import save_point, small_side, spread
 
+# Archives that one task opens, folders that one task lists, and bounds of a batch of rows that a task passes on.
+ARCHIVES_PER_TASK = 5_000
+FOLDERS_PER_TASK = 4
+BATCH_ROWS = 10_000
+BATCH_BYTES = 4 << 20
+_MEMBER = pa.schema([("case_id", pa.int64()), ("member", pa.string()), ("content", pa.binary())])
 
 def list_ids(spark: SparkSession, glob: str, regex: str) -> DataFrame:
     """Distinct ids parsed from the names of the objects under a glob; contents are not read."""
-    listing = spark.read.format("binaryFile").load(glob).select("path")
-    return ids_from_paths(listing, "path", regex)
+    return ids_from_paths(list_paths(spark, glob), "path", regex)
+
+
+def list_paths(spark: SparkSession, glob: str) -> DataFrame:
+    """(path) of the files under a glob, as Spark's readers find them: hidden and empty ones are left out, and folders that
+    match are read to their ends. Nothing found is an error.
+
+    Tasks list the folders level by level, each folder in one task, so that no name passes the driver.
+    """
+    head = re.match(r"[a-z][a-z0-9+.-]*:(//[^/]*)?|", glob)[0]
+    levels = (glob[len(head):] if head else os.path.abspath(glob)).strip("/").split("/")
+    first = next((i for i, level in enumerate(levels) if re.search(r"[*?\[{\\]", level)), len(levels) - 1)
+    found = spark.createDataFrame([("/".join([head, *levels[:first]]),)], "path string")
+    for level in levels[first:-1]:
+        found = _dealt(_listed(found, level, folders=True), FOLDERS_PER_TASK)
+    found = _listed(found, levels[-1])
+    if not found.take(1):
+        raise FileNotFoundError(f"nothing matches {glob}")
+    return found
+
+
+def _listed(within: DataFrame, level: str, folders: bool = False) -> DataFrame:
+    """The folders, or else the files, (path) that fit one level of a glob below the folders (path)."""
+    fits = re.compile(_level_regex(level))
+
+    def paths(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str]]:
+        for path in (p for batch in batches for p in batch.column("path").to_pylist()):
+            store, name = _store(path)
+            for entry in store.get_file_info(fs.FileSelector(name or "/", allow_not_found=True)):
+                own = f"{path}/{entry.base_name}"
+                if not fits.fullmatch(entry.base_name):
+                    continue
+                if folders or entry.type == fs.FileType.File:
+                    if entry.type == fs.FileType.Directory or not folders and entry.size and _shown(entry.base_name):
+                        yield (own,)
+                else:
+                    for below in store.get_file_info(fs.FileSelector(entry.path, recursive=True)):
+                        rest = below.path[len(entry.path):]
+                        if below.type == fs.FileType.File and below.size and all(map(_shown, rest.strip("/").split("/"))):
+                            yield (own + rest,)
+
+    schema = pa.schema([("path", pa.string())])
+    return within.mapInArrow(lambda batches: _batches(paths(batches), schema), "path string")
+
+
+def _shown(name: str) -> bool:
+    """Spark's readers pass over other names."""
+    return not (name.startswith(".") or name.startswith("_") and "=" not in name)
+
+
+def _level_regex(level: str) -> str:
+    """One level of a glob with `*`, `?`, `[a-c]`, `[^a]` and `{a,b}` as a regular expression."""
+    parts = re.findall(r"\\.|\[[^]]*\]|.", level)
+    deep, out = 0, []
+    for part in parts:
+        deep += (part == "{") - (part == "}")
+        if part[0] == "[" and len(part) > 1:
+            out.append(f"[{'^' if part[1] in '^!' else ''}{re.sub(r'([\\[])', r'\\\1', part[1:-1].lstrip('^!'))}]")
+        elif part in ("{", "}") or part == "," and deep:
+            out.append({"{": "(?:", "}": ")", ",": "|"}[part])
+        else:
+            out.append({"*": ".*", "?": "."}.get(part) or re.escape(part[-1]))
+    return "".join(out)
+
+
+def _dealt(df: DataFrame, share: int) -> DataFrame:
+    """A small table whose rows each stand for much work, saved and dealt evenly to tasks of `share` rows."""
+    saved = save_point(df)
+    return spread(saved, saved.count(), share=share)
+
+
+def _batches(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Rows in Arrow batches of about `BATCH_ROWS` rows or `BATCH_BYTES` of values; one row may be longer."""
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), schema.types)], schema=schema)
+
+    held: list[tuple] = []
+    size = 0
+    for row in rows:
+        held.append(row)
+        size += sum(len(x) for x in row if isinstance(x, (bytes, str)))
+        if len(held) >= BATCH_ROWS or size >= BATCH_BYTES:
+            yield batch()
+            held, size = [], 0
+    if held:
+        yield batch()
 
 
 def ids_from_paths(paths: DataFrame, column: str, regex: str) -> DataFrame:
@@ -68,29 +159,42 @@ def extract_members(archives: DataFrame, manifest: DataFrame) -> DataFrame:
     the archives, so that contents stay where they were read. Archives that the tasks can open
     themselves are better read by `extract_from_files`. Absent members and unreadable
     archives or members (damaged, encrypted, packed in an unknown way) yield nothing and take no other
-    member with them; `archive_completeness` reports them. Members are passed on one by one.
+    member with them; `archive_completeness` reports them. Members are passed on in small batches.
     """
     wanted = manifest.groupBy("case_id").agg(F.collect_set("member").alias("members"))
     jobs = archives.select("case_id", "content").join(small_side(wanted), "case_id")
 
-    def unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for case_id, content, members in zip(batch["case_id"], batch["content"], batch["members"]):
-                for name, data in _members(io.BytesIO(content), set(members)):
-                    yield pd.DataFrame({"case_id": [case_id], "member": [name], "content": [data]})
+    def unzip(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for case_id, content, members in _rows(batches, "case_id", "content", "members"):
+            for name, data in _members(io.BytesIO(content), set(members)):
+                yield case_id, name, data
 
-    return jobs.mapInPandas(unzip, "case_id long, member string, content binary")
+    return jobs.mapInArrow(lambda batches: _batches(unzip(batches), _MEMBER), "case_id long, member string, content binary")
+
+
+def _rows(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple]:
+    """Rows of Arrow batches, one at a time."""
+    for batch in batches:
+        for values in zip(*(batch.column(c) for c in columns)):
+            yield tuple(v.as_py() for v in values)
 
 
 # Damage and unknown packing. Errors of the storage itself are not among them: they fail the task, which Spark repeats.
 _UNREADABLE = (zipfile.BadZipFile, zlib.error, lzma.LZMAError, EOFError, RuntimeError, NotImplementedError, pa.ArrowInvalid)
 
 
+def _store(path: str) -> tuple[fs.FileSystem, str]:
+    """The shared storage that a URI or local path points to, and the name there."""
+    if "://" not in path:
+        return fs.LocalFileSystem(), path.removeprefix("file:")
+    if path == "file://":
+        return fs.LocalFileSystem(), "/"
+    return fs.FileSystem.from_uri(path)
+
+
 def _open(path: str):
     """A file of the shared storage for reads at any place, by its URI or local path."""
-    if "://" not in path:
-        return fs.LocalFileSystem().open_input_file(path.removeprefix("file:"))
-    store, name = fs.FileSystem.from_uri(path)
+    store, name = _store(path)
     return store.open_input_file(name)
 
 
@@ -99,43 +203,45 @@ def member_directory(archives: DataFrame) -> DataFrame:
 
     Archives that are absent or have no readable directory yield nothing.
     """
-    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for case_id, path in zip(batch["case_id"], batch["path"]):
-                try:
-                    with _open(path) as file, zipfile.ZipFile(file) as archive:
-                        found = [(case_id, path, m.filename, m.file_size, m.compress_size) for m in archive.infolist()]
-                except (*_UNREADABLE, FileNotFoundError):
-                    continue
-                yield pd.DataFrame(found, columns=["case_id", "path", "member", "bytes", "packed_bytes"])
+    schema = pa.schema([("case_id", pa.int64()), ("path", pa.string()), ("member", pa.string()),
+                        ("bytes", pa.int64()), ("packed_bytes", pa.int64())])
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for case_id, path in _rows(batches, "case_id", "path"):
+            try:
+                with _open(path) as file, zipfile.ZipFile(file) as archive:
+                    found = [(case_id, path, m.filename, m.file_size, m.compress_size) for m in archive.infolist()]
+            except (*_UNREADABLE, FileNotFoundError):
+                continue
+            yield from found
 
-    return archives.select("case_id", "path").mapInPandas(
-        listed, "case_id long, path string, member string, bytes long, packed_bytes long")
+    return _dealt(archives.select("case_id", "path"), ARCHIVES_PER_TASK).mapInArrow(
+        lambda batches: _batches(listed(batches), schema),
+        "case_id long, path string, member string, bytes long, packed_bytes long")
 
 
 def extract_from_files(archives: DataFrame, manifest: DataFrame) -> DataFrame:
     """Named members of zip archives in shared storage: (case_id, member, content).
 
-    `archives` is (case_id, path) and `manifest` is (case_id, member). Only names and paths are joined; the
-    tasks then read each archive's directory and the byte ranges of its wanted members, one member at a
+    `archives` is (case_id, path) and `manifest` is (case_id, member). Only names and paths are joined, and dealt
+    evenly to tasks of `ARCHIVES_PER_TASK`, since a path says nothing of the work behind it; the tasks then read each archive's directory and the byte ranges of its wanted members, one member at a
     time, so contents pass no shuffle and an archive may be larger than a worker's memory. What is absent or
     unreadable yields nothing, as in `extract_members`.
     """
     wanted = manifest.groupBy("case_id").agg(F.collect_set("member").alias("members"))
-    jobs = archives.select("case_id", "path").join(wanted, "case_id")
-
-    def unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for case_id, path, members in zip(batch["case_id"], batch["path"], batch["members"]):
-                try:
-                    file = _open(path)
-                except FileNotFoundError:
-                    continue
-                with file:
-                    for name, data in _members(file, set(members)):
-                        yield pd.DataFrame({"case_id": [case_id], "member": [name], "content": [data]})
+    jobs = _dealt(archives.select("case_id", "path").join(wanted, "case_id"), ARCHIVES_PER_TASK)
+
+    def unzip(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for case_id, path, members in _rows(batches, "case_id", "path", "members"):
+            try:
+                file = _open(path)
+            except FileNotFoundError:
+                continue
+            with file:
+                for name, data in _members(file, set(members)):
+                    yield case_id, name, data
 
-    return jobs.mapInPandas(unzip, "case_id long, member string, content binary")
+    return jobs.mapInArrow(lambda batches: _batches(unzip(batches), _MEMBER), "case_id long, member string, content binary")
 
 
 def _members(file, wanted: set[str]) -> Iterator[tuple[str, bytes]]:
