@@ -298,9 +298,8 @@ def _tile(rows: pd.DataFrame) -> pd.DataFrame:
 
 def _sets(nodes: DataFrame, used: DataFrame, docs: DataFrame) -> DataFrame:
     """(node, entries) of the used nodes, made anew from the texts."""
-    used = light(land(used, "used"))
-    owners = light(land(nodes.join(used, "node").select(F.col("doc_id").alias("owner")).distinct(), "owners"))
-    sets = (docs.join(owners, docs["doc_id"].eqNullSafe(owners["owner"]), "left_semi").select("text")
+    used = light(land(nodes.join(used, "node").select("node", F.col("doc_id").alias("owner")), "used"))
+    sets = (docs.join(used.select("owner"), F.col("doc_id").eqNullSafe(F.col("owner")), "left_semi").select("text")
             .mapInArrow(_whole_sets, "node long, entries binary"))
     return land(sets.join(used, "node", "left_semi").dropDuplicates(["node"]), "sets")
 
@@ -325,19 +324,18 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     profile = land(docs.mapInArrow(_profile, PROFILE), "profile")
     rows = profile.filter("part is null").select("doc_id", "n_shingles", "node")
-    # One row per distinct set, named by its smallest id, which tells where its text stands.
-    nodes = land(rows.filter("n_shingles > 0").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n")), "nodes")
-
-    banded = (profile.filter("part is null and n_shingles > 0").alias("r")
-              .join(nodes.alias("o"), F.expr("r.node = o.node and r.doc_id <=> o.doc_id"), "left_semi")
-              .select("node", F.posexplode("bands").alias("band", "key")).distinct())
-    heads = banded.groupBy("band", "key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
-    star = (banded.join(heads, ["band", "key"]).select("node", F.explode(F.array("low", "high")).alias("head"))
+    # One row per distinct set, named by its smallest id, which tells where its text stands; equal sets have equal bands.
+    nodes = land(profile.filter("part is null and n_shingles > 0").groupBy("node").agg(
+        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "nodes")
+
+    banded = nodes.select("node", F.posexplode("bands").alias("band", "key"))
+    buckets = land(banded.groupBy("band", "key").agg(
+        F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("count")).filter("low < high"), "buckets")
+    star = (banded.join(buckets, ["band", "key"]).select("node", F.explode(F.array("low", "high")).alias("head"))
             .filter("node != head")
             .select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct())
     star = land(star, "star")
-    sized = banded.groupBy("band", "key").count().filter(F.col("count").between(DENSE_LEAST, DENSE_MOST))
+    sized = buckets.filter(F.col("count").between(DENSE_LEAST, DENSE_MOST)).select("band", "key", "count")
     dense = land(
         banded.join(sized, ["band", "key"]).groupBy("node")
         .agg(F.max(F.struct("count", "band", "key")).alias("b"))
